@@ -13,6 +13,7 @@ from tickerloom.functions.quantiles import exact_quantiles
 from tickerloom.functions.scalar import pct_change_to, score_bin, score_bucket
 from tickerloom.functions.series import forward_max, forward_min
 from tickerloom.operators.cleaning import split_masks
+from tickerloom.session import through_table
 
 
 def score_prepare(forecasts: DataFrame, performance: DataFrame, splits: dict) -> DataFrame:
@@ -91,6 +92,9 @@ def score_distribution(simulation: DataFrame, metric: str) -> DataFrame:
     return counts.join(five, "bucket")
 
 
+SWEEP_QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+
+
 # ---- threshold sweep ---------------------------------------------------------------------
 
 
@@ -103,68 +107,74 @@ def sweep_step(score: str, step: float, count: int):
 
 
 def threshold_sweep(simulation: DataFrame, metric: str, step: float = SWEEP_STEP, count: int = SWEEP_COUNT,
-                    value_bins: int = 1024) -> DataFrame:
+                    value_bins: int = 256) -> DataFrame:
     """Mean, extremes and quartiles of ``metric`` over the rows with score >= k*step, for all k.
 
     A row belongs to every threshold up to its own step, so nothing is joined per threshold.
-    Rows are reduced to (step, value) counts; mean and extremes are suffix sums over at most
-    ``count`` steps. For the quartiles a (step x value bin) histogram tells for each threshold
-    which bin holds the wanted rank, and only rows of those bins are ranked. The histogram
-    size does not depend on the data, and the result is exact.
+    Rows are reduced to (step, value) counts, written once; mean and extremes are suffix sums
+    over at most ``count`` steps. For the quartiles a (step x value bin) histogram tells for
+    each threshold which bin holds the wanted rank, and only rows of those bins are ranked.
+    The histogram size does not depend on the data, and the result is exact. More bins mean
+    a larger histogram and fewer rows to rank.
     """
     rows = simulation.where(F.col(metric).isNotNull()).select(
-        sweep_step("score", step, count).alias("k"), F.col(metric).cast("double").alias("v"),
+        sweep_step("score", step, count).cast("int").alias("k"), F.col(metric).cast("double").alias("v"),
     ).where("k IS NOT NULL")
-    later = Window.partitionBy(F.lit(0)).orderBy(F.desc("k"))
+    rows = through_table(rows.groupBy("k", "v").agg(F.count("*").alias("c")), "sweep")
+
+    later = Window.partitionBy(F.lit(0)).orderBy(F.desc("k"))  # one row per step
     steps = rows.groupBy("k").agg(
-        F.count("*").alias("n"), F.sum("v").alias("total"), F.max("v").alias("hi"), F.min("v").alias("lo"))
-    grid = simulation.sparkSession.range(count).select(F.col("id").alias("k"))
+        F.sum("c").alias("n"), F.sum(F.col("v") * F.col("c")).alias("total"),
+        F.max("v").alias("hi"), F.min("v").alias("lo"))
+    grid = simulation.sparkSession.range(count).select(F.col("id").cast("int").alias("k"))
     summary = grid.join(F.broadcast(steps), "k", "left").select(
-        "k",
-        F.sum("n").over(later).alias("n"),
-        F.sum("total").over(later).alias("total"),
-        F.max("hi").over(later).alias("max"),
-        F.min("lo").over(later).alias("min"),
+        "k", F.sum("n").over(later).alias("n"), F.sum("total").over(later).alias("total"),
+        F.max("hi").over(later).alias("max"), F.min("lo").over(later).alias("min"),
     ).where("n > 0")
 
     bins = QuantileDiscretizer(numBuckets=value_bins, inputCol="v", outputCol="b", relativeError=0.2 / value_bins)
-    counted = bins.fit(rows).transform(rows).groupBy("k", "b", "v").agg(F.count("*").alias("c"))
-    cells = counted.groupBy("k", "b").agg(F.sum("c").alias("c"))
+    binned = bins.fit(rows).transform(rows).withColumn("b", F.col("b").cast("int"))
+    cells = binned.groupBy("k", "b").agg(F.sum("c").alias("c"))
+    up_to = F.sum("c").over(Window.partitionBy("k").orderBy("b"))
     per_step = (
-        grid.select("k", F.explode(F.sequence(F.lit(0), F.lit(value_bins))).cast("double").alias("b"))
+        grid.select("k", F.explode(F.sequence(F.lit(0), F.lit(value_bins))).alias("b"))
         .join(F.broadcast(cells), ["k", "b"], "left")
         .withColumn("c", F.sum(F.coalesce("c", F.lit(0))).over(Window.partitionBy("b").orderBy(F.desc("k"))))
-        .withColumn("up_to", F.sum("c").over(Window.partitionBy("k").orderBy("b")))
+        .withColumn("up_to", up_to)
+        .withColumn("before", F.col("up_to") - F.col("c"))
+        .join(F.broadcast(summary.select("k", "n")), "k")
     )
-    ranks = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(end).alias("end"),
-                 (F.floor if end == "a" else F.ceil)((F.col("n") - 1) * F.lit(q)).alias("rank"))
-        for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)) for end in ("a", "b")
-    ]))
-    wanted = (
-        per_step.join(F.broadcast(summary.select("k", "n")), "k")
-        .select("k", "b", "c", "up_to", ranks.alias("r")).select("k", "b", "c", "up_to", "r.*")
-        .where((F.col("rank") < F.col("up_to")) & (F.col("rank") >= F.col("up_to") - F.col("c")))
-        .select("k", "b", "name", "end", (F.col("rank") - (F.col("up_to") - F.col("c"))).alias("place"))
-    )
-    # six numbers per threshold at most: a small side of fixed size
-    inside = counted.withColumnRenamed("k", "row_k").join(F.broadcast(wanted), "b").where("row_k >= k")
-    tied = inside.groupBy("k", "name", "end", "place", "v").agg(F.sum("c").alias("c"))
-    ordered = tied.withColumn("last", F.sum("c").over(Window.partitionBy("k", "name", "end").orderBy("v")))
-    value = ordered.where((F.col("place") < F.col("last")) & (F.col("place") >= F.col("last") - F.col("c")))
-    picked = value.groupBy("k").agg(*[
-        F.max(F.when((F.col("name") == name) & (F.col("end") == end), F.col("v"))).alias(f"{name}_{end}")
-        for name in ("q25", "q50", "q75") for end in ("a", "b")
-    ])
-    n = F.col("n") - 1
+
+    def place(rank):
+        """Rank inside this bin, NULL where the bin does not hold it."""
+        return F.when((rank >= F.col("before")) & (rank < F.col("up_to")), rank - F.col("before"))
+
+    def at(q, rounding):
+        return place(rounding((F.col("n") - 1) * F.lit(q)))
+
+    wanted = per_step.select("k", "b", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("name"), at(q, F.floor).alias("low"), at(q, F.ceil).alias("high"))
+        for name, q in SWEEP_QUARTILES.items()
+    ])).alias("r")).select("k", "b", "r.*").where("low IS NOT NULL OR high IS NOT NULL")
+
+    # at most six ranks per threshold, whatever the data: a small side of fixed size
+    inside = binned.withColumnRenamed("k", "row_k").join(F.broadcast(wanted), "b").where("row_k >= k")
+    tied = inside.groupBy("k", "name", "b", "low", "high", "v").agg(F.sum("c").alias("c"))
+    ranked = tied.withColumn("last", F.sum("c").over(Window.partitionBy("k", "name", "b").orderBy("v")))
+
+    def hit(name, end):
+        here = (F.col("name") == name) & (F.col(end) < F.col("last")) & (F.col(end) >= F.col("last") - F.col("c"))
+        return F.max(F.when(here, F.col("v"))).alias(f"{name}_{end}")
+
+    picked = ranked.groupBy("k").agg(*[hit(name, end) for name in SWEEP_QUARTILES for end in ("low", "high")])
 
     def between(name, q):
-        pos = n * F.lit(q)
-        low, high = F.col(f"{name}_a"), F.col(f"{name}_b")
-        return (low + (high - low) * (pos - F.floor(pos))).alias(name)
+        position = (F.col("n") - 1) * F.lit(q)
+        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
+        return (low + (high - low) * (position - F.floor(position))).alias(name)
 
     return summary.join(picked, "k").select(
         (F.col("k") * F.lit(step)).alias("threshold"), F.col("n").alias("rows"),
         (F.col("total") / F.col("n")).alias("mean"), "max", "min",
-        between("q25", 0.25), between("q50", 0.5), between("q75", 0.75),
+        *[between(name, q) for name, q in SWEEP_QUARTILES.items()],
     )

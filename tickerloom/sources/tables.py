@@ -205,3 +205,9 @@ def forecasts(bars_df: DataFrame, available: DataFrame, label_types, windows, ve
     long = bars_df.select("ticker", "date", F.explode(rows).alias("f")).select("ticker", "date", "f.*")
     third = long.where("model_version = 3").join(available.select("ticker"), "ticker", "left_semi")
     return long.where("model_version != 3").unionByName(third)
+
+
+def market_index(bars_df: DataFrame, name: str = "IHSG") -> DataFrame:
+    """A volume-weighted index over all tickers, one close per date."""
+    value = F.sum(F.col("close") * F.col("volume")) / F.sum("volume")
+    return bars_df.groupBy("date").agg(value.alias("close")).select(F.lit(name).alias("index_name"), "date", "close")
