@@ -266,7 +266,8 @@ def statement(body: str, extra: dict[str, str] | None = None) -> str:
 
 
 def rounded(body: str, columns: str | list[str], digits: int = 6) -> str:
-    """Round the named columns; adding zero turns a negative zero into a plain one."""
+    """Round the named columns half up on their decimal digits."""
     names = columns.split() if isinstance(columns, str) else columns
-    replaced = ", ".join(f'round("{c}", {digits}) + 0.0 AS "{c}"' for c in names)
+    replaced = ", ".join(
+        f'CAST(round(CAST("{c}" AS DECIMAL(38, {digits + 4})), {digits}) AS DOUBLE) AS "{c}"' for c in names)
     return f"SELECT * REPLACE ({replaced}) FROM ({body})"

@@ -65,8 +65,10 @@ def trend(source, columns, n):
 
 def slope_flag(c, n, op, place=None):
     slope = f"{c}_k - (rn - ({c}_m + 1) / 2e0) * {c}_s"
+    noise = f"1e-13 * {n} * rn * greatest(abs({c}_hi), abs({c}_lo))"
+    beyond = f"{slope} > {noise}" if op == ">" else f"{slope} < -{noise}"
     return (f"CASE WHEN {place or c + '_place'} > {n} THEN "
-            f"CASE WHEN {c}_hi > {c}_lo AND {slope} {op} 0 THEN 1e0 ELSE 0e0 END END")
+            f"CASE WHEN {c}_hi > {c}_lo AND {beyond} THEN 1e0 ELSE 0e0 END END")
 
 
 def both(c, up, down, n=5, place=None):
@@ -195,7 +197,7 @@ IND["obv"] = (
 IND["adl"] = (
     f"""SELECT ticker, date, {both('adl', 'accumulation_distribution_line_increasing',
                                    'accumulation_distribution_line_decreasing')}
- FROM {trend(f"(SELECT *, sum({MFV}) OVER ({W} ROWS UNBOUNDED PRECEDING) AS adl FROM b)", ['adl'], 5)}""", {}, "")
+ FROM {trend(f"(SELECT *, CAST(sum(CAST({MFV} AS DECIMAL(28, 12))) OVER ({W} ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS adl FROM b)", ['adl'], 5)}""", {}, "")
 IND["cmf"] = (
     f"""SELECT ticker, date, {i('f > 0')} AS positive_cmf, {i('f >= 0.25')} AS strong_positive_cmf,
  {i('f <= 0')} AS negative_cmf, {i('f <= -0.25')} AS strong_negative_cmf,

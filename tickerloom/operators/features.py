@@ -11,8 +11,9 @@ from tickerloom.functions.scalar import inf_to_null, safe_divide
 from tickerloom.functions.series import rows
 from tickerloom.operators.indicators import INDICATORS, Layer, with_indicators
 
-# rows without flow form their own (unused) series, so offsets count joined rows only
-W_FLOW = Window.partitionBy("ticker", "has_flow").orderBy("date")
+def by_flow():
+    """Joined rows of a ticker; rows without flow form their own, unused series."""
+    return Window.partitionBy("ticker", "has_flow").orderBy("date")
 
 
 def join_bars_flow(bars: DataFrame, flow: DataFrame) -> DataFrame:
@@ -29,14 +30,14 @@ def _flow_layers() -> list[Layer]:
         "_price": price, "_foreign": foreign, "_domestic": domestic,
         "_foreign_value": price * foreign, "_domestic_value": price * domestic,
     }
-    so_far = rows(Window.unboundedPreceding, 0, W_FLOW)
+    so_far = rows(Window.unboundedPreceding, 0, by_flow())
     measures = ("_foreign", "_domestic", "_foreign_value", "_domestic_value")
     totals = {f"{m}_total": F.sum(m).over(so_far) for m in measures}
     totals["_rows_total"] = F.count("_foreign_value").over(so_far)
     before, sums, features = {}, {}, {}
     for n in FLOW_WINDOWS:
         for total in totals:
-            before[f"{total}_{n}"] = F.lag(total, n).over(W_FLOW)
+            before[f"{total}_{n}"] = F.lag(total, n).over(by_flow())
         full = F.col("_rows_total") - F.coalesce(f"_rows_total_{n}", F.lit(0)) == n
         for m in measures:
             earlier = F.coalesce(f"{m}_total_{n}", F.lit(0.0))
@@ -49,7 +50,7 @@ def _flow_layers() -> list[Layer]:
             F.col(f"_foreign_{n}"), F.col(f"_foreign_{n}") + F.col(f"_domestic_{n}"))
     current = {f"_now_{name}": inf_to_null(c) for name, c in features.items()}
     lagged = {
-        name: F.when(F.col("has_flow"), F.lag(f"_now_{name}", 1).over(W_FLOW)) for name in features
+        name: F.when(F.col("has_flow"), F.lag(f"_now_{name}", 1).over(by_flow())) for name in features
     }
     return [bases, totals, before, sums, current, lagged]
 

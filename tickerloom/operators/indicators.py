@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.functions.scalar import inf_to_null, safe_divide
 from tickerloom.functions.series import (
-    W, crossover_flag, gated, lag_diff, pct_change, rolling_mean, rolling_sum, rows,
+    by_ticker, crossover_flag, gated, lag_diff, pct_change, rolling_mean, rolling_sum, rows,
     share_flag, sign_change_flag, trend_layers,
 )
 from tickerloom.operators.recursive import with_recursive_series
@@ -188,7 +188,7 @@ def _cumulative(c: Column) -> Column:
 
 def _obv():
     close = F.col("close")
-    step = F.coalesce(F.signum(close - F.lag(close).over(W)) * F.col("volume"), F.lit(0.0))
+    step = F.coalesce(F.signum(close - F.lag(close).over(by_ticker())) * F.col("volume"), F.lit(0.0))
     obv = F.col("_obv")
     ratio = {"obv_to_ma20_ratio": inf_to_null(safe_divide(obv, F.col("_obv_mean")))}
     return [
@@ -232,7 +232,7 @@ def _cmf():
 
 def _mfi():
     typical = (F.col("high") + F.col("low") + F.col("close")) / 3
-    before, money = F.lag(typical).over(W), typical * F.col("volume")
+    before, money = F.lag(typical).over(by_ticker()), typical * F.col("volume")
     rose, fell = F.col("_rose"), F.col("_fell")
     mfi = F.col("_mfi")
     up, down = F.col("_rose14"), F.col("_fell14")
@@ -301,7 +301,7 @@ def with_indicators(bars: DataFrame, names) -> tuple[DataFrame, list[str]]:
     """``bars`` with working and feature columns of the named indicators; feature names."""
     chosen = [INDICATORS[n] for n in names]
     df = with_recursive_series(bars, [s for i in chosen for s in i.series])
-    df = df.withColumn("_rn", F.row_number().over(W))
+    df = df.withColumn("_rn", F.row_number().over(by_ticker()))
     stacks = [i.layers() for i in chosen]
     for level in range(max(map(len, stacks))):
         layer = {k: v for stack in stacks if level < len(stack) for k, v in stack[level].items()}
@@ -312,4 +312,5 @@ def with_indicators(bars: DataFrame, names) -> tuple[DataFrame, list[str]]:
 def indicator(bars: DataFrame, name: str) -> DataFrame:
     """Features of one indicator on the rows where its base series is known."""
     df, features = with_indicators(bars, [name])
-    return df.dropna(subset=list(INDICATORS[name].base) or None).select("ticker", "date", *features)
+    base = list(INDICATORS[name].base)
+    return (df.dropna(subset=base) if base else df).select("ticker", "date", *features)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickerloom.constants import LABEL_QUANTILE, LABEL_WINDOWS, LABELS, TEST_LENGTH, VAL_LENGTH
 from tickerloom.functions.naming import label_config
 from tickerloom.functions.scalar import pct_change_to
-from tickerloom.functions.series import W, forward_quantile
+from tickerloom.functions.series import by_ticker, forward_quantile
 
 
 def forward_return(df: DataFrame, windows=LABEL_WINDOWS, column: str = "close",
@@ -29,7 +29,7 @@ def with_labels(df: DataFrame, label_types=tuple(LABELS), windows=LABEL_WINDOWS,
     """
     whole = Window.partitionBy("ticker")
     out = forward_return(df, windows).withColumn(
-        "_age", F.count("*").over(whole) - F.row_number().over(W) + 1)
+        "_age", F.count("*").over(whole) - F.row_number().over(by_ticker()) + 1)
     thresholds, classes = {}, {}
     for w in windows:
         recent = F.when(F.col("_age").between(w + 1, w + test_length), F.col(f"forward_{w}"))

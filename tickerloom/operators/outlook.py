@@ -13,7 +13,8 @@ from tickerloom.functions.scalar import pct_change_to, tiers
 from tickerloom.functions.series import forward_quantile
 from tickerloom.operators.cleaning import lookback_filter
 
-BY_INDEX = Window.partitionBy("index_name").orderBy("date")
+def by_index():
+    return Window.partitionBy("index_name").orderBy("date")
 
 
 def latest_and_previous(index_bars: DataFrame) -> DataFrame:
@@ -147,7 +148,7 @@ def avg_score_by_date(scores: DataFrame) -> DataFrame:
 
 def index_returns(index_bars: DataFrame, window: int) -> DataFrame:
     """Percent move of each index to the lower-median of its next closes."""
-    ahead = forward_quantile("close", window, LABEL_QUANTILE, BY_INDEX)
+    ahead = forward_quantile("close", window, LABEL_QUANTILE, by_index())
     return index_bars.withColumn("ahead", ahead).select(
         "index_name", "date", pct_change_to("ahead", "close").alias("median_gain"))
 

@@ -44,7 +44,7 @@ def classify_vix(spark, sf):
 
 def _daily_moves(spark, sf):
     index = t.index_bars(spark, sf)
-    moves = index.withColumn("before", F.lag("close").over(outlook.BY_INDEX))
+    moves = index.withColumn("before", F.lag("close").over(outlook.by_index()))
     # one percent of a move: daily values of the events swing widely
     scaled = F.bround(outlook.pct_change_to("close", "before") / 100, 4)
     return moves.withColumn("change_pct", scaled).where("change_pct IS NOT NULL")

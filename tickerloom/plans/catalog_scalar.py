@@ -12,7 +12,7 @@ from tickerloom.operators import cleaning
 from tickerloom.operators.features import missing_features
 from tickerloom.operators.metrics import METRICS, performance_by_ticker
 from tickerloom.operators.metrics import prefix_metric_columns as side_by_side
-from tickerloom.operators.outlook import BY_INDEX, change_pct, classify_fx, classify_index
+from tickerloom.operators.outlook import by_index, change_pct, classify_fx, classify_index
 from tickerloom.plans import inputs
 from tickerloom.plans.registry import query, rounded
 from tickerloom.sources import tables as t
@@ -172,7 +172,7 @@ def lookback_filter(spark, sf):
 def sentiment_template(spark, sf):
     """FX and index texts of every day's move."""
     index = t.index_bars(spark, sf)
-    before = F.lag("close").over(BY_INDEX)
+    before = F.lag("close").over(by_index())
     moves = index.withColumn("before", before).withColumn("change_pct", change_pct("close", "before"))
     moves = moves.where("change_pct IS NOT NULL").withColumns({"fx": classify_fx(), "ix": classify_index()})
     return moves.select("index_name", "date", F.col("fx.description").alias("fx_text"),

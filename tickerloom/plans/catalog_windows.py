@@ -71,12 +71,12 @@ def shift_all(spark, sf):
     """Flow columns one joined row later."""
     joined = features.join_bars_flow(t.bars(spark, sf), t.flow(spark, sf))
     return joined.select("ticker", "date", *[
-        F.lag(c, 1).over(w.W).alias(c) for c in ("foreign_buy", "foreign_sell", "volume")])
+        F.lag(c, 1).over(w.by_ticker()).alias(c) for c in ("foreign_buy", "foreign_sell", "volume")])
 
 
 @query
 def trend_slope(spark, sf):
-    df = t.bars(spark, sf).withColumn("_rn", F.row_number().over(w.W))
+    df = t.bars(spark, sf).withColumn("_rn", F.row_number().over(w.by_ticker()))
     for layer in w.trend_layers("close", 10, "rising", "falling"):
         df = df.withColumns(layer)
     return df.select("ticker", "date", "rising", "falling")
@@ -97,7 +97,7 @@ def crossover_flag(spark, sf):
 
 @query
 def sign_change_flag(spark, sf):
-    df = t.bars(spark, sf).withColumn("move", F.col("close") - F.lag("close").over(w.W))
+    df = t.bars(spark, sf).withColumn("move", F.col("close") - F.lag("close").over(w.by_ticker()))
     return df.select("ticker", "date", w.sign_change_flag("move").alias("changed"))
 
 

@@ -16,8 +16,11 @@ def query(function):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles to ``digits`` places, so that summation order does not show."""
+    """Doubles to ``digits`` places, so that summation order does not show.
+
+    Rounding first to four places more puts noisy halves back on the half.
+    """
     return df.select(*[
-        F.round(F.col(f"`{name}`"), digits).alias(name) if kind == "double" else F.col(f"`{name}`")
+        F.round(F.round(F.col(f"`{name}`"), digits + 4), digits).alias(name) if kind == "double" else F.col(f"`{name}`")
         for name, kind in df.dtypes
     ])
