@@ -13,6 +13,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -334,6 +335,14 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def has_model(spark, path: str) -> bool:
+    """Whether a stored model is at ``path``; its metadata folder is looked up."""
+    try:
+        return bool(spark.read.text(f"{path}/metadata").limit(1).count())
+    except AnalysisException:
+        return False
+
+
 def save_ticker_models(models: DataFrame, path: str) -> None:
     """All per-ticker models as one table: thousands of small files would be slower to list."""
     models.write.mode("overwrite").parquet(path)
