@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tickerloom.constants import FEATURES, FUNDAMENTALS
 from tickerloom.functions import scalar as s
 from tickerloom.functions.naming import FEATURE_COLUMNS, camel_label, combined_columns, label_config
@@ -16,7 +17,6 @@ from tickerloom.functions.quantiles import describe, exact_quantiles
 from tickerloom.operators import boosting, cleaning, labels, metrics, models, outlook, recommend, scoring, universe
 from tickerloom.operators.indicators import INDICATORS, indicator, with_indicators
 from tickerloom.operators.recursive import turning_points, zigzag
-from tickerloom.plans.registry import QUERIES
 from tickerloom.sources import files, tables
 from tickerloom.streaming.landing import land_snapshots, landed_flow
 
@@ -165,23 +165,20 @@ def test_flag_sums(spark):
 
 
 def brute_turns(close, reversal):
-    """Row by row: keep the best price since the last turn, turn when it is left far enough."""
-    side = next((1 if c > close[0] else -1 for c in close if abs(c - close[0]) >= reversal * close[0]), 0)
-    points = [(0, -side)] if side else []
-    start = 0
-    while side:
-        best, found = start, None
-        for i in range(start + 1, len(close)):
-            if (close[i] - close[best]) * side >= 0:
-                best = i
-            elif abs(close[i] - close[best]) >= reversal * close[best]:
-                found = best
-                break
-        if found is None:
-            break
-        points.append((found, side))
-        start, side = found, -side
-    return points
+    """The same turns from running extremes of the whole rest of the series."""
+    moved = np.flatnonzero(np.abs(close - close[0]) >= reversal * close[0])
+    if not len(moved):
+        return []
+    points = [(0, -1 if close[moved[0]] > close[0] else 1)]
+    while True:
+        row, side = points[-1][0], -points[-1][1]
+        heights = close[row:] * side
+        best = np.maximum.accumulate(heights)
+        left = np.flatnonzero(best - heights >= reversal * np.abs(best))
+        if not len(left):
+            return points
+        top = np.flatnonzero(heights[:left[0]] == best[left[0]])[-1]
+        points.append((row + int(top), side))
 
 
 def test_zigzag_against_brute_force():
@@ -258,4 +255,4 @@ def test_outlook_json_is_nested(spark, tmp_path):
 
 @pytest.mark.parametrize("name", ["ind_zigzag", "score_fitted", "train_per_ticker", "train_stacker"])
 def test_queries_without_sql_run(spark, name):
-    assert QUERIES[name](spark, SF).count() > 0
+    assert entry.queries()[name](spark, SF).count() > 0

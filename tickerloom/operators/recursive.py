@@ -119,12 +119,13 @@ def fisher(b, n=10):
 
 def next_turn(close, row, side, reversal):
     """Row of the next extreme on ``side`` that is left by ``reversal``, or None."""
-    heights = close[row:] * side
-    best = np.maximum.accumulate(heights)
-    left = np.flatnonzero(best - heights >= reversal * np.abs(best))
-    if not len(left):
-        return None
-    return row + int(np.flatnonzero(heights[:left[0]] == best[left[0]])[-1])
+    best = row
+    for i in range(row + 1, len(close)):
+        if (close[i] - close[best]) * side >= 0:
+            best = i
+        elif abs(close[i] - close[best]) >= reversal * close[best]:
+            return best
+    return None
 
 
 def turning_points(close, reversal):
@@ -133,7 +134,8 @@ def turning_points(close, reversal):
     if not len(moved):
         return []
     points = [(0, -1 if close[moved[0]] > close[0] else 1)]
-    while (row := next_turn(close, points[-1][0], -points[-1][1], reversal)) is not None:
+    prices = close.tolist()
+    while (row := next_turn(prices, points[-1][0], -points[-1][1], reversal)) is not None:
         points.append((row, -points[-1][1]))
     return points
 

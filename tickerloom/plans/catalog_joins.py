@@ -13,11 +13,18 @@ from tickerloom.operators.labels import label_threshold as thresholds
 from tickerloom.operators.labels import make_splits as splits
 from tickerloom.plans import inputs
 from tickerloom.plans.registry import query, rounded
+from tickerloom.session import through_table
 from tickerloom.sources import tables as t
 
 COMBOS = ["model_version", "label_type", "window"]
 
 
+def _simulation(spark, sf):
+    """The simulated trades, written once: the statistics below read them several times."""
+    return through_table(
+        scoring.trading_simulation(inputs.test_scores(spark, sf), t.bars(spark, sf), 5), "simulation")
+
+
 @query
 def join_bars_flow(spark, sf):
     return rounded(features.join_bars_flow(t.bars(spark, sf), t.flow(spark, sf)), 4)
@@ -75,13 +82,13 @@ def ticker_availability(spark, sf):
 @query
 def threshold_sweep_join(spark, sf):
     """Rows and mean loss per threshold."""
-    simulation = scoring.trading_simulation(inputs.test_scores(spark, sf), t.bars(spark, sf), 5)
+    simulation = _simulation(spark, sf)
     return rounded(scoring.threshold_sweep(simulation, "loss").select("threshold", "rows", "mean"))
 
 
 @query
 def attach_bin_targets(spark, sf):
-    simulation = scoring.trading_simulation(inputs.test_scores(spark, sf), t.bars(spark, sf), 5)
+    simulation = _simulation(spark, sf)
     targets = scoring.bin_buy_sell_pct(simulation)
     scored = t.scores(t.bars(spark, sf)).withColumn("bin", recommend.score_bin("score"))
     return rounded(recommend.attach_bin_targets(scored, targets).select(
@@ -144,19 +151,19 @@ def describe(spark, sf):
 
 @query
 def bin_buy_sell_pct(spark, sf):
-    simulation = scoring.trading_simulation(inputs.test_scores(spark, sf), t.bars(spark, sf), 5)
+    simulation = _simulation(spark, sf)
     return rounded(scoring.bin_buy_sell_pct(simulation))
 
 
 @query
 def threshold_sweep(spark, sf):
-    simulation = scoring.trading_simulation(inputs.test_scores(spark, sf), t.bars(spark, sf), 5)
+    simulation = _simulation(spark, sf)
     return rounded(scoring.threshold_sweep(simulation, "profit"))
 
 
 @query
 def score_distribution(spark, sf):
-    simulation = scoring.trading_simulation(inputs.test_scores(spark, sf), t.bars(spark, sf), 5)
+    simulation = _simulation(spark, sf)
     return rounded(scoring.score_distribution(simulation, "profit"))
 
 
@@ -181,7 +188,7 @@ def select_best_restart(spark, sf):
     """The three forecasting models stand for restarts."""
     perf = inputs.performance(spark, sf).select(
         F.col("model_version").alias("restart"), "ticker", F.col("test_gini").alias("gini"))
-    return rounded(metrics.select_best_restart(perf))
+    return rounded(metrics.select_best_restart(through_table(perf, "restarts")))
 
 
 @query

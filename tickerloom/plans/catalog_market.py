@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickerloom.operators import metrics, outlook, recommend, scoring, universe
 from tickerloom.plans import inputs
 from tickerloom.plans.registry import QUERIES, query, rounded
-from tickerloom.session import shared_folder
+from tickerloom.session import shared_folder, through_table
 from tickerloom.sources import files
 from tickerloom.sources import tables as t
 
@@ -122,7 +122,8 @@ def _recommendations(spark, sf):
     scores = t.scores(bars)
     newest = scores.agg(F.max("date").alias("d"))
     today = scores.where(F.col("date") == newest.scalar())
-    targets = scoring.bin_buy_sell_pct(scoring.trading_simulation(inputs.test_scores(spark, sf), bars, 5))
+    simulated = through_table(scoring.trading_simulation(inputs.test_scores(spark, sf), bars, 5), "simulation")
+    targets = scoring.bin_buy_sell_pct(simulated)
     return recommend.daily_recommendation(today, bars, targets)
 
 
@@ -139,4 +140,4 @@ def recommendation_records(spark, sf):
 @query
 def performance_overview(spark, sf):
     columns = [f"{side}_{m}" for side in ("train", "test") for m in metrics.METRICS]
-    return rounded(metrics.performance_overview(inputs.performance(spark, sf), columns))
+    return rounded(metrics.performance_overview(through_table(inputs.performance(spark, sf), "performance"), columns))
