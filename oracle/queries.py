@@ -317,7 +317,7 @@ add("split_train_test", f"""SELECT * FROM (SELECT ticker, date, close, volume, "
  FROM labelled JOIN bars USING (ticker, date, close), splits_5 WHERE "Median Gain 5dd" IS NOT NULL)
  WHERE fold IS NOT NULL""", "close")
 _PREPARED = {"prepared": f"""SELECT ticker, date, {score(32, 22)} AS p, "Median Gain 5dd" AS y_true, {SPLIT} AS split,
- CASE WHEN {TRAIN_OR_TEST} = 'train' THEN train_gini ELSE test_gini END AS gini
+ coalesce(CASE WHEN {TRAIN_OR_TEST} = 'train' THEN train_gini ELSE test_gini END, 0e0) AS gini
  FROM labelled JOIN gain_performance USING (ticker), splits_5
  WHERE date BETWEEN train_start AND train_end OR date >= test_start"""}
 add("score_prepare", "SELECT * FROM prepared", "p gini", extra=_PREPARED)

@@ -26,6 +26,7 @@ from tickerloom.constants import MARKET, RESTARTS, SEARCH_ITERATIONS, SEED
 from tickerloom.operators import boosting
 from tickerloom.operators.cleaning import split_masks
 from tickerloom.operators.metrics import gini, select_best_restart
+from tickerloom.session import through_table
 
 # search spaces (fixed values)
 TREE_SPACE = {"depth": (1, 5), "rate": (0.01, 0.1), "l2": (0.5, 3.0)}
@@ -300,7 +301,7 @@ def train_router(version: int, rows: DataFrame, features: list[str], positive: s
     """
     failures: dict[str, str] = {}
     if version == 1:
-        models = train_per_ticker(rows, features, search)
+        models = through_table(train_per_ticker(rows, features, search), "ticker-models")  # fitted once
         p = forecast_per_ticker(rows, models, features)
         made = rows.drop(*features).join(p, ["ticker", "date"]).select(
             "ticker", "date", "y_true",

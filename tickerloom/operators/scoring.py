@@ -19,13 +19,14 @@ from tickerloom.session import through_table
 def score_prepare(forecasts: DataFrame, performance: DataFrame, splits: dict) -> DataFrame:
     """Forecasts with their split and the Gini that belongs to it.
 
-    Train rows carry the train Gini; test and forecast rows the test Gini.
+    Train rows carry the train Gini; test and forecast rows the test Gini. A Gini that could
+    not be computed, for want of rows, counts as 0 like that of a single class.
     """
     parts = split_masks(forecasts, splits).where(F.col("split").isin("train", "test", "forecast"))
     known = performance.select("ticker", "train_gini", "test_gini")
     joined = parts.join(known, "ticker")
     gini = F.when(F.col("split") == "train", F.col("train_gini")).otherwise(F.col("test_gini"))
-    return joined.withColumn("gini", gini).drop("train_gini", "test_gini", "train_val")
+    return joined.withColumn("gini", F.coalesce(gini, F.lit(0.0))).drop("train_gini", "test_gini", "train_val")
 
 
 def score_train(prepared: DataFrame, positive: str, inputs=("p", "gini"), target: str = "y_true"):
