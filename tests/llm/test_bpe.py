@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -20,9 +21,9 @@ OWN = bpe.Vocabulary(open(PATH, encoding="utf-8").read())
 
 
 def own(text):
-    found = bpe.array("i")
+    found = bytearray()
     OWN.encode(text, found)
-    return found.tolist()
+    return np.frombuffer(found, np.int32).tolist()
 
 
 def library(text):

@@ -27,10 +27,15 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words whose symbols a task keeps; at this number it starts anew.
-CACHE = 400_000
+from tickerloom.llm.common import text_udf
+
+#: Words, and stretches of text without white space, whose ids a Python worker keeps; longer ones are not kept.
+CACHE, KEPT = 400_000, 40
+#: Bits of a symbol's number.
+BITS = 20
 #: White space as the vocabulary's normaliser takes it (the Unicode property, without the separators 1C to 1F).
-SPACE = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+SEPARATORS = regex.compile("[\x1c-\x1f]")
 
 
 def byte_letters() -> list[str]:
@@ -43,33 +48,59 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
-def merge(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Merge adjacent symbols; ``pairs`` maps a pair to its rank and the symbol it becomes."""
-    n = len(symbols)
-    symbols, before, after = list(symbols), list(range(-1, n - 1)), [*range(1, n), -1]
-    queue = [(*pairs[p], i, *p) for i, p in enumerate(zip(symbols, symbols[1:])) if p in pairs]
-    queue = [(rank, i, left, right, new) for rank, new, i, left, right in queue]
+def merge(symbols: list[int], ranks: dict[int, int], made: list[int]) -> list[int]:
+    """Merge adjacent symbols. ``ranks`` maps a pair (``left << BITS | right``) to its rank, ``made`` a rank to its symbol.
+
+    A queue entry is ``rank << 32 | place``. It is stale unless the pair that now begins at its place has its rank.
+    """
+    n, get, push = len(symbols), ranks.get, heapq.heappush
+    if n == 1:
+        return symbols
+    symbols, before, after = symbols.copy(), list(range(-1, n - 1)), list(range(1, n + 1))
+    after[-1] = -1
+    queue, left = [], symbols[0]
+    for i in range(1, n):
+        right = symbols[i]
+        if (rank := get(left << BITS | right)) is not None:
+            queue.append(rank << 32 | i - 1)
+        left = right
     heapq.heapify(queue)
+    pop = heapq.heappop
     while queue:
-        _, i, left, right, new = heapq.heappop(queue)
-        j = after[i]
-        if symbols[i] != left or j < 0 or symbols[j] != right:
+        entry = pop(queue)
+        i, rank = entry & 0xFFFFFFFF, entry >> 32
+        left, j = symbols[i], after[i]
+        if j < 0 or left < 0 or get(left << BITS | symbols[j]) != rank:
             continue  # stale: one of the two has been merged since
-        symbols[i], symbols[j] = new, -1
+        symbols[i] = new = made[rank]
+        symbols[j] = -1
         after[i] = k = after[j]
         if k >= 0:
             before[k] = i
-            if (p := (new, symbols[k])) in pairs:
-                rank, then = pairs[p]
-                heapq.heappush(queue, (rank, i, *p, then))
-        if (h := before[i]) >= 0 and (p := (symbols[h], new)) in pairs:
-            rank, then = pairs[p]
-            heapq.heappush(queue, (rank, h, *p, then))
-    out, i = [], 0
-    while i >= 0:
-        out.append(symbols[i])
-        i = after[i]
-    return out
+            if (rank := get(new << BITS | symbols[k])) is not None:
+                push(queue, rank << 32 | i)
+        h = before[i]
+        if h >= 0 and (rank := get(symbols[h] << BITS | new)) is not None:
+            push(queue, rank << 32 | h)
+    return [s for s in symbols if s >= 0]
+
+
+class Kept(dict):
+    """The results of a function for short strings: at ``CACHE`` of them the younger half stays for those that come again."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function, self.older = function, {}
+
+    def __missing__(self, text: str) -> bytes:
+        if (found := self.older.get(text)) is None:
+            found = self.function(text)
+        if len(text) <= KEPT:
+            if len(self) >= CACHE // 2:
+                self.older = dict(self)
+                self.clear()
+            self[text] = found
+        return found
 
 
 class Vocabulary:
@@ -80,44 +111,49 @@ class Vocabulary:
         model, self.end = made["model"], made["model"]["end_of_word_suffix"] or ""
         ids = model["vocab"]
         self.names = {i: name for name, i in ids.items()} | {t["id"]: t["content"] for t in made["added_tokens"]}
-        self.pairs = {}
-        for rank, pair in enumerate(model["merges"]):
-            left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.pairs.setdefault((ids[left], ids[right]), (rank, ids[left + right]))
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
+        self.made = [ids[left + right] for left, right in pairs]
+        self.ranks: dict[int, int] = {}
+        for rank, (left, right) in enumerate(pairs):
+            self.ranks.setdefault(ids[left] << BITS | ids[right], rank)
         letters = byte_letters()
         self.inner = [ids[x] for x in letters]
         self.last = [ids[x + self.end] for x in letters]
         self.special = {t["content"]: t["id"] for t in made["added_tokens"]}
         self.split_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
-        pattern = made["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace("\\s", SPACE[1:-1])
-        self.words, self.spaces = regex.compile(pattern), regex.compile(SPACE + "+")
-        self.cache: dict[str, list[int]] = {}
-
-    def word(self, word: str) -> list[int]:
-        if (known := self.cache.get(word)) is None:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            data = word.encode("utf-8")
-            symbols = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
-            self.cache[word] = known = merge(symbols, self.pairs)
-        return known
-
-    def _plain(self, text: str, found: array) -> None:
+        pattern = made["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace("\\s", SPACE)
+        self.words = regex.compile(pattern)
+        self.of_word, self.of_stretch = Kept(self._merged), Kept(self._parted)
+
+    def _merged(self, word: str) -> bytes:
+        data = word.encode("utf-8")
+        symbols = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
+        return array("i", merge(symbols, self.ranks, self.made)).tobytes()
+
+    def _parted(self, stretch: str) -> bytes:
+        return b"".join([self.of_word[word] for word in self.words.findall(stretch)])
+
+    def _plain(self, text: str, found: bytearray) -> None:
+        """No word spans white space, so which white space there is doesn't matter."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
-        text = self.spaces.sub(" ", text)
         # Each character by itself, so a capital sigma never becomes a final one.
         text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-        for word in self.words.findall(text):
-            found.extend(self.word(word))
-
-    def encode(self, text: str, found: array) -> None:
-        """Append the ids of a whole text to ``found``."""
+        if SEPARATORS.search(text):  # white space for str.split only
+            for word in self.words.findall(text):
+                found += self.of_word[word]
+            return
+        for stretch in text.split():
+            found += self.of_stretch[stretch]
+
+    def encode(self, text: str, found: bytearray) -> None:
+        """Append the ids of a whole text to ``found``, four bytes each."""
         at = 0
-        for hit in self.split_special.finditer(text):
-            self._plain(text[at:hit.start()], found)
-            found.append(self.special[hit[0]])
-            at = hit.end()
+        if "<" in text:
+            for hit in self.split_special.finditer(text):
+                self._plain(text[at:hit.start()], found)
+                found += array("i", [self.special[hit[0]]]).tobytes()
+                at = hit.end()
         self._plain(text[at:] if at else text, found)
 
     def decode(self, ids: list[int]) -> str:
@@ -148,14 +184,14 @@ def encoded(spark: SparkSession, path: str, text: Column) -> Column:
     """The ids (array of int) of a text column."""
     shared = _shared(spark, path)
 
-    @F.arrow_udf("array<int>")
+    @text_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(shared)
         for texts in batches:
-            found, ends = array("i"), [0]
+            found, ends = bytearray(), [0]
             for text in texts:
                 vocabulary.encode(text.as_py() or "", found)
-                ends.append(len(found))
+                ends.append(len(found) // 4)
             values = pa.array(np.frombuffer(found, np.int32))
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
@@ -166,7 +202,7 @@ def decoded(spark: SparkSession, path: str, ids: Column) -> Column:
     """The text of a column of ids."""
     shared = _shared(spark, path)
 
-    @F.arrow_udf("string")
+    @text_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(shared)
         for lists in batches:

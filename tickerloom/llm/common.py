@@ -11,6 +11,25 @@ from tickerloom.session import through_table
 FOLDS = 5
 
 
+#: Bytes of texts that one Arrow batch may hold, and rows. Two workers of an executor hold a few batches each.
+BATCH_BYTES, BATCH_ROWS = 8_000_000, 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch limits to the ones above; texts may be very long. Limits below them stay."""
+    for key, most in (("maxBytesPerBatch", BATCH_BYTES), ("maxRecordsPerBatch", BATCH_ROWS)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
+def text_udf(kind: str):
+    """An Arrow function over columns that hold whole texts, called with small batches."""
+    small_batches(SparkSession.active())
+    return F.arrow_udf(kind)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import labelled_sample, numbered, whole_text
+from tickerloom.llm.common import labelled_sample, numbered, text_udf, whole_text
 
 #: Labelled texts and megabytes that the classifier may read.
 SAMPLE_ROWS, SAMPLE_MEGABYTES = 4_000, 32
@@ -95,7 +95,7 @@ def members(docs: DataFrame, model: Domains) -> DataFrame:
     """The stored rows of ``docs`` with ``tokens`` (words) and ``posterior`` (one number per domain)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers per domain
 
-    @F.arrow_udf("struct<tokens:bigint,posterior:array<double>>")
+    @text_udf("struct<tokens:bigint,posterior:array<double>>")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         domains = shared.value
         for texts in batches:
@@ -183,7 +183,7 @@ def mixed(
     directions, _, _ = fit_rates(parts, domains, asked, at_least)
     shared = spark.sparkContext.broadcast(directions)  # steps x domains numbers
 
-    @F.arrow_udf("double")
+    @text_udf("double")
     def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
             p = lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, domains)

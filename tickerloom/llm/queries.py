@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import bpe, exact_dedup, mixing, simhash, toxicity
+from tickerloom.llm import (
+    bpe, exact_dedup, mixing, quality_knn, quality_rules, secret_scan, sharding, simhash, substring_dedup, toxicity,
+)
 from tickerloom.llm.common import held_out, read_table, whole_text
 
 VOCABULARY = "word_bpe_49k.json"
@@ -28,6 +30,70 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs, labels).select("doc_id", "tokens", "posterior", "rate", "copies")
 
 
+def _joined(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of the base rules and of further token formats; the base ones counted and digested."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", secret_scan.secrets(whole_text()).alias("found"))
+    base = [rule.kind for rule in secret_scan.BASE]
+
+    def number(kind):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[number(kind) for kind in base],
+        F.sha2(_joined(F.filter("found", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        _joined(F.col("found")).alias("spans"),
+    )
+
+
+def _spans_sql(place: int, rule: secret_scan.Rule) -> str:
+    """SQL for the spans of one rule: the texts between matches and the matches give every start."""
+    pattern, short = {
+        "assign": (
+            r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
+            r"""|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+""",
+            r"""regexp_extract(hit, '^[A-Za-z_]+["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)""",
+        ),
+        # A run that is too short holds no longer run, so the least length can be part of the pattern.
+        "access": (r"AKIA[A-Z0-9]{12,}", "hit"), "hex": (r"[0-9a-f]{32,}", "hit"),
+        "github": (r"gh[pousr]_[A-Za-z0-9]{36,}", "hit"), "slack": (r"xox[abprs]-[A-Za-z0-9-]{10,}", "hit"),
+        "jwt": (r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", r"regexp_extract(hit, '[A-Za-z0-9_-]+$')"),
+        "pem": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", "hit"),
+    }[rule.kind]
+    return f"""
+        SELECT doc_id, {place} AS place, '{rule.kind}' AS kind, at, at + length(hit) AS stop FROM (
+            SELECT doc_id, hits[i] AS hit,
+                list_sum(list_transform(gaps[:i], lambda x: length(x))) +
+                coalesce(list_sum(list_transform(hits[:i - 1], lambda x: length(x))), 0) AS at
+            FROM (
+                SELECT doc_id, regexp_extract_all(body, '{pattern}') AS hits, regexp_split_to_array(body, '{pattern}') AS gaps,
+                    unnest(generate_series(1, len(regexp_extract_all(body, '{pattern}')))) AS i
+                FROM texts
+            )
+        ) WHERE length({short}) >= {rule.tail if rule.kind in ("assign", "jwt") else 1}"""
+
+
+LLM_ORACLE["op2_secrets"] = f"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+    spans AS ({" UNION ALL ".join(_spans_sql(i, rule) for i, rule in enumerate(secret_scan.RULES))}),
+    named AS (SELECT *, kind || ':' || CAST(at AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM spans),
+    found AS (
+        SELECT doc_id, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access,
+            count(*) FILTER (place = 2) AS n_hex, string_agg(span, ',' ORDER BY at, place) FILTER (place < 3) AS base,
+            string_agg(span, ',' ORDER BY at, place) AS spans
+        FROM named GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM texts LEFT JOIN found USING (doc_id)
+"""
+
+
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -77,6 +143,39 @@ LLM_ORACLE["op6_exact_dedup"] = r"""
 """
 
 
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_knn.learnt(docs, read_table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out().alias("held_out"), quality_knn.quality(spark, model, whole_text()).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    found = quality_rules.judged(docs, labels)
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return found.select("doc_id", *[F.col(f"counts.{name}").alias(name) for name in names], "base_failed", "kept")
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the passages that go (start:end in code points) and the digest of the text that stays."""
+    found = substring_dedup.deduplicated(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    stretch = F.transform("removed", lambda x: F.concat_ws(":", x["start"], x["end"]))
+    length = F.aggregate("removed", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["start"])
+    return found.select(
+        "row.doc_id", F.col("sentences").cast("long").alias("n_sentences"), F.size("removed").cast("long").alias("n_removed"),
+        length.alias("removed_chars"), F.array_join(stretch, ",").alias("removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus pipeline; imported here because it stands outside this subpackage."""

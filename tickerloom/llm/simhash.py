@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import numbered, original, whole_text
+from tickerloom.llm.common import numbered, original, text_udf, whole_text
 from tickerloom.llm.components import connected
 from tickerloom.session import through_table
 
@@ -60,7 +60,7 @@ def bits_of(text: str) -> int:
 def fingerprint(text: Column) -> Column:
     """The SimHash of a text column as a signed 64-bit number."""
 
-    @F.arrow_udf("long")
+    @text_udf("long")
     def simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             found = np.fromiter((bits_of(t.as_py() or "") for t in texts), np.uint64, len(texts))

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import labelled_sample, whole_text
+from tickerloom.llm.common import labelled_sample, text_udf, whole_text
 
 #: Labelled texts and megabytes that the fit may read.
 SAMPLE_ROWS, SAMPLE_MEGABYTES = 6_000, 48
@@ -189,26 +189,26 @@ def _weights(features: np.ndarray, labels: np.ndarray, ridge: float = 0.002) ->
 def fit(sample: list[tuple[str, int]]) -> Model:
     """A model from labelled texts (label 1: toxic)."""
     share = sum(bool(y) for _, y in sample) / len(sample) if sample else 0.0
-    toxic = [(t, words_of(t)) for t, y in sample if y]
-    ordinary = [(t, words_of(t)) for t, y in sample if not y]
+    toxic, ordinary = [t for t, y in sample if y], [t for t, y in sample if not y]
     nothing = Model(b"", b"", (), min(share, 0.49))
     if len(toxic) < 4 or len(ordinary) < 4:
         return nothing
     # Of few texts all serve both purposes.
     part = 2 if len(sample) >= 2 * FEW else 1
-    learn = [[words for _, words in x[: (len(x) + 1) // part]] for x in (toxic, ordinary)]
+    learn = [[words_of(t) for t in x[: (len(x) + 1) // part]] for x in (toxic, ordinary)]
     check = [x[(len(x) + 1) // part:] if part == 2 else x for x in (toxic, ordinary)]
     pieces = toxic_pieces(*learn)
     if not pieces:
         return nothing
     base = trained([w for words in learn[1] for w in windows(words)], ORDINARY_BYTES)
+    del learn
     labels = np.repeat([1.0, 0.0], [len(x) for x in check])
     best = None
     for n in sorted({min(n, len(pieces)) for n in PIECES} | {len(pieces)}):
         extra = b"".join(reversed(pieces[:n]))[-TOXIC_BYTES:]
         harsh = b"\n" * (-len(extra) % ALIGN) + extra + base
         scorer = Scorer(Model(base, harsh, ()))
-        weights, value = _weights(np.array([scorer.features(t) for x in check for t, _ in x]), labels)
+        weights, value = _weights(np.array([scorer.features(t) for x in check for t in x]), labels)
         if best is None or value > best[0] + 0.002:
             best = value, Model(base, harsh, tuple(weights.tolist()))
     return best[1]
@@ -225,7 +225,7 @@ def toxicity(spark: SparkSession, model: Model, text: Column) -> Column:
     """The score, 0 to 1, of a text column."""
     shared = spark.sparkContext.broadcast(model)  # two dictionaries of at most 41 kB
 
-    @F.arrow_udf("double")
+    @text_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
         for texts in batches:
