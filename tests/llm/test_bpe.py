@@ -65,4 +65,8 @@ def test_odd_rows(spark):
         found = docs.select("doc_id", "text", bpe.encoded(spark, PATH, bpe.F.col("text")).alias("ids")).collect()
         assert len(found) == docs.count()
         assert all(r["ids"] == library(r["text"] or "") for r in found)
+        again = docs.select(
+            bpe.encoded(spark, PATH, bpe.F.col("text")).alias("ids"), bpe.round_trip(spark, PATH, bpe.F.col("text")).alias("both"),
+        ).select("ids", "both.*", bpe.decoded(spark, PATH, bpe.F.col("ids")).alias("text")).collect()
+        assert all(r[0] == r[1] and r["decoded"] == r["text"] for r in again)
     assert empty(spark).select(bpe.encoded(spark, PATH, bpe.F.col("text"))).count() == 0

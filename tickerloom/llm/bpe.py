@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tickerloom.llm.common import text_udf
 
 #: Words, and stretches of text without white space, whose ids a Python worker keeps; longer ones are not kept.
-CACHE, KEPT = 400_000, 40
+CACHE, KEPT = 300_000, 40
 #: Bits of a symbol's number.
 BITS = 20
 #: White space as the vocabulary's normaliser takes it (the Unicode property, without the separators 1C to 1F).
@@ -180,6 +180,18 @@ def _shared(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Path(path).read_text("utf-8"))
 
 
+def _lists(vocabulary: Vocabulary, texts: pa.Array) -> pa.ListArray:
+    found, ends = bytearray(), [0]
+    for text in texts:
+        vocabulary.encode(text.as_py() or "", found)
+        ends.append(len(found) // 4)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(found, np.int32)))
+
+
+def _strings(vocabulary: Vocabulary, lists: pa.ListArray) -> pa.Array:
+    return pa.array([vocabulary.decode(x.values.to_numpy().tolist() if x.is_valid else []) for x in lists], pa.string())
+
+
 def encoded(spark: SparkSession, path: str, text: Column) -> Column:
     """The ids (array of int) of a text column."""
     shared = _shared(spark, path)
@@ -188,12 +200,7 @@ def encoded(spark: SparkSession, path: str, text: Column) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(shared)
         for texts in batches:
-            found, ends = bytearray(), [0]
-            for text in texts:
-                vocabulary.encode(text.as_py() or "", found)
-                ends.append(len(found) // 4)
-            values = pa.array(np.frombuffer(found, np.int32))
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            yield _lists(vocabulary, texts)
 
     return encode(text)
 
@@ -206,6 +213,20 @@ def decoded(spark: SparkSession, path: str, ids: Column) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(shared)
         for lists in batches:
-            yield pa.array([vocabulary.decode(x.as_py() or []) for x in lists], pa.string())
+            yield _strings(vocabulary, lists)
 
     return decode(ids)
+
+
+def round_trip(spark: SparkSession, path: str, text: Column) -> Column:
+    """``ids`` of a text column and ``decoded``, the text of those ids, from one Python worker instead of two."""
+    shared = _shared(spark, path)
+
+    @text_udf("struct<ids:array<int>,decoded:string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        vocabulary = _vocabulary(shared)
+        for texts in batches:
+            lists = _lists(vocabulary, texts)
+            yield pa.StructArray.from_arrays([lists, _strings(vocabulary, lists)], ["ids", "decoded"])
+
+    return both(text)

@@ -116,9 +116,8 @@ def _ids(name: str = "ids"):
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     docs = read_table(spark, sf_dir, "documents")
-    ids = docs.select("doc_id", bpe.encoded(spark, path, whole_text()).alias("ids"))
-    both = ids.withColumn("decoded", bpe.decoded(spark, path, F.col("ids")))
-    return both.select(
+    both = docs.select("doc_id", bpe.round_trip(spark, path, whole_text()).alias("both"))
+    return both.select("doc_id", "both.ids", "both.decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(_ids(), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
