@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from tickerloom.llm.common import text_udf
 
-#: Words, and stretches of text without white space, whose ids a Python worker keeps; longer ones are not kept.
-CACHE, KEPT = 300_000, 40
+#: Stretches of text without white space whose ids a Python worker keeps; longer ones are not kept.
+CACHE, KEPT = 500_000, 40
 #: Bits of a symbol's number.
 BITS = 20
 #: White space as the vocabulary's normaliser takes it (the Unicode property, without the separators 1C to 1F).
@@ -123,16 +123,17 @@ class Vocabulary:
         self.split_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         pattern = made["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace("\\s", SPACE)
         self.words = regex.compile(pattern)
-        self.of_word, self.of_stretch = Kept(self._merged), Kept(self._parted)
-
-    def _merged(self, word: str) -> bytes:
-        data = word.encode("utf-8")
+        self.ids_of = Kept(self._ids)
+
+    def _ids(self, stretch: str) -> bytes:
+        """The ids of a stretch without white space: a word, or several words and marks."""
+        words = self.words.findall(stretch)
+        if words != [stretch]:
+            return b"".join([self.ids_of[word] for word in words])
+        data = stretch.encode("utf-8")
         symbols = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
         return array("i", merge(symbols, self.ranks, self.made)).tobytes()
 
-    def _parted(self, stretch: str) -> bytes:
-        return b"".join([self.of_word[word] for word in self.words.findall(stretch)])
-
     def _plain(self, text: str, found: bytearray) -> None:
         """No word spans white space, so which white space there is doesn't matter."""
         if not text.isascii():
@@ -141,10 +142,10 @@ class Vocabulary:
         text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
         if SEPARATORS.search(text):  # white space for str.split only
             for word in self.words.findall(text):
-                found += self.of_word[word]
+                found += self.ids_of[word]
             return
         for stretch in text.split():
-            found += self.of_stretch[stretch]
+            found += self.ids_of[stretch]
 
     def encode(self, text: str, found: bytearray) -> None:
         """Append the ids of a whole text to ``found``, four bytes each."""

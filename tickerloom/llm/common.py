@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +28,19 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def text_udf(kind: str):
-    """An Arrow function over columns that hold whole texts, called with small batches."""
+    """An Arrow function over columns that hold whole texts: small batches, whose memory goes back after each."""
     small_batches(SparkSession.active())
-    return F.arrow_udf(kind)
+
+    def made(function):
+        @wraps(function)
+        def released(batches):
+            for out in function(batches):
+                yield out
+                pa.default_memory_pool().release_unused()
+
+        return F.arrow_udf(kind)(released)
+
+    return made
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
