@@ -1,7 +1,6 @@
 """Shared passages against brute force over all spans."""
 
 import hashlib
-import re
 
 import __spark_entry__ as entry
 from tests.llm.helpers import ODD, SF, clashing, documents, empty, odd
@@ -15,29 +14,30 @@ PASSAGE = (
 
 
 def brute(texts):
-    """Stretches that go from each text; texts are in the order of their ids."""
-    seen, found = {}, []
+    """What is left of each text and how many code points go; texts are in the order of their ids."""
+    seen, parsed = {}, []
     for i, text in enumerate(texts):
-        parts = substring_dedup.sentences(text)
-        for first in range(len(parts)):
-            last, words = first, 0
-            while last < len(parts) and (last - first < substring_dedup.RUN or words < substring_dedup.WORDS):
-                words += parts[last][3]
+        ends, numbers, words = substring_dedup.sentences(text.encode())
+        parsed.append(ends)
+        for first in range(len(ends)):
+            last = first
+            while last < len(ends) and (last - first < substring_dedup.RUN or sum(numbers[first:last]) < substring_dedup.WORDS):
                 last += 1
-            if last - first >= substring_dedup.RUN and words >= substring_dedup.WORDS:
-                seen.setdefault(" ".join(p[2] for p in parts[first:last]), []).append((i, first, last))
+            if last - first >= substring_dedup.RUN and sum(numbers[first:last]) >= substring_dedup.WORDS:
+                key = tuple(b" ".join(w) for w in words[first:last])
+                seen.setdefault(key, []).append((i, first, last))
     gone = {}
     for places in seen.values():
         for i, first, last in sorted(places)[1:]:
             gone.setdefault(i, set()).update(range(first, last))
+    found = []
     for i, text in enumerate(texts):
-        parts, kept, count = substring_dedup.sentences(text), "", 0
-        at = 0
+        data, ends, kept, at = text.encode(), parsed[i], b"", 0
         for k in sorted(gone.get(i, ())):
-            kept += text[at:parts[k][0]]
-            at = parts[k][1]
-            count += parts[k][1] - parts[k][0]
-        found.append((kept + text[at:], count))
+            kept += data[at:ends[k - 1] if k else 0]
+            at = ends[k]
+        left = (kept + data[at:]).decode()
+        found.append((left, len(text) - len(left)))
     return found
 
 
@@ -50,11 +50,23 @@ def test_query(spark):
 
 
 def test_sentences_cover_the_text():
-    for text in [*documents().text[:80], "no end", "... !", "\n\n", "a.b.c", "w " * 100]:
-        parts = substring_dedup.sentences(text)
-        for (_, end, *_), (begin, *_) in zip(parts, parts[1:]):
-            assert end <= begin and not text[end:begin].strip(".!? \t\n\r\x0b\x0c")
-        assert re.sub(" ", "", "".join(p[2] for p in parts)) == re.sub("[ \t-\r]", "", text).lower()
+    for text in [*documents().text[:80], "no end", "... !", "\n\n", "a.b.c", "w " * 100, "", " \n é. "]:
+        data = text.encode()
+        ends, numbers, words = substring_dedup.sentences(data)
+        assert ends == sorted(ends) and (not ends or ends[-1] == len(data))
+        assert [len(w) for w in words] == numbers
+        for begin, end, part in zip([0, *ends], ends, words):
+            assert data[begin:end].lower().split() == part
+
+
+def test_hash_of_a_span_does_not_depend_on_its_place():
+    body = PASSAGE.encode()
+    _, numbers, alone = substring_dedup.sentences(body)
+    _, more, shifted = substring_dedup.sentences(b"Some other words first. And more of them. " + body)
+    ends, moved = substring_dedup.spans(numbers), substring_dedup.spans(more)
+    one, two = substring_dedup.span_hashes(alone, ends), substring_dedup.span_hashes(shifted, moved)
+    assert set(zip(*map(list, one[1:]))) <= set(zip(*map(list, two[1:])))
+    assert len(set(one[1])) == len(one[1]) > 0
 
 
 def test_passage_in_other_surroundings(spark):

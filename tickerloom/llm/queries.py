@@ -170,7 +170,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stretch = F.transform("removed", lambda x: F.concat_ws(":", x["start"], x["end"]))
     length = F.aggregate("removed", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["start"])
     return found.select(
-        "row.doc_id", F.col("sentences").cast("long").alias("n_sentences"), F.size("removed").cast("long").alias("n_removed"),
+        "row.doc_id", F.size("removed").cast("long").alias("n_removed"),
         length.alias("removed_chars"), F.array_join(stretch, ",").alias("removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
     )
 

@@ -1,9 +1,9 @@
 """Passages that texts share, by sliding spans of sentences.
 
 A text is parted into sentences at sentence marks and line ends; a sentence of over ``LONG`` words is parted further
-after words that their hash chooses, so that the same words are parted alike wherever they stand. From every sentence on,
+after words that a property of the word chooses, so that the same words are parted alike wherever they stand. From every sentence on,
 the shortest run of at least ``RUN`` sentences with at least ``WORDS`` words is a span. Spans are equal when their
-words are, in lower case, whatever blanks stand between. All spans of all texts are grouped by hash; the first
+words are (A-Z in lower case), whatever blanks stand between. All spans of all texts are grouped by hash; the first
 occurrence (by id, then position) stays, and every sentence that another occurrence covers is removed.
 
 Grouping has two steps: one 64-bit hash, counted with map-side combine, leaves the few spans that may be repeated; these
@@ -18,6 +18,7 @@ first lose what a span covers; an empty table gives an empty result; extra colum
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,61 +32,95 @@ from tickerloom.session import through_table
 
 #: Sentences and words that a span has at least.
 RUN, WORDS = 3, 20
-#: A longer sentence is parted after words whose hash is divisible by EVERY.
+#: A longer sentence is parted after about every sixth word.
 LONG, EVERY = 12, 6
-SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|$)")
-WORD = re.compile(r"[^\x20\x09-\x0d]+")
-
-
-def sentences(text: str) -> list[tuple[int, int, str, int]]:
-    """(start, end, words joined by blanks, number of words) of every sentence of a text that has a word."""
-    found = []
-    for part in SENTENCE.finditer(text):
-        begin, end = part.span()
-        words = WORD.findall(text, begin, end)
-        if not words:
-            if found:  # marks and blanks alone belong to the sentence before
-                found[-1] = (found[-1][0], end, *found[-1][2:])
-            continue
-        if len(words) <= LONG:
-            found.append((begin, end, " ".join(words).lower(), len(words)))
-            continue
-        hits, first = list(WORD.finditer(text, begin, end)), 0
-        for i, word in enumerate(words):
-            last = i == len(words) - 1
-            if last or xxhash.xxh32_intdigest(word.lower().encode("utf-8", "surrogatepass")) % EVERY == 0:
-                stop = end if last else hits[i].end()
-                found.append((begin, stop, " ".join(words[first:i + 1]).lower(), i + 1 - first))
-                begin, first = stop, i + 1
-    return found
+MARK = re.compile(rb"[.!?]+|\n")
+#: Odd multipliers of the two halves of a span's hash.
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
 
+def _stops(word: bytes) -> bool:
+    """Whether a long sentence is parted after a word: a property of the word alone."""
+    return zlib.crc32(word) % EVERY == 0
 
-def spans(parts: list[tuple[int, int, str, int]]) -> list[tuple[int, int]]:
-    """(first, number) of the sentences of every span."""
-    sizes = np.concatenate(([0], np.cumsum([p[3] for p in parts], dtype=np.int64)))
-    ends = np.maximum(np.searchsorted(sizes, sizes[:-1] + WORDS), np.arange(len(parts)) + RUN)
-    return [(i, e - i) for i, e in enumerate(ends.tolist()) if e <= len(parts)]
+
+def sentences(data: bytes) -> tuple[list[int], list[int], list[list[bytes]]]:
+    """(ends, number of words, words) of the sentences of a text in UTF-8; each begins where the one before ends.
+
+    Blanks and marks without a word of their own belong to the sentence before.
+    """
+    lower, ends, numbers, texts, begin = data.lower(), [], [], [], 0
+    for end in [*(hit.end() for hit in MARK.finditer(lower)), len(lower)]:
+        words = lower[begin:end].split()
+        n = len(words)
+        if not n:
+            if ends:
+                ends[-1] = begin = end
+            continue
+        if n > LONG:
+            first, at = 0, begin
+            for i, word in enumerate(words[:-1]):
+                at = lower.index(word, at) + len(word)
+                if _stops(word):
+                    ends.append(at)
+                    numbers.append(i + 1 - first)
+                    texts.append(words[first:i + 1])
+                    first = i + 1
+            n, words = n - first, words[first:]
+        ends.append(end)
+        numbers.append(n)
+        texts.append(words)
+        begin = end
+    return ends, numbers, texts
+
+
+def spans(numbers: list[int]) -> np.ndarray:
+    """The end of the span that begins at each sentence; the number of sentences + 1 where none does."""
+    n = len(numbers)
+    sizes = np.concatenate(([0], np.cumsum(numbers, dtype=np.int64)))
+    ends = np.maximum(np.searchsorted(sizes, sizes[:-1] + WORDS), np.arange(n) + RUN)
+    return np.minimum(ends, n + 1)
+
+
+def span_hashes(texts: list[list[bytes]], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, h1, h2) of every span: sums of sentence hashes times powers, which don't depend on where the span lies."""
+    first = np.flatnonzero(ends <= len(texts))
+    digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(b" ".join(words)) for words in texts]), "<u8").reshape(-1, 2)
+    found, places = [], np.arange(len(texts) + 1)
+    with np.errstate(over="ignore"):
+        for half, factor in enumerate(FACTORS):
+            up, down = _powers(factor, len(places)), _powers(pow(factor, -1, 1 << 64), len(places))
+            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(digests[:, half] * up[:-1], dtype=np.uint64)))
+            found.append((total[ends[first]] - total[first]) * down[first] + (ends[first] - first).astype(np.uint64))
+    return first, found[0].view(np.int64), found[1].view(np.int64)
+
+
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(factor: int, n: int) -> np.ndarray:
+    """The first ``n`` powers modulo 2^64, kept for the next text."""
+    known = _POWERS.get(factor)
+    if known is None or len(known) < n:
+        with np.errstate(over="ignore"):
+            known = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(2 * n, factor, np.uint64))), dtype=np.uint64)
+        _POWERS[factor] = known
+    return known[:n]
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, first, number, high, low = [], [], [], [], []
+        parts = []
         for rid, text in zip(batch.column("rid").to_pylist(), batch.column("text")):
-            parts = sentences(text.as_py() or "")
-            words = [p[2].encode("utf-8", "surrogatepass") for p in parts]
-            found = spans(parts)
-            rows += [rid] * len(found)
-            for i, n in found:
-                digest = xxhash.xxh3_128_digest(b" ".join(words[i:i + n]))
-                first.append(i)
-                number.append(n)
-                high.append(digest[:8])
-                low.append(digest[8:])
-        as_long = lambda x: pa.array(np.frombuffer(b"".join(x), "<i8"))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.array(first, pa.int32()), pa.array(number, pa.int32()), as_long(high), as_long(low)],
-            ["rid", "first", "number", "h1", "h2"],
-        )
+            _, numbers, texts = sentences((text.as_py() or "").encode("utf-8"))
+            if len(numbers) < RUN:
+                continue
+            ends = spans(numbers)
+            first, h1, h2 = span_hashes(texts, ends)
+            parts.append((np.full(len(first), rid), first.astype(np.int32), (ends[first] - first).astype(np.int32), h1, h2))
+        kinds = (np.int64, np.int32, np.int32, np.int64, np.int64)
+        columns = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, kind) for i, kind in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["rid", "first", "number", "h1", "h2"])
 
 
 def hashed_spans(rows: DataFrame) -> DataFrame:
@@ -102,61 +137,68 @@ def covered(rows: DataFrame) -> DataFrame:
     # Ids order the occurrences; they are looked up for the repeated spans only.
     named = through_table(repeated.join(rows.select("rid", "doc_id"), "rid"), "named")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("rid"), F.col("first"))
-    firsts = named.groupBy("h1", "h2").agg(F.min(order).alias("origin")).select(
-        "h1", "h2", F.col("origin.rid").alias("origin"), F.col("origin.first").alias("origin_first"))
+    firsts = through_table(named.groupBy("h1", "h2").agg(F.min(order).alias("origin")).select(
+        "h1", "h2", F.col("origin.rid").alias("origin"), F.col("origin.first").alias("origin_first")), "firsts")
     later = named.join(firsts, ["h1", "h2"]).where((F.col("rid") != F.col("origin")) | (F.col("first") != F.col("origin_first")))
     return later.groupBy("rid").agg(F.collect_list(F.struct("first", "number")).alias("cover"))
 
 
-def cut(text: str, cover: list[tuple[int, int]]) -> tuple[int, list[tuple[int, int]]]:
-    """The number of sentences of a text and the stretches (start, end) of the covered ones, joined where they touch."""
-    parts = sentences(text)
-    gone = np.zeros(len(parts) + 1, np.int64)
+def cut(data: bytes, cover: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The stretches (start, end in bytes) of the covered sentences of a text, joined where they touch."""
+    ends, _, _ = sentences(data)
+    gone = np.zeros(len(ends) + 1, np.int64)
     for first, number in cover:
         gone[first] += 1
         gone[first + number] -= 1
     removed: list[tuple[int, int]] = []
     for i in np.flatnonzero(np.cumsum(gone)[:-1]).tolist():
-        start, end = parts[i][:2]
+        start, end = ends[i - 1] if i else 0, ends[i]
         if removed and removed[-1][1] == start:
             start = removed.pop()[0]
         removed.append((start, end))
-    return len(parts), removed
+    return removed
 
 
-def without(text: str, removed: list[tuple[int, int]]) -> str:
-    kept, at = [], 0
+def without(data: bytes, removed: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
+    """The text that is left and the removed stretches in code points."""
+    kept, found, at, letters = [], [], 0, 0
     for start, end in removed:
-        kept.append(text[at:start])
-        at = end
-    return "".join(kept) + text[at:]
+        kept.append(data[at:start].decode("utf-8"))
+        letters += len(kept[-1])
+        length = len(data[start:end].decode("utf-8"))
+        found.append((letters, letters + length))
+        letters, at = letters + length, end
+    return "".join(kept) + data[at:].decode("utf-8"), found
 
 
 def _cut_all(texts: Column, covers: Column) -> Column:
-    """``cut`` for columns: a struct of sentences, removed and text."""
+    """``cut`` and ``without`` for columns: a struct of removed and text; texts without a cover are not sent."""
 
-    @text_udf("struct<sentences:int,removed:array<struct<start:int,end:int>>,text:string>")
+    @text_udf("struct<removed:array<struct<start:int,end:int>>,text:string>")
     def cut_batches(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         stretch = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for texts, covers in batches:
-            numbers, stretches, kept = [], [], []
+            stretches, kept = [], []
             for text, cover in zip(texts, covers):
-                text = text.as_py()
-                number, removed = cut(text or "", [(c["first"], c["number"]) for c in cover.as_py() or []])
-                numbers.append(number)
+                if not cover.is_valid:
+                    stretches.append(None)
+                    kept.append(None)
+                    continue
+                data = text.as_py().encode("utf-8")
+                left, removed = without(data, cut(data, [(c["first"], c["number"]) for c in cover.as_py()]))
                 stretches.append([{"start": a, "end": b} for a, b in removed])
-                kept.append(None if text is None else without(text, removed))
-            yield pa.StructArray.from_arrays(
-                [pa.array(numbers, pa.int32()), pa.array(stretches, stretch), pa.array(kept, pa.string())],
-                ["sentences", "removed", "text"],
-            )
+                kept.append(left)
+            yield pa.StructArray.from_arrays([pa.array(stretches, stretch), pa.array(kept, pa.string())], ["removed", "text"])
 
-    return cut_batches(texts, covers)
+    return cut_batches(F.when(covers.isNotNull(), texts), covers)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs`` (in ``row``) with ``sentences``, ``removed`` (start, end in code points) and the text that is left."""
+    """Every row of ``docs`` (in ``row``) with ``removed`` (start, end in code points) and the text that is left."""
     stored = numbered(docs, "passages")
     rows = stored.select("rid", "row.doc_id", "row.text")
-    joined = stored.join(covered(rows), "rid", "left")
-    return joined.withColumn("cut", _cut_all(F.col("row.text"), F.col("cover"))).select("row", "cut.sentences", "cut.removed", "cut.text")
+    joined = stored.join(covered(rows), "rid", "left").withColumn("cut", _cut_all(F.col("row.text"), F.col("cover")))
+    return joined.select(
+        "row", F.coalesce("cut.removed", F.array().cast("array<struct<start:int,end:int>>")).alias("removed"),
+        F.when(F.col("cover").isNotNull(), F.col("cut.text")).otherwise(F.col("row.text")).alias("text"),
+    )
