@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle.ctes import CTE, rounded, statement
+from tickerloom.functions.naming import FEATURE_COLUMNS
 
 W = "PARTITION BY ticker ORDER BY date"
 
@@ -229,6 +230,34 @@ SELECT ticker, i, x, 0.5e0 * ln((1 + x) / (1 - x)) + 0.5e0 * f FROM (
    CASE WHEN a.p[s.i + 1] IS NULL THEN 0e0 ELSE 0.66e0 * a.p[s.i + 1] + 0.67e0 * s.x END AS y
   FROM fish s JOIN arr_fish a ON a.ticker = s.ticker WHERE s.i < len(a.p)))""",
     }, "")
+# Turning points one after another: the first one is the first bar, the next is the latest extreme before a reversal.
+_TURNS = {
+    "turn_start": """SELECT ticker, 1 AS rn, CASE WHEN arg_min(close, rn) > any_value(c0) THEN -1 ELSE 1 END AS side
+FROM (SELECT *, first_value(close) OVER (PARTITION BY ticker ORDER BY date) AS c0 FROM b)
+WHERE abs(close - c0) >= 0.05 * c0 GROUP BY ticker""",
+    "turns": """SELECT ticker, rn, side, 0 AS n FROM turn_start
+UNION ALL
+SELECT ticker, arg_max(rn, {'h': h, 'rn': rn}), -any_value(side), any_value(n) + 1 FROM (
+ SELECT *, min(CASE WHEN best - h >= 0.05 * abs(best) THEN rn END) OVER (PARTITION BY ticker) AS gone FROM (
+  SELECT r.ticker, r.side, r.n, b.rn, b.close * -r.side AS h,
+   max(b.close * -r.side) OVER (PARTITION BY r.ticker ORDER BY b.rn) AS best
+  FROM turns r JOIN b ON b.ticker = r.ticker AND b.rn >= r.rn))
+WHERE rn < gone GROUP BY ticker""",
+    "corners": """SELECT b.ticker, b.rn, b.close, t.side FROM b JOIN turns t ON t.ticker = b.ticker AND t.rn = b.rn WHERE t.n > 0
+UNION ALL SELECT b.ticker, b.rn, b.close, 0 FROM b JOIN (SELECT ticker, max(rn) AS rn FROM b GROUP BY ticker) e
+ ON e.ticker = b.ticker AND e.rn = b.rn""",
+    "zz": f"""SELECT *, CASE WHEN y1 IS NULL THEN y0 ELSE (y1 - y0) / (x1 - x0) * (rn - x0) + y0 END AS zigzag FROM (
+ SELECT b.*, coalesce(c.side, 0) AS point, last_value(c.rn IGNORE NULLS) OVER w AS x0, last_value(c.close IGNORE NULLS) OVER w AS y0,
+  first_value(c.rn IGNORE NULLS) OVER v AS x1, first_value(c.close IGNORE NULLS) OVER v AS y1
+ FROM b LEFT JOIN (SELECT ticker, rn, any_value(close) AS close, max(side) + min(side) AS side FROM corners GROUP BY ticker, rn) c
+  ON c.ticker = b.ticker AND c.rn = b.rn
+ WINDOW w AS (PARTITION BY b.ticker ORDER BY b.date ROWS UNBOUNDED PRECEDING),
+  v AS (PARTITION BY b.ticker ORDER BY b.date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))""",
+}
+IND["zigzag"] = (
+    f"""SELECT ticker, date, {both('zigzag', 'zig_zag_increasing', 'zig_zag_decreasing')},
+ {i('point > 0')} AS zig_zag_high, {i('point < 0')} AS zig_zag_low
+ FROM {trend('zz', ['zigzag'], 5)} WHERE zigzag IS NOT NULL""", _TURNS, "")
 IND["momentum"] = (
     f"""SELECT ticker, date, {', '.join(f'close / lag(close, {n}) OVER ({W}) - 1 AS price_momentum_{n}d' for n in (5, 10, 20))},
  volume / nullif(CASE WHEN rn >= 20 THEN {roll('avg(volume)', 20)} END, 0) AS volume_ratio_20d FROM b""",
@@ -262,18 +291,28 @@ def sql(name):
     return statement(rounded(body, doubles, 4) if doubles else body, extra)
 
 
-def everything():
-    """All non-repainting indicators joined to the bars."""
+def everything(leave_out=("zigzag",)):
+    """Body, table expressions and rounded columns of the indicators joined to the bars, without the repainting one."""
     parts, extra, doubles = [], {}, []
     names = sorted({x for name in IND for x in _series_of(name)})
     extra.update(smoothed(*names))
     for name, (body, own, cols) in IND.items():
+        if name in leave_out:
+            continue
         extra.update({k: v for k, v in own.items() if k not in ("rec", "rb")})
         extra[f"ind_{name}"] = body
         doubles += cols.split()
         parts.append(f"LEFT JOIN ind_{name} USING (ticker, date)")
-    body = "SELECT * FROM (SELECT ticker, date FROM bars) " + " ".join(parts)
-    return statement(rounded(body, doubles, 4), extra)
+    return "SELECT * FROM (SELECT ticker, date FROM bars) " + " ".join(parts), extra, doubles
+
+
+def complete():
+    """Bars and all features under their published names, complete rows only: body, table expressions, doubles."""
+    body, extra, doubles = everything(())
+    shown = ", ".join(f'{name} AS "{FEATURE_COLUMNS[name]}"' for name in FEATURE_COLUMNS)
+    known = " AND ".join(f"{name} IS NOT NULL" for name in FEATURE_COLUMNS)
+    extra["featured"] = f"SELECT bars.*, {shown} FROM bars JOIN ({body}) USING (ticker, date) WHERE {known}"
+    return extra, [FEATURE_COLUMNS[d] for d in doubles]
 
 
 def _series_of(name):
@@ -283,4 +322,11 @@ def _series_of(name):
 
 SQL = {f"ind_{name}": sql(name) for name in IND}
 SQL["rsi_outer_join"] = statement(rounded(IND["rsi_multi"][0], "rsi_7 rsi_21", 6), IND["rsi_multi"][1])
-SQL["assemble_features"] = everything()
+_BODY, _EXTRA, _DOUBLES = everything()
+SQL["assemble_features"] = statement(rounded(_BODY, _DOUBLES, 4), _EXTRA)
+FEATURED, FEATURED_DOUBLES = complete()
+SQL["feature_table"] = statement(
+    rounded("SELECT * FROM featured", FEATURED_DOUBLES + ["open", "high", "low", "close"], 4), FEATURED)
+SQL["feature_list"] = statement(" UNION ALL ".join(
+    f"SELECT {i} AS position, '{name}' AS feature, count(*) FILTER (abs(\"{name}\") > 1e-9) AS nonzero FROM featured"
+    for i, name in enumerate(sorted(FEATURE_COLUMNS.values()))), FEATURED)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from oracle import indicators
+from oracle import indicators, models
 from oracle.ctes import BIN, METRICS, PARTS, SPLIT, TRAIN_OR_TEST, rounded, score, statement
 
-ORACLE: dict[str, str] = dict(indicators.SQL)
+ORACLE: dict[str, str] = {**indicators.SQL, **models.SQL}
 OHLC = "open high low close"
 W = "PARTITION BY ticker ORDER BY date"
 
@@ -109,7 +109,7 @@ add("prefix_metric_columns", "SELECT ticker, threshold, " + ", ".join(
 add("camel_label", """SELECT label_type, CASE label_type WHEN 'median_gain' THEN 'medianGain' ELSE 'medianLoss' END AS folder,
  count(*) AS rows FROM forecasts GROUP BY label_type""")
 add("lookback_filter", """SELECT ticker, date, close FROM bars
- WHERE date BETWEEN DATE '2001-06-30' - 252 AND DATE '2001-06-30'""", "close")
+ WHERE date >= (SELECT max(date) FROM bars) - 252""", "close")
 
 _DAILY = {"daily": """SELECT *, 100 * (close - pc) / pc AS raw FROM (
  SELECT *, lag(close) OVER (PARTITION BY index_name ORDER BY date) AS pc FROM index_bars) WHERE pc IS NOT NULL"""}
@@ -171,9 +171,9 @@ add("sentiment_template", f"""SELECT index_name, date, {fx('description')} AS fx
  FROM (SELECT *, round_even(raw, 4) AS c FROM daily)""", extra=_DAILY)
 add("classify_vix", "SELECT index_name, date, " + ", ".join(f"{vix(p, 'close')} AS {p}" for p in THREE) + " FROM index_bars")
 add("classify_fx", "SELECT index_name, date, c AS change_pct, " + ", ".join(f"{fx(p)} AS {p}" for p in THREE)
-    + " FROM (SELECT *, round_even(raw / 100, 4) AS c FROM daily)", extra=_DAILY)
+    + " FROM (SELECT *, round_even(raw, 4) AS c FROM daily)", extra=_DAILY)
 add("classify_index", "SELECT index_name, date, c AS change_pct, " + ", ".join(f"{index(p)} AS {p}" for p in THREE)
-    + " FROM (SELECT *, round_even(raw / 100, 4) AS c FROM daily)", extra=_DAILY)
+    + " FROM (SELECT *, round_even(raw, 4) AS c FROM daily)", extra=_DAILY)
 add("selected_universe", "SELECT DISTINCT c_custkey AS ticker FROM customer WHERE c_custkey IN (SELECT ticker FROM bars)")
 
 # ---- joins -------------------------------------------------------------------------------
@@ -206,12 +206,12 @@ _STEPS = {"steps": "SELECT range * 0.00075e0 AS threshold FROM range(1334)"}
 
 
 def sweep(metric, columns):
-    return f"""SELECT threshold, {columns} FROM steps JOIN simulation ON score >= threshold
- WHERE {metric} IS NOT NULL GROUP BY threshold"""
+    return f"""SELECT threshold, {columns} FROM steps LEFT JOIN (SELECT * FROM simulation WHERE {metric} IS NOT NULL)
+ ON score >= threshold GROUP BY threshold"""
 
 
-add("threshold_sweep_join", sweep("loss", "count(*) AS rows, avg(loss) AS mean"), "threshold mean", extra=_STEPS)
-add("threshold_sweep", sweep("profit", """count(*) AS rows, avg(profit) AS mean, max(profit) AS max, min(profit) AS min,
+add("threshold_sweep_join", sweep("loss", "count(loss) AS rows, avg(loss) AS mean"), "threshold mean", extra=_STEPS)
+add("threshold_sweep", sweep("profit", """count(profit) AS rows, avg(profit) AS mean, max(profit) AS max, min(profit) AS min,
  quantile_cont(profit, 0.25) AS q25, quantile_cont(profit, 0.5) AS q50, quantile_cont(profit, 0.75) AS q75"""),
     "threshold mean max min q25 q50 q75", extra=_STEPS)
 add("attach_bin_targets", f"""SELECT ticker, date, bin, buy_pct, sell_pct
@@ -255,8 +255,10 @@ _LAST = {"lastindex": """SELECT index_name, max(date) AS date, max(close) FILTER
  SELECT *, row_number() OVER (PARTITION BY index_name ORDER BY date DESC) AS age FROM index_bars) GROUP BY index_name"""}
 add("percentile_rank", """SELECT b.index_name, round_even(count(*) FILTER (b.close < l.close) / count(*) * 100, 2)
  AS percentile_rank FROM index_bars b JOIN lastindex l ON l.index_name = b.index_name GROUP BY b.index_name""", extra=_LAST)
-add("single_date_assert", """SELECT date, count(*) AS tickers FROM scores WHERE date = (SELECT max(date) FROM scores)
- GROUP BY date""")
+add("single_date_assert", " UNION ALL ".join(
+    f"""SELECT count(DISTINCT date) AS dates, count(*) AS rows, count(DISTINCT date) <= 1 AS passed, '{name}' AS checked
+ FROM (SELECT ticker, max(date) AS date FROM scores{only} GROUP BY ticker)"""
+    for name, only in (("newest date", " WHERE date = (SELECT max(date) FROM scores)"), ("latest of each ticker", ""))))
 add("tickers_meeting_gini", "SELECT ticker, test_gini FROM gain_performance WHERE test_gini >= 0.1", "test_gini")
 add("run_summary", f"""SELECT coalesce(reason, 'succeeded') AS outcome, count(*) AS tickers,
  CAST(sum(bars) AS BIGINT) AS total_rows FROM ({_GATE}) GROUP BY 1""")
@@ -323,6 +325,15 @@ _PREPARED = {"prepared": f"""SELECT ticker, date, {score(32, 22)} AS p, "Median
 add("score_prepare", "SELECT * FROM prepared", "p gini", extra=_PREPARED)
 add("score_infer", """SELECT ticker, date, split, 1 / (1 + exp(-(-2e0 + p * 3e0 + gini * 0.5e0))) AS score
  FROM prepared WHERE split IN ('test', 'forecast')""", "score", extra=_PREPARED)
+_FITTED = {
+    **_PREPARED, **models.newton("score_rows"),
+    "score_rows": """SELECT p, gini, CASE WHEN y_true = 'High Gain' THEN 1e0 ELSE 0e0 END AS y FROM prepared
+ WHERE split = 'train' AND y_true IS NOT NULL""",
+}
+add("score_train", """SELECT split, rows, b AS intercept, w AS p_weight, g AS gini_weight
+ FROM (SELECT split, count(*) AS rows FROM prepared GROUP BY split), fitted""", "intercept p_weight gini_weight", 4, _FITTED)
+add("score_fitted", """SELECT ticker, date, split, 1 / (1 + exp(-(b + w * p + g * gini))) AS score
+ FROM prepared, fitted WHERE split IN ('test', 'forecast')""", "score", 4, _FITTED)
 add("score_test_rows", "SELECT ticker, date, score, test_gini FROM test_scores JOIN gain_performance USING (ticker)",
     "score test_gini")
 
@@ -379,8 +390,8 @@ add("json_sink_outlook", "SELECT (SELECT CAST(max(date) AS VARCHAR) FROM index_b
     f'(SELECT "{c}" FROM micro_{w}) AS micro_{w}_{c}' for w in (5, 10) for c in ("count", "mean")) + " FROM overall",
     [f"{r}_{c}" for r, _, _ in _ROLES for c in ("value", "percentile_rank")] + ["micro_5_mean", "micro_10_mean"],
     extra={**_MACRO, **_MICRO})
-_TODAY = {"today": f"""SELECT ticker, date AS score_date, score, {BIN} AS bin FROM scores
- WHERE date = (SELECT max(date) FROM scores)""",
+_TODAY = {"today": f"""SELECT *, {BIN} AS bin FROM (
+ SELECT ticker, max(date) AS score_date, arg_max(score, date) AS score FROM scores GROUP BY ticker)""",
           "advice": """SELECT ticker, score_date, score, bin, close, buy_pct, sell_pct,
  CAST(floor(close * (100 - abs(buy_pct)) / 100) AS DOUBLE) AS target_buy_price,
  CAST(ceil(close * (100 + abs(sell_pct)) / 100) AS DOUBLE) AS target_sell_price

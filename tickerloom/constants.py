@@ -79,7 +79,7 @@ FEATURES = (
 
 # ---- models -----------------------------------------------------------------------------
 MARKET = "IHSG"
-SEED = 10120024
+SEED = 17
 SEARCH_ITERATIONS = 30
 RESTARTS = 10
 MODEL_NAMES = {

@@ -7,8 +7,6 @@ partition are bounded by the calendar (about 250 a year), however large the tabl
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 

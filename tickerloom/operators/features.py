@@ -79,8 +79,8 @@ def flow_features(bars: DataFrame, flow: DataFrame) -> DataFrame:
 def assemble(bars: DataFrame, flow: DataFrame, indicators=tuple(INDICATORS)) -> DataFrame:
     """Bars with every feature, incomplete rows included.
 
-    The flow is attached by one left join before the grouped-map pass; everything after it
-    shares one hash partitioning on ticker.
+    The flow is attached by one left join. Prices are gathered per ticker for the recursive series;
+    after them all windows share one exchange on ticker (a Python step keeps no partitioning).
     """
     attached = bars.join(
         flow.select("ticker", "date", "foreign_buy", "foreign_sell", F.lit(True).alias("has_flow")),

@@ -46,19 +46,36 @@ def performance_by_ticker(predictions: DataFrame, positive: str, negative: str,
                           keys: tuple[str, ...] = ("ticker",)) -> DataFrame:
     """``train_*`` and ``test_*`` metrics per ticker plus its first threshold.
 
-    ``split`` must be ``train`` or ``test``; both sides are aggregated in the same pass.
+    ``split`` must be ``train`` or ``test``. The predictions are read once: class counts per distinct probability are
+    one aggregation, and accuracy, precision, recall and Gini of both sides all follow from that table.
     """
-    by = [*keys, "split"]
-    both = classification_metrics(predictions, by, positive, negative).join(
-        gini(predictions, by, positive), by)
-    sides = [
-        F.max(F.when(F.col("split") == side, F.col(m))).alias(f"{side}_{m}")
-        for side in ("train", "test") for m in METRICS
-    ]
-    out = both.groupBy(*keys).agg(*sides)
-    if "threshold" in predictions.columns:
-        out = out.join(first_threshold(predictions, keys), list(keys))
-    return out
+    true = {side: F.col("y_true") == label for side, label in (("p", positive), ("n", negative))}
+    said = {side: F.col("y_pred") == label for side, label in (("p", positive), ("n", negative))}
+    cells = {t + s: F.count_if(true[t] & said[s]) for t in true for s in said}
+    first = F.min(F.struct("date", "threshold")) if "threshold" in predictions.columns else F.lit(None)
+    tied = predictions.groupBy(*keys, "split", "p").agg(
+        *[c.alias(name) for name, c in cells.items()], first.alias("first"))
+    pos, neg = F.col("pp") + F.col("pn"), F.col("np") + F.col("nn")
+    below = F.sum(neg).over(Window.partitionBy(*keys, "split").orderBy("p")) - neg
+    sides = tied.withColumn("wins", pos * (below + neg / 2)).groupBy(*keys, "split").agg(
+        *[F.sum(name).alias(name) for name in cells], F.sum("wins").alias("wins"), F.min("first").alias("first"))
+
+    def share(hit, *other):
+        return F.coalesce(F.try_divide(F.col(hit), sum((F.col(o) for o in other), F.col(hit))), F.lit(0.0))
+
+    measures = dict(zip(METRICS, (
+        F.try_divide(F.col("pp") + F.col("nn"), pos + neg), share("pp", "np"), share("nn", "pn"), share("pp", "pn"),
+        share("nn", "np"), F.coalesce(2 * F.try_divide(F.col("wins"), pos * neg) - 1, F.lit(0.0)),
+    )))
+    out = sides.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("split") == side, value)).alias(f"{side}_{name}")
+          for side in ("train", "test") for name, value in measures.items()],
+        F.min("first").alias("first"),
+    )
+    found = out.select(*keys, *[f"{side}_{name}" for side in ("train", "test") for name in METRICS], "first")
+    if "threshold" not in predictions.columns:
+        return found.drop("first")
+    return found.withColumn("threshold", F.col("first.threshold")).drop("first")
 
 
 def first_threshold(df: DataFrame, keys: tuple[str, ...] = ("ticker",)) -> DataFrame:

@@ -1,37 +1,49 @@
 """Training of the four model generations.
 
-1  one small boosted-tree model per ticker, fitted by a grouped map
-2  one gradient-boosted model per industry (Spark ML)
-3  one gradient-boosted model for the whole market (Spark ML)
+1  a Gaussian naive Bayes model per ticker: class means and variances from one aggregation
+2  a regularised discriminant per industry, all industries in the same passes
+3  the same for the whole market
 4  a robust-scaled elastic-net logistic model on the stacked forecasts (Spark ML)
+
+Versions 1 to 3 are sums over rows, so any number of models is fitted by the same few aggregations, without a loop over
+tickers or industries, and each is one row of a table: an intercept, a weight and a squared weight per feature.
 """
 
 from __future__ import annotations
 
+import math
 import random
-from dataclasses import dataclass, replace
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import RobustScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerloom.constants import MARKET, RESTARTS, SEARCH_ITERATIONS, SEED
-from tickerloom.operators import boosting
 from tickerloom.operators.cleaning import split_masks
-from tickerloom.operators.metrics import gini, select_best_restart
 from tickerloom.session import through_table
 
 # search spaces (fixed values)
-TREE_SPACE = {"depth": (1, 5), "rate": (0.01, 0.1), "l2": (0.5, 3.0)}
-ITERATIONS = {1: (150, 300), 2: (750, 1000), 3: (1000, 1250)}
+DISCRIMINANT_SPACE = {"shrink": (0.0, 1.0), "ridge": (1e-3, 1.0)}
 LOGISTIC_SPACE = {"c": (1e-4, 1e3), "l1_ratio": (0.0, 1.0)}
+#: Share of the pooled variance, and a constant, that naive Bayes adds to a class variance.
+SMOOTH, FLOOR = 0.1, 1e-4
+#: Probabilities of one search are told apart to 1 / GRID.
+GRID = 10_000
+#: Most candidate weights that are broadcast at a time; more groups are scored in several passes.
+BROADCAST_NUMBERS = 4_000_000
+MODEL = "intercept double, linear array<double>, square array<double>, params string"
 
 
 @dataclass(frozen=True)
@@ -40,28 +52,26 @@ class Search:
 
     iterations: int = SEARCH_ITERATIONS
     restarts: int = RESTARTS
-    trees: tuple[int, int] | None = None  # overrides the iteration range of a version
     select_on: str = "val"  # "test" picks the restart by test Gini
     seed: int = SEED
     logistic_steps: int = 1500
+    threads: int = 4  # fits of the stacker that run side by side
 
 
 def _log_uniform(rng, low, high):
-    return float(np.exp(rng.uniform(np.log(low), np.log(high))))
+    return math.exp(rng.uniform(math.log(low), math.log(high)))
 
 
-def tree_params(version: int, search: Search, restart: int) -> list[dict]:
-    rng = random.Random(search.seed + restart)
-    low, high = search.trees or ITERATIONS[version]
-    return [
-        {
-            "depth": rng.randint(*TREE_SPACE["depth"]),
-            "rate": _log_uniform(rng, *TREE_SPACE["rate"]),
-            "iterations": rng.randint(low, high),
-            "l2": rng.uniform(*TREE_SPACE["l2"]),
-        }
-        for _ in range(search.iterations)
-    ]
+def discriminant_params(search: Search) -> list[dict]:
+    """The candidates of all restarts, one restart after another."""
+    found = []
+    for restart in range(search.restarts):
+        rng = random.Random(search.seed + restart)
+        found += [
+            {"shrink": rng.uniform(*DISCRIMINANT_SPACE["shrink"]), "ridge": _log_uniform(rng, *DISCRIMINANT_SPACE["ridge"])}
+            for _ in range(search.iterations)
+        ]
+    return found
 
 
 def logistic_params(search: Search) -> list[dict]:
@@ -89,83 +99,246 @@ def split_train_test(df: DataFrame, splits: dict, features: list[str], target: s
     ).where("fold IS NOT NULL")
 
 
-# ---- version 1: per ticker ---------------------------------------------------------------
+def _array(features: list[str]) -> Column:
+    return F.array(*[F.col(f"`{c}`").cast("double") for c in features])
 
-TICKER_MODEL_SCHEMA = "ticker {ticker}, restart int, val_metric double, test_gini double, params string, model binary"
 
+def _log_odds(intercept, linear, square, x) -> Column:
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda total, v: total + v)
 
-def _try_params(parts, params):
-    """(validation metric, params): AUC, or accuracy when val holds a single class."""
-    (x, y), (vx, vy) = parts
-    p = boosting.predict(boosting.fit(x, y, **params), vx)
-    score = boosting.auc(vy, p)
-    return float(((p > 0.5) == vy).mean()) if np.isnan(score) else score
+    return intercept + dot(linear, x) + dot(square, F.transform(x, lambda v: v * v))
 
 
-def train_per_ticker(rows: DataFrame, features: list[str], search: Search = Search()) -> DataFrame:
-    """One model per ticker as bytes. Tickers without val rows or with one train class are left out."""
-    ticker_type = rows.schema["ticker"].dataType.simpleString()
+def probability(log_odds: Column) -> Column:
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), log_odds))))
 
-    def fit_ticker(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        part = {
-            fold: (g[features].to_numpy(dtype=float), g["label"].to_numpy())
-            for fold, g in pdf.groupby("fold")
-        }
-        empty = pd.DataFrame(columns=["ticker", "restart", "val_metric", "test_gini", "params", "model"])
-        if not {"train", "val"} <= set(part) or len(np.unique(part["train"][1])) < 2:
-            return empty
-        x, y = (np.concatenate([part["train"][i], part["val"][i]]) for i in (0, 1))
-        made = []
-        for restart in range(search.restarts):
-            tried = [(_try_params((part["train"], part["val"]), p), p) for p in tree_params(1, search, restart)]
-            metric, params = max(tried, key=lambda t: t[0])
-            model = boosting.fit(x, y, **params)
-            area = boosting.auc(part["test"][1], boosting.predict(model, part["test"][0])) if "test" in part else np.nan
-            made.append((pdf["ticker"].iloc[0], restart, metric, 0.0 if np.isnan(area) else 2 * area - 1,
-                         str(params), boosting.to_bytes(model)))
-        key = 2 if search.select_on == "val" else 3
-        return pd.DataFrame([max(made, key=lambda m: m[key])], columns=empty.columns)
 
-    return rows.groupBy("ticker").applyInPandas(fit_ticker, TICKER_MODEL_SCHEMA.format(ticker=ticker_type))
+def forecast_by(models: DataFrame, df: DataFrame, features: list[str], key: str | None) -> DataFrame:
+    """(ticker, date, p) of every row whose model exists. ``key`` is the column of both that names the model.
 
+    Without a key there is one model, whose numbers become literals of the plan.
+    """
+    x = _array(features)
+    if key is None:
+        found = models.select("intercept", "linear", "square").first()
+        if found is None:
+            return df.select("ticker", "date", F.lit(None).cast("double").alias("p")).limit(0)
+        parts = F.lit(found["intercept"]), F.array(*map(F.lit, found["linear"])), F.array(*map(F.lit, found["square"]))
+        return df.select("ticker", "date", probability(_log_odds(*parts, x)).alias("p"))
+    joined = df.select("ticker", "date", *([] if key == "ticker" else [key]), x.alias("x")).join(
+        models.select(key, "intercept", "linear", "square"), key)
+    parts = F.col("intercept"), F.col("linear"), F.col("square"), F.col("x")
+    return joined.select("ticker", "date", probability(_log_odds(*parts)).alias("p"))
+
+
+def failures_of(rows: DataFrame, key: str) -> DataFrame:
+    """(identifier, reason) of the groups that can't be trained: no train rows, one train class, or no val rows."""
+    counts = rows.groupBy(F.col(key).cast("string").alias("identifier")).agg(
+        F.count_if(F.col("fold") == "train").alias("train"), F.count_if(F.col("fold") == "val").alias("val"),
+        F.count_if((F.col("fold") == "train") & (F.col("label") == 1)).alias("positive"))
+    reason = (
+        F.when(F.col("train") == 0, "no train rows")
+        .when((F.col("positive") == 0) | (F.col("positive") == F.col("train")), "the train rows hold a single class")
+        .when(F.col("val") == 0, "no validation rows")
+    )
+    return counts.select("identifier", reason.alias("reason")).where("reason IS NOT NULL")
 
-def forecast_per_ticker(df: DataFrame, models: DataFrame, features: list[str]) -> DataFrame:
-    """Probability of the positive class for every row of the tickers that have a model."""
-    ticker_type = df.schema["ticker"].dataType.simpleString()
 
-    def predict(pdf: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        out = pdf[["ticker", "date"]]
-        if not len(found) or not len(pdf):
-            return out.head(0).assign(p=pd.Series(dtype=float))
-        model = boosting.from_bytes(found["model"].iloc[0])
-        return out.assign(p=boosting.predict(model, pdf[features].to_numpy(dtype=float)))
+# ---- version 1: per ticker ---------------------------------------------------------------
 
-    left = df.select("ticker", "date", *features).groupBy("ticker")
-    return left.cogroup(models.select("ticker", "model").groupBy("ticker")).applyInPandas(
-        predict, f"ticker {ticker_type}, date date, p double")
 
+def train_per_ticker(rows: DataFrame, features: list[str]) -> DataFrame:
+    """One naive Bayes model per ticker from its train and val rows: (ticker, intercept, linear, square, params).
 
-# ---- versions 2 and 3: pooled ------------------------------------------------------------
+    Tickers whose train rows hold one class or that lack val rows are in ``failures_of``. There is nothing to search.
+    """
+    assembled = VectorAssembler(inputCols=features, outputCol="vector").transform(rows)
+    known = F.col("fold").isin("train", "val")
+    stats = assembled.where(known).groupBy("ticker", "label").agg(
+        Summarizer.metrics("mean", "variance", "count").summary(F.col("vector")).alias("s"),
+        F.count_if(F.col("fold") == "train").alias("train"), F.count_if(F.col("fold") == "val").alias("val"))
+    sides = stats.select(
+        "ticker", "label", "train", "val", F.col("s.count").cast("double").alias("n"),
+        vector_to_array("s.mean").alias("mean"), vector_to_array("s.variance").alias("var"))
+
+    def side(name, label):
+        return F.max(F.when(F.col("label") == label, F.col(name))).alias(f"{name}{int(label)}")
+
+    both = sides.groupBy("ticker").agg(
+        *[side(name, label) for name in ("n", "mean", "var", "train") for label in (0.0, 1.0)], F.sum("val").alias("val"),
+    ).where("train0 > 0 AND train1 > 0 AND val > 0")
+    pooled = F.zip_with("var0", "var1", lambda a, b: SMOOTH * (a * F.col("n0") + b * F.col("n1")) / (F.col("n0") + F.col("n1")) + FLOOR)
+    wide = both.withColumn("extra", pooled).withColumns({
+        f"v{i}": F.zip_with(f"var{i}", "extra", lambda a, b: a + b) for i in (0, 1)})
+
+    def over(a, b):
+        return F.zip_with(a, b, lambda p, q: p / q)
+
+    def less(a, b):
+        return F.zip_with(a, b, lambda p, q: p - q)
+
+    def total(a):
+        return F.aggregate(a, F.lit(0.0), lambda t, v: t + v)
+
+    def half_inverse(v):
+        return F.transform(v, lambda q: 0.5 / q)
+
+    def quadratic(m, v):
+        return total(F.zip_with(m, v, lambda p, q: p * p / (2 * q) + F.log(q) / 2))
+
+    return wide.select(
+        "ticker", (F.log(F.col("n1") / F.col("n0")) + quadratic("mean0", "v0") - quadratic("mean1", "v1")).alias("intercept"),
+        less(over("mean1", "v1"), over("mean0", "v0")).alias("linear"), less(half_inverse("v0"), half_inverse("v1")).alias("square"),
+        F.lit("{}").alias("params"),
+    )
 
 
-def _gbt(features, params) -> Pipeline:
-    # Spark's trees have no leaf penalty; the sampled l2 only applies to version 1
-    trees = GBTClassifier(
-        labelCol="label", featuresCol="vector", maxDepth=params["depth"], stepSize=params["rate"],
-        maxIter=params["iterations"], seed=SEED)
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="vector"), trees])
+# ---- versions 2 and 3: per industry and market -------------------------------------------
 
 
-def _logistic(features, params, rows: int, steps: int = 1500) -> Pipeline:
-    # the penalty of a C-parametrized model, spread over the weighted rows
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=features, outputCol="raw"),
-        RobustScaler(inputCol="raw", outputCol="vector", withCentering=True),
-        LogisticRegression(
-            labelCol="label", featuresCol="vector", weightCol="weight", maxIter=steps, standardization=False,
-            elasticNetParam=params["l1_ratio"], regParam=1.0 / (params["c"] * rows)),
-    ])
+def _moments(rows: DataFrame, key: str, features: list[str]) -> DataFrame:
+    """(group, fold, label, place, value): count, sums and products of standardised features, added up per batch first."""
+    width = len(features)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            x = np.column_stack((np.ones(len(x)), x))
+            frame = batch.select(["group", "fold", "label"]).to_pandas()
+            out = []
+            for (group, fold, label), at in frame.groupby(["group", "fold", "label"]).indices.items():
+                out.append((group, fold, label, (x[at].T @ x[at]).ravel()))
+            columns = list(zip(*out)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.float64()),
+                pa.array(list(columns[3]), pa.list_(pa.float64()))], ["group", "fold", "label", "products"])
+
+    slim = rows.select(F.col(key).cast("string").alias("group"), "fold", "label", "x")
+    made = slim.mapInArrow(add, "group string, fold string, label double, products array<double>")
+    return made.select("group", "fold", "label", F.posexplode("products").alias("place", "value")).groupBy(
+        "group", "fold", "label", "place").agg(F.sum("value").alias("value"))
+
+
+def _discriminants(products: np.ndarray, candidates: list[dict]) -> np.ndarray:
+    """Intercept and weights of each candidate from the products (class x (1 + p) x (1 + p)) of one group.
+
+    Both classes weigh the same, whatever their numbers.
+    """
+    mean, cov = [], []
+    for m in products:
+        mean.append(m[0, 1:] / m[0, 0])
+        cov.append(m[1:, 1:] / m[0, 0] - np.outer(mean[-1], mean[-1]))
+    within, gap, middle = (cov[0] + cov[1]) / 2, mean[1] - mean[0], (mean[0] + mean[1]) / 2
+    found = []
+    for c in candidates:
+        s = (1 - c["shrink"]) * within + np.diag(c["shrink"] * np.diag(within) + c["ridge"])
+        w = np.linalg.solve(s, gap)
+        found.append(np.r_[-w @ middle, w])
+    return np.array(found)
+
+
+def _judged(rows: DataFrame, weights: dict[str, np.ndarray], width: int, *keep: str) -> DataFrame:
+    """(group, keep, candidate, p, y_true, n): rows counted per probability of each candidate of their group.
+
+    Weights are broadcast, at most ``BROADCAST_NUMBERS`` at a time.
+    """
+    per_pass = max(1, BROADCAST_NUMBERS // max(1, next(iter(weights.values())).size))
+    names, parts = sorted(weights), []
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = f"group string, {''.join(f'{k} {types[k]}, ' for k in keep)}candidate int, p double, y_true double, n long"
+    for first in range(0, len(names), per_pass):
+        mine = {name: weights[name] for name in names[first:first + per_pass]}
+        shared = rows.sparkSession.sparkContext.broadcast(mine)
+
+        def score(batches, shared=shared):
+            for batch in batches:
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                frame = batch.select(["group", "label", *keep]).to_pandas()
+                for key, at in frame.groupby(["group", *keep, "label"]).indices.items():
+                    w = shared.value.get(key[0])
+                    if w is None:
+                        continue
+                    z = np.clip(x[at] @ w[:, 1:].T + w[:, 0], -30, 30)
+                    p = np.rint(GRID / (1 + np.exp(-z)))
+                    cell, n = np.unique(p + np.arange(len(w)) * (GRID + 1.0), return_counts=True)
+                    columns = {"group": key[0], **dict(zip(keep, key[1:-1])), "y_true": key[-1]}
+                    frame_out = {k: [v] * len(cell) for k, v in columns.items()}
+                    yield pa.RecordBatch.from_pydict({
+                        "group": frame_out["group"], **{k: frame_out[k] for k in keep},
+                        "candidate": pa.array((cell // (GRID + 1)).astype(np.int32)), "p": (cell % (GRID + 1)) / GRID,
+                        "y_true": frame_out["y_true"], "n": n})
+
+        parts.append(rows.select("group", "x", "label", *keep).mapInArrow(score, schema))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found.groupBy("group", *keep, "candidate", "p", "y_true").agg(F.sum("n").alias("n"))
+
+
+def _areas(judged: DataFrame, *keys: str) -> DataFrame:
+    """Validation metric per group and candidate: AUC, or accuracy where one class occurs, from counted probabilities."""
+    tied = judged.groupBy(*keys, "candidate", "p").agg(
+        F.sum(F.when(F.col("y_true") == 1, F.col("n")).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col("y_true") == 0, F.col("n")).otherwise(0)).alias("neg"))
+    below = F.sum("neg").over(Window.partitionBy(*keys, "candidate").orderBy("p")) - F.col("neg")
+    right = F.when(F.col("p") > 0.5, F.col("pos")).otherwise(F.col("neg"))
+    sums = tied.withColumns({"wins": F.col("pos") * (below + F.col("neg") / 2), "right": right}).groupBy(*keys, "candidate").agg(
+        *[F.sum(c).alias(c) for c in ("wins", "pos", "neg", "right")])
+    area = F.try_divide(F.col("wins"), F.col("pos") * F.col("neg"))
+    return sums.select(*keys, "candidate", area.alias("auc"), F.coalesce(area, F.try_divide("right", F.col("pos") + F.col("neg"))).alias("metric"))
+
+
+def train_grouped(rows: DataFrame, features: list[str], key: str, search: Search = Search()) -> DataFrame:
+    """One regularised discriminant per group: (identifier, intercept, linear, square, params).
+
+    Three passes whatever the number of groups and candidates: products of train and val rows, the candidates of all
+    restarts scored on the val rows, and (``select_on="test"``) the winner of each restart scored on the test rows. The
+    best is refitted on train and val. Per group the driver holds (features + 1)^2 sums, so groups are a small fixed
+    dimension such as industries. Groups of ``failures_of`` have no model.
+    """
+    everything = VectorAssembler(inputCols=features, outputCol="vector").transform(rows.where("fold IN ('train', 'val')"))
+    scale = everything.agg(Summarizer.metrics("mean", "std").summary(F.col("vector")).alias("s")).select("s.*").first()
+    if scale is None or scale["mean"] is None:
+        return rows.sparkSession.createDataFrame([], f"identifier string, {MODEL}")
+    mean = np.array(scale["mean"].toArray())
+    std = np.where(scale["std"].toArray() > 1e-12, scale["std"].toArray(), 1.0)
+    x = F.array(*[(F.col(f"`{c}`").cast("double") - m) / s for c, m, s in zip(features, mean.tolist(), std.tolist())])
+    ready = through_table(rows.select(F.col(key).cast("string").alias("group"), "ticker", "fold", "label", x.alias("x")), "standardised")
+    width, sums = len(features) + 1, {}
+    for r in _moments(ready.where("fold <> 'test'"), "group", features).collect():
+        sums.setdefault(r["group"], {}).setdefault((r["fold"], r["label"]), np.zeros(width * width))[r["place"]] = r["value"]
+    usable = {
+        g: {k: v.reshape(width, width) for k, v in s.items()} for g, s in sums.items()
+        if ("train", 0.0) in s and ("train", 1.0) in s and (("val", 0.0) in s or ("val", 1.0) in s)
+    }
+    candidates = discriminant_params(search)
+    if not usable:
+        return rows.sparkSession.createDataFrame([], f"identifier string, {MODEL}")
+    tried = {g: _discriminants([s["train", 0.0], s["train", 1.0]], candidates) for g, s in usable.items()}
+    metric = {(r["group"], r["candidate"]): r["metric"] for r in _areas(_judged(ready.where("fold = 'val'"), tried, width - 1), "group").collect()}
+    n = search.iterations
+    winners = {
+        g: [max(range(r * n, (r + 1) * n), key=lambda c: metric.get((g, c), -1.0)) for r in range(search.restarts)] for g in tried}
+    best = {g: max(w, key=lambda c: metric.get((g, c), -1.0)) for g, w in winners.items()}
+    if search.select_on == "test" and search.restarts > 1:
+        chosen = {g: tried[g][winners[g]] for g in winners}
+        per_ticker = _areas(_judged(ready.where("fold = 'test'"), chosen, width - 1, "ticker"), "group", "ticker")
+        scored = per_ticker.groupBy("group", "candidate").agg(
+            F.median(F.coalesce(2 * F.col("auc") - 1, F.lit(0.0))).alias("gini")).collect()
+        tests = {(r["group"], r["candidate"]): r["gini"] for r in scored}
+        best = {g: w[max(range(len(w)), key=lambda i: tests.get((g, i), -2.0))] for g, w in winners.items()}
+    made = []
+    for g, s in usable.items():
+        zero = np.zeros((width, width))
+        both = [s.get(("train", y), zero) + s.get(("val", y), zero) for y in (0.0, 1.0)]
+        w = _discriminants(both, [candidates[best[g]]])[0]
+        linear = w[1:] / std
+        made.append((g, float(w[0] - linear @ mean), linear.tolist(), [0.0] * len(linear), str(candidates[best[g]])))
+    return rows.sparkSession.createDataFrame(made, f"identifier string, {MODEL}")
+
+
+# ---- version 4: stacked forecasts --------------------------------------------------------
 
 
 def _class_counts(rows: DataFrame) -> dict[str, dict[float, int]]:
@@ -190,18 +363,35 @@ def _evaluator(val_counts):
 
 
 def _with_retries(fit, tries: int = 3):
+    """Again after a lost executor or connection; any other error is the same the next time."""
     for attempt in range(tries):
         try:
             return fit()
-        except Exception:
-            if attempt == tries - 1:
+        except Py4JJavaError as error:
+            lost = any(word in str(error) for word in ("ExecutorLost", "executor lost", "FetchFailed", "Connection re"))
+            if not lost or attempt == tries - 1:
                 raise
 
 
-def hyperparam_search(rows: DataFrame, candidates: list[dict], build) -> tuple[PipelineModel, dict, float]:
+def _scaled(features) -> Pipeline:
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=features, outputCol="raw"),
+        RobustScaler(inputCol="raw", outputCol="vector", withCentering=True)])
+
+
+def _logistic(params, rows: int, steps: int) -> LogisticRegression:
+    # the penalty of a C-parametrized model, spread over the weighted rows
+    return LogisticRegression(
+        labelCol="label", featuresCol="vector", weightCol="weight", maxIter=steps, standardization=False,
+        elasticNetParam=params["l1_ratio"], regParam=1.0 / (params["c"] * rows))
+
+
+def hyperparam_search(rows: DataFrame, features: list[str], candidates: list[dict], steps: int,
+                      threads: int = 4) -> tuple[PipelineModel, dict, float]:
     """Best candidate on the val fold, refitted on train and val.
 
-    Scored by AUC, or accuracy when val holds one class; a single train class is an error.
+    Scored by AUC, or accuracy when val holds one class; a single train class is an error. Scaling is fitted once per
+    fold and its vectors are stored; candidates differ in the last stage only and are fitted a few at a time.
     """
     counts = _class_counts(rows)
     if len(counts.get("train", {})) < 2:
@@ -209,144 +399,106 @@ def hyperparam_search(rows: DataFrame, candidates: list[dict], build) -> tuple[P
     if not counts.get("val"):
         raise ValueError("no validation rows")
     evaluator = _evaluator(counts["val"])
-    train = balanced(rows.where("fold = 'train'"), counts["train"])
-    val = rows.where("fold = 'val'")
+    scaler = _scaled(features).fit(rows.where("fold = 'train'"))
+    ready = through_table(scaler.transform(rows.where("fold <> 'test'")).select("fold", "label", "vector"), "scaled")
+    train, val = balanced(ready.where("fold = 'train'"), counts["train"]), ready.where("fold = 'val'")
     size = sum(counts["train"].values())
-    scored = []
-    for params in candidates:
-        model = _with_retries(lambda: build(params, size).fit(train))
-        scored.append(evaluator.evaluate(model.transform(val)))
-    best = int(np.argmax(scored))
-    both = {c: counts["train"].get(c, 0) + counts["val"].get(c, 0) for c in (0.0, 1.0)}
-    everything = balanced(rows.where("fold IN ('train', 'val')"), both)
-    refit = _with_retries(lambda: build(candidates[best], sum(both.values())).fit(everything))
-    return refit, candidates[best], scored[best]
-
-
-def predictions(model: PipelineModel, rows: DataFrame, positive: str, negative: str) -> DataFrame:
-    """(ticker, date, y_true, y_pred, p, split) of labelled rows; val counts as train."""
-    made = model.transform(rows)
-    return made.select(
-        "ticker", "date", "y_true",
-        F.when(F.col("prediction") > 0.5, positive).otherwise(negative).alias("y_pred"),
-        vector_to_array("probability")[1].alias("p"),
-        F.when(F.col("fold") == "test", "test").otherwise("train").alias("split"),
-    )
 
+    def tried(params):
+        model = _with_retries(lambda: _logistic(params, size, steps).fit(train))
+        return evaluator.evaluate(model.transform(val))
 
-def train_pooled(rows: DataFrame, features: list[str], version: int, positive: str, negative: str,
-                 search: Search = Search()) -> tuple[PipelineModel, dict]:
-    """A market or industry model: several searches, the best one kept."""
-    found = []
-    for restart in range(search.restarts):
-        found.append(hyperparam_search(
-            rows, tree_params(version, search, restart), lambda p, n: _gbt(features, p)))
-    if search.select_on == "test" and len(found) > 1:
-        tests = None
-        for restart, (model, _, _) in enumerate(found):
-            test = predictions(model, rows.where("fold = 'test'"), positive, negative)
-            per_ticker = gini(test, ["ticker"], positive).withColumn("restart", F.lit(restart))
-            tests = per_ticker if tests is None else tests.unionByName(per_ticker)
-        best = select_best_restart(tests).first()["restart"]
-    else:
-        best = int(np.argmax([metric for _, _, metric in found]))
-    model, params, _ = found[best]
-    return model, params
-
-
-def train_per_industry(rows: DataFrame, industries: DataFrame, features: list[str], positive: str, negative: str,
-                       search: Search = Search()) -> tuple[dict[str, PipelineModel], dict[str, str]]:
-    """One distributed fit per industry; returns models and failures by industry.
-
-    The loop runs over industry names (a small fixed dimension); each fit reads only the
-    rows of its industry.
-    """
-    tagged = rows.join(industries, "ticker")
-    names = [r[0] for r in tagged.select("industry").distinct().orderBy("industry").collect()]
-    models, failures = {}, {}
-    for name in names:
-        try:
-            models[name], _ = train_pooled(
-                tagged.where(F.col("industry") == name), features, 2, positive, negative, search)
-        except ValueError as error:
-            failures[name] = str(error)
-    return models, failures
-
-
-def train_market(rows: DataFrame, features: list[str], positive: str, negative: str,
-                 search: Search = Search()) -> dict[str, PipelineModel]:
-    model, _ = train_pooled(rows, features, 3, positive, negative, search)
-    return {MARKET: model}
+    with ThreadPoolExecutor(threads) as pool:
+        scored = list(pool.map(tried, candidates))
+    best = int(np.argmax(scored))
+    both = {c: counts["train"].get(c, 0) + counts["val"].get(c, 0) for c in (0.0, 1.0)}
+    everything = rows.where("fold IN ('train', 'val')")
+    scaler = _scaled(features).fit(everything)
+    last = _with_retries(lambda: _logistic(candidates[best], sum(both.values()), steps).fit(
+        balanced(scaler.transform(everything), both)))
+    return PipelineModel(stages=[*scaler.stages, last]), candidates[best], scored[best]
 
 
 def train_stacker(rows: DataFrame, features: list[str], search: Search = Search()) -> PipelineModel:
-    model, _, _ = hyperparam_search(
-        rows, logistic_params(replace(search, restarts=1)), lambda p, n: _logistic(features, p, n, search.logistic_steps))
-    return model
+    return hyperparam_search(rows, features, logistic_params(search), search.logistic_steps, search.threads)[0]
 
 
 def forecast(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Probability of the positive class for every row."""
+    """Probability of the positive class for every row, from a stored pipeline."""
     return model.transform(df).select("ticker", "date", vector_to_array("probability")[1].alias("p"))
 
 
 # ---- routing and storage -----------------------------------------------------------------
 
+#: The column that names the model of a row, by version; none: one model for all.
+KEYS = {1: "ticker", 2: "industry", 3: None}
 
-def train_router(version: int, rows: DataFrame, features: list[str], positive: str, negative: str,
-                 industries: DataFrame | None = None, search: Search = Search()):
-    """(models, forecasts of the labelled rows, failures) of one model version.
 
-    Forecast rows carry y_true, y_pred, p and split, ready for the performance table.
-    """
-    failures: dict[str, str] = {}
+def train(version: int, rows: DataFrame, features: list[str], industries: DataFrame | None = None,
+          search: Search = Search()) -> tuple[DataFrame, DataFrame]:
+    """(models, failures) of versions 1 to 3: a row per model, and (identifier, reason) for each that can't be trained."""
     if version == 1:
-        models = through_table(train_per_ticker(rows, features, search), "ticker-models")  # fitted once
-        p = forecast_per_ticker(rows, models, features)
-        made = rows.drop(*features).join(p, ["ticker", "date"]).select(
-            "ticker", "date", "y_true",
-            F.when(F.col("p") > 0.5, positive).otherwise(negative).alias("y_pred"), "p",
-            F.when(F.col("fold") == "test", "test").otherwise("train").alias("split"))
-        return models, made, failures
+        return through_table(train_per_ticker(rows, features), "ticker-models"), failures_of(rows, "ticker")
     if version == 2:
-        models, failures = train_per_industry(rows, industries, features, positive, negative, search)
-        tagged, made = rows.join(industries, "ticker"), None
-        for name, model in models.items():
-            part = predictions(model, tagged.where(F.col("industry") == name), positive, negative)
-            made = part if made is None else made.unionByName(part)
-        return models, made, failures
+        tagged = rows.join(industries, "ticker")
+        made = train_grouped(tagged, features, "industry", search).withColumnRenamed("identifier", "industry")
+        return through_table(made, "industry-models"), failures_of(tagged, "industry")
     if version == 3:
-        models = train_market(rows, features, positive, negative, search)
-    elif version == 4:
-        models = {MARKET: train_stacker(rows, features, search)}
-    else:
-        raise ValueError(f"unknown model version {version}")
-    return models, predictions(models[MARKET], rows, positive, negative), failures
+        tagged = rows.withColumn("market", F.lit(MARKET))
+        return through_table(train_grouped(tagged, features, "market", search), "market-model"), failures_of(tagged, "market")
+    raise ValueError(f"unknown model version {version}")
+
+
+def forecast_version(version: int, models: DataFrame, df: DataFrame, features: list[str],
+                     industries: DataFrame | None = None) -> DataFrame:
+    """(ticker, date, p) of versions 1 to 3."""
+    tagged = df.join(industries, "ticker") if version == 2 else df
+    return forecast_by(models, tagged, features, KEYS[version])
+
 
+def judged(p: DataFrame, rows: DataFrame, positive: str, negative: str) -> DataFrame:
+    """Forecasts of labelled rows with y_true, y_pred, p and split (val counts as train)."""
+    return rows.select("ticker", "date", "y_true", "fold").join(p, ["ticker", "date"]).select(
+        "ticker", "date", "y_true", F.when(F.col("p") > 0.5, positive).otherwise(negative).alias("y_pred"), "p",
+        F.when(F.col("fold") == "test", "test").otherwise("train").alias("split"))
 
-def model_path(folder: str, version: int, label: str, identifier: str, window: int) -> str:
-    return f"{folder.rstrip('/')}/model_v{version}/{label}/{identifier}-{window}dd"
 
+def train_router(version: int, rows: DataFrame, features: list[str], positive: str, negative: str,
+                 industries: DataFrame | None = None, search: Search = Search()):
+    """(models, forecasts of the labelled rows, failures) of one model version; failures are (identifier, reason)."""
+    if version == 4:
+        none = rows.sparkSession.createDataFrame([], "identifier string, reason string")
+        try:
+            model = train_stacker(rows, features, search)
+        except ValueError as error:
+            why = rows.sparkSession.createDataFrame([(MARKET, str(error))], none.schema)
+            empty = rows.select("ticker", "date", F.lit(None).cast("double").alias("p")).limit(0)
+            return None, judged(empty, rows, positive, negative), why
+        return model, judged(forecast(model, rows), rows, positive, negative), none
+    models, failures = train(version, rows, features, industries, search)
+    p = forecast_version(version, models, rows.drop("y_true", "label", "fold"), features, industries)
+    return models, judged(p, rows, positive, negative), failures
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
 
+def model_path(folder: str, version: int, label: str, window: int) -> str:
+    return f"{folder.rstrip('/')}/model_v{version}/{label}-{window}dd"
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+
+def save_models(models, path: str) -> None:
+    """Versions 1 to 3 as one table each: thousands of small files would be slower to list. The stacker as a pipeline."""
+    if isinstance(models, DataFrame):
+        models.write.mode("overwrite").parquet(path)
+    else:
+        models.write().overwrite().save(path)
 
 
-def has_model(spark, path: str) -> bool:
-    """Whether a stored model is at ``path``; its metadata folder is looked up."""
+def load_models(spark, version: int, path: str):
+    """What ``save_models`` stored, or None where nothing was fitted."""
     try:
-        return bool(spark.read.text(f"{path}/metadata").limit(1).count())
+        spark.read.text(f"{path}/metadata").limit(1).count() if version == 4 else None
+        return PipelineModel.load(path) if version == 4 else spark.read.parquet(path)
     except AnalysisException:
-        return False
-
-
-def save_ticker_models(models: DataFrame, path: str) -> None:
-    """All per-ticker models as one table: thousands of small files would be slower to list."""
-    models.write.mode("overwrite").parquet(path)
+        return None
 
 
 def route_model(tickers: DataFrame, industries: DataFrame, version: int, label_types, windows) -> DataFrame:

@@ -14,6 +14,11 @@ def latest_per_ticker(df: DataFrame, columns: list[str]) -> DataFrame:
     return newest.select("ticker", "r.*")
 
 
+def single_date(df: DataFrame) -> DataFrame:
+    """One row: how many dates ``df`` has, its rows, and whether it has one date at most."""
+    return df.agg(F.count_distinct("date").alias("dates"), F.count("*").alias("rows")).withColumn("passed", F.col("dates") <= 1)
+
+
 def assert_single_date(df: DataFrame) -> DataFrame:
     """Passes ``df`` through; the query fails when it holds more than one date."""
     dates = df.agg(F.count_distinct("date").alias("dates"))
@@ -30,12 +35,15 @@ def attach_bin_targets(scored: DataFrame, targets: DataFrame, strict: bool = Tru
     return joined.withColumn("buy_pct", F.when(F.col("sell_pct").isNull(), missing).otherwise(F.col("buy_pct")))
 
 
-def daily_recommendation(scores: DataFrame, bars: DataFrame, targets: DataFrame, strict: bool = True) -> DataFrame:
-    """Score, latest close and target prices per ticker.
+def daily_recommendation(scores: DataFrame, bars: DataFrame, targets: DataFrame, strict: bool = True,
+                         one_date: bool = True) -> DataFrame:
+    """Score, latest close and target prices of every ticker.
 
-    ``targets`` has one row per score bin (six at most).
+    ``targets`` has one row per score bin (six at most). ``one_date`` fails the query when the latest scores are not all
+    of one date; turn it off where tickers trade on different days.
     """
-    latest = assert_single_date(latest_per_ticker(scores, ["score"]))
+    latest = latest_per_ticker(scores, ["score"])
+    latest = assert_single_date(latest) if one_date else latest
     latest = latest.withColumnRenamed("date", "score_date").withColumn("bin", score_bin("score"))
     closes = latest_per_ticker(bars, ["close"]).drop("date")
     priced = attach_bin_targets(latest.join(closes, "ticker"), targets, strict)

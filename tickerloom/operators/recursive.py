@@ -1,15 +1,19 @@
 """Series in which each row depends on its own previous value.
 
-Spark window frames cannot refer to their own output, so these run as one grouped-map pass
-over the bars of a ticker (bounded by the calendar), all wanted series in the same pass.
+Spark window frames cannot refer to their own output, so these run over the prices of a ticker as arrays (bounded by
+the calendar), all wanted series in one pass. Only the five price arrays cross to Python, as numbers; every other column
+stays in the JVM.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 
 def seeded_average(x: np.ndarray, n: int, alpha: float, start: int = 0) -> np.ndarray:
@@ -40,10 +44,11 @@ def true_range(b):
 class Bars:
     """Column arrays of one ticker in date order."""
 
-    def __init__(self, pdf: pd.DataFrame):
-        self.open, self.high, self.low, self.close, self.volume = (
-            pdf[c].to_numpy(dtype=float) for c in ("open", "high", "low", "close", "volume")
-        )
+    def __init__(self, open, high, low, close, volume):
+        self.open, self.high, self.low, self.close, self.volume = open, high, low, close, volume
+
+
+PRICES = ("open", "high", "low", "close", "volume")
 
 
 def ema_close(n):
@@ -180,13 +185,28 @@ def with_recursive_series(bars: DataFrame, wanted) -> DataFrame:
     if not wanted:
         return bars
     columns = [c for name in wanted for c in SERIES[name][1]]
-    schema = T.StructType(bars.schema.fields + [T.StructField(c, T.DoubleType()) for c in columns])
     functions = [SERIES[name][0] for name in wanted]
 
-    def one_ticker(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", ignore_index=True)
-        data = Bars(pdf)
-        made = {k: v for f in functions for k, v in f(data).items()}
-        return pdf.assign(**{c: made[c] for c in columns})  # NaN becomes NULL on the way back
-
-    return bars.groupBy("ticker").applyInPandas(one_ticker, schema)
+    @F.arrow_udf(f"struct<{','.join(f'{c}:array<double>' for c in columns)}>")
+    def series(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for prices in batches:
+            offsets = prices[0].offsets
+            values = [p.flatten().to_numpy(zero_copy_only=False) for p in prices]
+            made = {c: [np.zeros(0)] for c in columns}
+            for first, end in zip(offsets[:-1].to_numpy() - offsets[0].as_py(), offsets[1:].to_numpy() - offsets[0].as_py()):
+                data = Bars(*[v[first:end] for v in values])
+                for f in functions:
+                    for c, x in f(data).items():
+                        made[c].append(x)
+            ends = pa.array((offsets.to_numpy() - offsets[0].as_py()).astype(np.int32))
+            yield pa.StructArray.from_arrays([
+                pa.ListArray.from_arrays(ends, pa.array(np.concatenate(made[c]), from_pandas=True)) for c in columns], columns)
+
+    rest = [c for c in bars.columns if c != "ticker"]
+    whole = F.array_sort(F.collect_list(F.struct("date", *[c for c in rest if c != "date"])))
+    packed = bars.groupBy("ticker").agg(whole.alias("__rows"))
+    prices = [F.col(f"__rows.{p}").cast("array<double>") for p in PRICES]
+    zipped = packed.select("ticker", "__rows", series(*prices).alias("__made")).select("ticker", F.explode(
+        F.arrays_zip("__rows", *[F.col(f"__made.{c}").alias(c) for c in columns])).alias("__r"))
+    return zipped.select("ticker", *[F.col(f"__r.__rows.{c}").alias(c) for c in rest], *[F.col(f"__r.{c}").alias(c) for c in columns]) \
+        .select(*bars.columns, *columns)

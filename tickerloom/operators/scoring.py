@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import QuantileDiscretizer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -36,7 +36,7 @@ def score_train(prepared: DataFrame, positive: str, inputs=("p", "gini"), target
     count = rows.count()
     if not count:
         raise ValueError("no labelled train rows to score on")
-    model = LogisticRegression(regParam=1.0 / count, elasticNetParam=0.0, standardization=False, maxIter=100)
+    model = LogisticRegression(regParam=1.0 / count, elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-12)
     return model.fit(VectorAssembler(inputCols=list(inputs), outputCol="features").transform(rows))
 
 
@@ -107,61 +107,71 @@ def sweep_step(score: str, step: float, count: int):
     return F.when(k >= 0, F.least(k, F.lit(count - 1)))
 
 
+def value_cells(counts: DataFrame, size: int) -> DataFrame:
+    """Stored counts (k, v, c) with ``cell``: rows of neighbouring values, ``size`` of them to a cell at any scale.
+
+    Ranges of values are dealt out and stored; the rows before each range are a prefix sum with one row per range.
+    """
+    ranged = through_table(counts.repartitionByRange("v", "k").withColumn("part", F.spark_partition_id()), "sweep")
+    sizes = ranged.groupBy("part").agg(F.count("*").alias("n"))
+    before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    place = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy("v", "k")) - 1
+    return through_table(
+        ranged.join(before, "part").select("k", "v", "c", F.floor(place / size).cast("long").alias("cell")), "sweep-cells")
+
+
 def threshold_sweep(simulation: DataFrame, metric: str, step: float = SWEEP_STEP, count: int = SWEEP_COUNT,
-                    value_bins: int = 256) -> DataFrame:
-    """Mean, extremes and quartiles of ``metric`` over the rows with score >= k*step, for all k.
-
-    A row belongs to every threshold up to its own step, so nothing is joined per threshold.
-    Rows are reduced to (step, value) counts, written once; mean and extremes are suffix sums
-    over at most ``count`` steps. For the quartiles a (step x value bin) histogram tells for
-    each threshold which bin holds the wanted rank, and only rows of those bins are ranked.
-    The histogram size does not depend on the data, and the result is exact. More bins mean
-    a larger histogram and fewer rows to rank.
+                    cell_size: int = 4096) -> DataFrame:
+    """Mean, extremes and quartiles of ``metric`` over the rows with score >= k*step, for all ``count`` thresholds.
+
+    A threshold that no row reaches has 0 rows and no statistics. A row belongs to every threshold up to its own step,
+    so nothing is joined per threshold. Rows are reduced to (step, value) counts; mean and extremes are suffix sums over
+    at most ``count`` steps. For the quartiles the counts are parted into cells of ``cell_size`` neighbouring values;
+    suffix sums over (step, cell) counts tell in which cell each threshold's rank lies, and only that cell is ranked for
+    it. So at most 6 x ``count`` x ``cell_size`` rows are joined, however many there are. The result is exact.
     """
     rows = simulation.where(F.col(metric).isNotNull()).select(
         sweep_step("score", step, count).cast("int").alias("k"), F.col(metric).cast("double").alias("v"),
     ).where("k IS NOT NULL")
-    rows = through_table(rows.groupBy("k", "v").agg(F.count("*").alias("c")), "sweep")
+    rows = value_cells(rows.groupBy("k", "v").agg(F.count("*").alias("c")), cell_size)
 
-    later = Window.partitionBy(F.lit(0)).orderBy(F.desc("k"))  # one row per step
+    later = Window.orderBy(F.desc("k"))  # one row per step
     steps = rows.groupBy("k").agg(
         F.sum("c").alias("n"), F.sum(F.col("v") * F.col("c")).alias("total"),
         F.max("v").alias("hi"), F.min("v").alias("lo"))
     grid = simulation.sparkSession.range(count).select(F.col("id").cast("int").alias("k"))
-    summary = grid.join(F.broadcast(steps), "k", "left").select(
-        "k", F.sum("n").over(later).alias("n"), F.sum("total").over(later).alias("total"),
+    summary = through_table(grid.join(steps, "k", "left").select(
+        "k", F.coalesce(F.sum("n").over(later), F.lit(0)).alias("n"), F.sum("total").over(later).alias("total"),
         F.max("hi").over(later).alias("max"), F.min("lo").over(later).alias("min"),
-    ).where("n > 0")
-
-    bins = QuantileDiscretizer(numBuckets=value_bins, inputCol="v", outputCol="b", relativeError=0.2 / value_bins)
-    binned = bins.fit(rows).transform(rows).withColumn("b", F.col("b").cast("int"))
-    cells = binned.groupBy("k", "b").agg(F.sum("c").alias("c"))
-    up_to = F.sum("c").over(Window.partitionBy("k").orderBy("b"))
+    ), "sweep-steps")
+
+    counts = rows.groupBy("cell", "k").agg(F.sum("c").alias("c"))
+    known = counts.groupBy("cell").agg(F.max("k").alias("top"))
+    # every threshold up to the highest step of a cell
+    dense = known.select("cell", F.explode(F.sequence(F.lit(0), F.col("top"))).alias("k")).join(counts, ["cell", "k"], "left")
+    reached = dense.select("cell", "k", F.sum(F.coalesce("c", F.lit(0))).over(
+        Window.partitionBy("cell").orderBy(F.desc("k"))).alias("c"))
     per_step = (
-        grid.select("k", F.explode(F.sequence(F.lit(0), F.lit(value_bins))).alias("b"))
-        .join(F.broadcast(cells), ["k", "b"], "left")
-        .withColumn("c", F.sum(F.coalesce("c", F.lit(0))).over(Window.partitionBy("b").orderBy(F.desc("k"))))
-        .withColumn("up_to", up_to)
+        reached.withColumn("up_to", F.sum("c").over(Window.partitionBy("k").orderBy("cell")))
         .withColumn("before", F.col("up_to") - F.col("c"))
-        .join(F.broadcast(summary.select("k", "n")), "k")
+        .join(summary.select("k", "n"), "k")
     )
 
     def place(rank):
-        """Rank inside this bin, NULL where the bin does not hold it."""
+        """Rank inside this cell, NULL where the cell does not hold it."""
         return F.when((rank >= F.col("before")) & (rank < F.col("up_to")), rank - F.col("before"))
 
     def at(q, rounding):
         return place(rounding((F.col("n") - 1) * F.lit(q)))
 
-    wanted = per_step.select("k", "b", F.explode(F.array(*[
+    wanted = per_step.select("k", "cell", F.explode(F.array(*[
         F.struct(F.lit(name).alias("name"), at(q, F.floor).alias("low"), at(q, F.ceil).alias("high"))
         for name, q in SWEEP_QUARTILES.items()
-    ])).alias("r")).select("k", "b", "r.*").where("low IS NOT NULL OR high IS NOT NULL")
+    ])).alias("r")).select("k", "cell", "r.*").where("low IS NOT NULL OR high IS NOT NULL")
 
-    # at most six ranks per threshold, whatever the data: a small side of fixed size
-    inside = binned.withColumnRenamed("k", "row_k").join(F.broadcast(wanted), "b").where("row_k >= k")
-    tied = inside.groupBy("k", "name", "b", "low", "high", "v").agg(F.sum("c").alias("c"))
-    ranked = tied.withColumn("last", F.sum("c").over(Window.partitionBy("k", "name", "b").orderBy("v")))
+    inside = rows.withColumnRenamed("k", "row_k").join(wanted, "cell").where("row_k >= k")
+    tied = inside.groupBy("k", "name", "cell", "low", "high", "v").agg(F.sum("c").alias("c"))
+    ranked = tied.withColumn("last", F.sum("c").over(Window.partitionBy("k", "name", "cell").orderBy("v")))
 
     def hit(name, end):
         here = (F.col("name") == name) & (F.col(end) < F.col("last")) & (F.col(end) >= F.col("last") - F.col("c"))
@@ -174,8 +184,8 @@ def threshold_sweep(simulation: DataFrame, metric: str, step: float = SWEEP_STEP
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
         return (low + (high - low) * (position - F.floor(position))).alias(name)
 
-    return summary.join(picked, "k").select(
+    return summary.join(picked, "k", "left").select(
         (F.col("k") * F.lit(step)).alias("threshold"), F.col("n").alias("rows"),
-        (F.col("total") / F.col("n")).alias("mean"), "max", "min",
+        F.try_divide("total", "n").alias("mean"), "max", "min",
         *[between(name, q) for name, q in SWEEP_QUARTILES.items()],
     )

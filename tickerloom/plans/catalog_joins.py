@@ -200,11 +200,13 @@ def percentile_rank(spark, sf):
 
 @query
 def single_date_assert(spark, sf):
-    """The scores of the newest date pass; the date count of all latest scores is shown."""
+    """Both outcomes of the check: the scores of the newest date pass, the latest ones of all tickers don't."""
     scores = t.scores(t.bars(spark, sf))
     newest = scores.agg(F.max("date").alias("d"))
-    latest = recommend.assert_single_date(scores.where(F.col("date") == newest.scalar()))
-    return latest.groupBy("date").agg(F.count("*").alias("tickers"))
+    one_day = recommend.assert_single_date(scores.where(F.col("date") == newest.scalar()))
+    latest = recommend.latest_per_ticker(scores, ["score"])
+    return recommend.single_date(one_day).withColumn("checked", F.lit("newest date")).unionByName(
+        recommend.single_date(latest).withColumn("checked", F.lit("latest of each ticker")))
 
 
 @query

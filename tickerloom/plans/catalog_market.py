@@ -45,9 +45,8 @@ def classify_vix(spark, sf):
 def _daily_moves(spark, sf):
     index = t.index_bars(spark, sf)
     moves = index.withColumn("before", F.lag("close").over(outlook.by_index()))
-    # one percent of a move: daily values of the events swing widely
-    scaled = F.bround(outlook.pct_change_to("close", "before") / 100, 4)
-    return moves.withColumn("change_pct", scaled).where("change_pct IS NOT NULL")
+    change = F.bround(outlook.pct_change_to("close", "before"), 4)
+    return moves.withColumn("change_pct", change).where("change_pct IS NOT NULL")
 
 
 @query
@@ -117,14 +116,11 @@ def json_sink_outlook(spark, sf):
 
 
 def _recommendations(spark, sf):
-    """Scores up to the newest date, kept to the tickers that were scored on it."""
+    """The latest score of every ticker; tickers trade on different days here."""
     bars = t.bars(spark, sf)
-    scores = t.scores(bars)
-    newest = scores.agg(F.max("date").alias("d"))
-    today = scores.where(F.col("date") == newest.scalar())
     simulated = through_table(scoring.trading_simulation(inputs.test_scores(spark, sf), bars, 5), "simulation")
     targets = scoring.bin_buy_sell_pct(simulated)
-    return recommend.daily_recommendation(today, bars, targets)
+    return recommend.daily_recommendation(t.scores(bars), bars, targets, one_date=False)
 
 
 @query

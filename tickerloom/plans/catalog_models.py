@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickerloom.constants import LABEL_WINDOWS, LABELS, MARKET
+from tickerloom.constants import LABEL_WINDOWS, LABELS
 from tickerloom.functions.naming import combined_columns, label_config
 from tickerloom.operators import features, forecasts, labels, metrics, models, scoring
 from tickerloom.plans import inputs
@@ -12,15 +12,14 @@ from tickerloom.plans.registry import query, rounded
 from tickerloom.session import shared_folder, through_table
 from tickerloom.sources import tables as t
 
-QUICK = models.Search(iterations=2, restarts=1, trees=(3, 5), logistic_steps=25)
-INPUTS = ("momentum", "stochastic", "cmf")
 NAMES = label_config("median_gain", 5)
+SEARCH = models.Search()  # the full search of a development run
 
 
 def _training_rows(spark, sf):
-    """Labelled feature rows with their fold, written once, and the feature names."""
+    """Labelled rows with all features and their fold, written once, and the feature names."""
     bars = t.bars(spark, sf)
-    table = through_table(features.feature_table(bars, t.flow(spark, sf), INPUTS), "features")
+    table = through_table(features.feature_table(bars, t.flow(spark, sf)), "features")
     names = features.feature_list(table, bars)
     labelled = labels.with_labels(table, ("median_gain",), (5,))
     splits = labels.split_dates(labels.make_splits(labelled, NAMES["target"]))
@@ -28,6 +27,10 @@ def _training_rows(spark, sf):
     return through_table(rows, "training"), names
 
 
+def _performance(made):
+    return metrics.performance_by_ticker(made, NAMES["positive"], NAMES["negative"])
+
+
 @query
 def split_train_test(spark, sf):
     rows = labels.with_labels(t.bars(spark, sf), ("median_gain",), (5,))
@@ -37,28 +40,26 @@ def split_train_test(spark, sf):
 
 @query
 def train_per_ticker(spark, sf):
+    """The weights of every ticker's model, one row per feature."""
     rows, names = _training_rows(spark, sf)
-    return models.train_per_ticker(rows, names, QUICK).drop("model")
+    fitted = models.train_per_ticker(rows, names)
+    weights = F.arrays_zip(F.array(*map(F.lit, names)).alias("feature"), "linear", "square")
+    long = fitted.select("ticker", "intercept", F.explode(weights).alias("w"))
+    return rounded(long.select("ticker", "intercept", F.col("w.feature").alias("feature"), "w.linear", "w.square"), 3)
 
 
 @query
 def train_per_industry(spark, sf):
-    """Regions stand for industries here, to keep the number of fits small."""
     rows, names = _training_rows(spark, sf)
-    nation, region = t.table(spark, sf, "nation"), t.table(spark, sf, "region")
-    sectors = t.table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(
-        region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("s_suppkey").alias("ticker"), F.col("r_name").alias("industry"))
-    quick = models.Search(iterations=1, restarts=1, trees=(2, 3))
-    _, made, _ = models.train_router(2, rows, names, NAMES["positive"], NAMES["negative"], sectors, quick)
-    return metrics.performance_by_ticker(made, NAMES["positive"], NAMES["negative"])
+    _, made, _ = models.train_router(2, rows, names, NAMES["positive"], NAMES["negative"], t.industry(spark, sf), SEARCH)
+    return _performance(made)
 
 
 @query
 def train_market(spark, sf):
     rows, names = _training_rows(spark, sf)
-    _, made, _ = models.train_router(3, rows, names, NAMES["positive"], NAMES["negative"], search=QUICK)
-    return metrics.performance_by_ticker(made, NAMES["positive"], NAMES["negative"])
+    _, made, _ = models.train_router(3, rows, names, NAMES["positive"], NAMES["negative"], search=SEARCH)
+    return _performance(made)
 
 
 def _stacked_rows(spark, sf):
@@ -75,16 +76,16 @@ def _stacked_rows(spark, sf):
 @query
 def train_stacker(spark, sf):
     rows, names = _stacked_rows(spark, sf)
-    _, made, _ = models.train_router(4, rows, names, NAMES["positive"], NAMES["negative"], search=QUICK)
-    return metrics.performance_by_ticker(made, NAMES["positive"], NAMES["negative"])
+    _, made, _ = models.train_router(4, rows, names, NAMES["positive"], NAMES["negative"], search=SEARCH)
+    return _performance(made)
 
 
 @query
 def hyperparam_search(spark, sf):
     """The chosen parameters and their validation score."""
     rows, names = _stacked_rows(spark, sf)
-    build = lambda p, n: models._logistic(names, p, n, QUICK.logistic_steps)
-    _, params, metric = models.hyperparam_search(rows, models.logistic_params(QUICK), build)
+    _, params, metric = models.hyperparam_search(
+        rows, names, models.logistic_params(SEARCH), SEARCH.logistic_steps, SEARCH.threads)
     chosen = rows.groupBy("fold").agg(F.count("*").alias("rows"))
     return chosen.select("fold", "rows", *[F.lit(v).alias(k) for k, v in params.items()],
                          F.lit(float(metric)).alias("val_metric"))
@@ -92,26 +93,25 @@ def hyperparam_search(spark, sf):
 
 @query
 def train_router(spark, sf):
-    """Performance rows of model 1 and of the stacker, from the same entry point."""
+    """Performance rows of the versions that forecast from features, and how many models failed, from one entry point."""
     rows, names = _training_rows(spark, sf)
-    stacked, stacked_names = _stacked_rows(spark, sf)
     parts = []
-    for version, data, inputs_of in ((1, rows, names), (4, stacked, stacked_names)):
-        _, made, _ = models.train_router(version, data, inputs_of, NAMES["positive"], NAMES["negative"], search=QUICK)
-        perf = metrics.performance_by_ticker(made, NAMES["positive"], NAMES["negative"])
-        parts.append(perf.withColumn("model_version", F.lit(version)))
-    return parts[0].unionByName(parts[1])
+    for version in inputs.VERSIONS:
+        _, made, failed = models.train_router(
+            version, rows, names, NAMES["positive"], NAMES["negative"], t.industry(spark, sf), SEARCH)
+        count = failed.agg(F.count("*").alias("n")).scalar()
+        parts.append(_performance(made).withColumn("model_version", F.lit(version)).withColumn("failed_models", count))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query
 def forecast(spark, sf):
-    """Probabilities of model 1 for all rows of the tickers that meet a test Gini."""
+    """Probabilities of the per-ticker models for all rows of the tickers that meet a test Gini of 0."""
     rows, names = _training_rows(spark, sf)
-    fitted = models.train_per_ticker(rows, names, QUICK)
-    fitted = through_table(fitted, "models")
-    wanted = metrics.tickers_meeting_gini(fitted, 0.0)
+    fitted, made, _ = models.train_router(1, rows, names, NAMES["positive"], NAMES["negative"])
+    wanted = metrics.tickers_meeting_gini(_performance(made), 0.0)
     table = rows.join(wanted.select("ticker"), "ticker", "left_semi")
-    return models.forecast_per_ticker(table, fitted, names)
+    return rounded(models.forecast_version(1, fitted, table, names), 3)
 
 
 @query
@@ -119,18 +119,18 @@ def model_store(spark, sf):
     """Forecasts of stored and reloaded models next to those of the fitted ones."""
     rows, names = _training_rows(spark, sf)
     folder = shared_folder(spark, "models")
-    quick = models.Search(iterations=1, restarts=1, trees=(3, 3))
-    fitted = models.train_per_ticker(rows, names, quick)
-    models.save_ticker_models(fitted, f"{folder}/model_v1")
-    per_ticker = models.forecast_per_ticker(rows, spark.read.parquet(f"{folder}/model_v1"), names)
-    market = models.train_market(rows, names, NAMES["positive"], NAMES["negative"], quick)[MARKET]
-    path = models.model_path(folder, 3, "medianGain", MARKET, 5)
-    models.save_model(market, path)
-    pooled = models.forecast(models.load_model(path), rows)
-    before = models.forecast(market, rows).withColumnRenamed("p", "before")
-    same = pooled.join(before, ["ticker", "date"]).groupBy("ticker").agg(
-        F.max(F.abs(F.col("p") - F.col("before"))).alias("market_difference"), F.avg("p").alias("market_p"))
-    return same.join(per_ticker.groupBy("ticker").agg(F.avg("p").alias("ticker_p")), "ticker", "left")
+    out = None
+    for version, name in ((1, "ticker"), (3, "market")):
+        fitted, _ = models.train(version, rows, names, search=SEARCH)
+        path = models.model_path(folder, version, "medianGain", 5)
+        models.save_models(fitted, path)
+        stored = models.forecast_version(version, models.load_models(spark, version, path), rows, names)
+        before = models.forecast_version(version, fitted, rows, names).withColumnRenamed("p", "before")
+        same = stored.join(before, ["ticker", "date"]).groupBy("ticker").agg(
+            F.max(F.abs(F.col("p") - F.col("before"))).alias(f"{name}_difference"),
+            *([F.avg("p").alias("ticker_p")] if version == 1 else []))
+        out = same if out is None else out.join(same, "ticker")
+    return rounded(out, 3)
 
 
 # ---- scores ------------------------------------------------------------------------------
@@ -153,16 +153,16 @@ def score_train(spark, sf):
     prepared = through_table(_prepared(spark, sf), "prepared")
     model = scoring.score_train(prepared, NAMES["positive"])
     forecast_weight, gini_weight = (float(x) for x in model.coefficients)
-    return prepared.groupBy("split").agg(F.count("*").alias("rows")).select(
+    return rounded(prepared.groupBy("split").agg(F.count("*").alias("rows")).select(
         "split", "rows", F.lit(float(model.intercept)).alias("intercept"),
-        F.lit(forecast_weight).alias("p_weight"), F.lit(gini_weight).alias("gini_weight"))
+        F.lit(forecast_weight).alias("p_weight"), F.lit(gini_weight).alias("gini_weight")), 4)
 
 
 @query
 def score_fitted(spark, sf):
     """Scores of the fitted model for test and forecast rows."""
     prepared = through_table(_prepared(spark, sf), "prepared")
-    return scoring.score_infer(prepared, scoring.score_train(prepared, NAMES["positive"]))
+    return rounded(scoring.score_infer(prepared, scoring.score_train(prepared, NAMES["positive"])), 4)
 
 
 @query

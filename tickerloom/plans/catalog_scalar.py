@@ -165,7 +165,8 @@ def camel_label(spark, sf):
 
 @query
 def lookback_filter(spark, sf):
-    return rounded(cleaning.lookback_filter(t.bars(spark, sf).select("ticker", "date", "close"), "2001-06-30"))
+    closes = t.bars(spark, sf).select("ticker", "date", "close")
+    return rounded(cleaning.lookback_filter(closes, closes.agg(F.max("date")).scalar()))
 
 
 @query

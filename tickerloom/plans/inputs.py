@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from tickerloom.constants import LABEL_WINDOWS, LABELS
 from tickerloom.functions.naming import label_config
+from tickerloom.functions.series import by_ticker
 from tickerloom.operators.cleaning import split_masks
-from tickerloom.operators.labels import make_splits, split_dates, with_labels
+from tickerloom.operators.labels import make_splits, with_labels
 from tickerloom.operators.metrics import performance_by_ticker
 from tickerloom.sources import tables as t
 
-VERSIONS = (1, 2, 3)
+VERSIONS = (1, 2, 3)  # versions that forecast from features; the stacker is version 4
 ROLES = {"vix": "view", "usdidr": "click", "sp500": "purchase", "nikkei": "signup"}
 
 
@@ -21,9 +22,14 @@ def labelled(spark, sf_dir, label_types=tuple(LABELS), windows=LABEL_WINDOWS) ->
 
 
 def splits_of(spark, sf_dir, window: int = 5) -> dict:
-    """The six split dates of a window; which rows are labelled does not depend on the class."""
-    target = label_config("median_gain", window)["target"]
-    return split_dates(make_splits(labelled(spark, sf_dir, ("median_gain",), (window,)), target))
+    """The six split dates of a window as parts of one scalar subquery, so building a plan starts no job.
+
+    A row has labels of all classes as soon as ``window`` rows of its ticker follow it.
+    """
+    dates = t.bars(spark, sf_dir).select("ticker", "date", F.lead("date", window).over(by_ticker()).alias("later"))
+    splits = make_splits(dates, "later")
+    row = splits.select(F.struct(*splits.columns).alias("row")).scalar()
+    return {name: row[name] for name in splits.columns}
 
 
 def solvent(spark, sf_dir) -> DataFrame:

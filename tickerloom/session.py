@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -23,18 +24,37 @@ def get_session(app_name: str = "tickerloom", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_MADE: set[str] = set()
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete what this application wrote; the JVM may be gone already."""
+    try:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except (AttributeError, ConnectionError, Py4JError):
+        pass
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
+    """A fresh folder that every executor can reach; what an application wrote is deleted when it ends.
 
-    Only where the cluster names none (single-machine tests) a temporary folder is set.
+    It lies below ``spark.checkpoint.dir``. Where that is unset, a folder in the warehouse takes its place, in any mode,
+    and is set for the session; Spark's own checkpoints go there, too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tickerloom-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
+    mine = f"{root.rstrip('/')}/{context.applicationId}"
+    if mine not in _MADE:
+        _MADE.add(mine)
+        atexit.register(_remove, spark, mine)
+    return f"{mine}/{purpose}-{uuid.uuid4().hex}"
 
 
 def through_table(df, purpose: str):

@@ -31,14 +31,14 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return best.select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
 
 
-def split_flow_per_ticker(snapshots: DataFrame, order: str = "landing") -> DataFrame:
-    """Flow keyed by (ticker, date); of several landings of a key the first stays."""
+def split_flow_per_ticker(snapshots: DataFrame, order: tuple[str, ...] = ("landing",)) -> DataFrame:
+    """Flow keyed by (ticker, date); of several rows of a key the first in ``order`` stays."""
     named = snapshots.withColumnsRenamed({
         "Stock Code": "ticker", "Last Trading Date": "date", "Foreign Sell": "foreign_sell",
         "Foreign Buy": "foreign_buy", "Non Regular Volume": "non_regular_volume",
         "Non Regular Value": "non_regular_value", "Non Regular Frequency": "non_regular_frequency",
     })
-    return first_per_key(named, ["ticker", "date"], [order]).drop(order)
+    return first_per_key(named, ["ticker", "date"], list(order)).drop(*order)
 
 
 def active_market_dates(bars: DataFrame) -> DataFrame:

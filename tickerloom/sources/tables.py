@@ -193,7 +193,7 @@ def scores(bars_df: DataFrame) -> DataFrame:
 
 
 def forecasts(bars_df: DataFrame, available: DataFrame, label_types, windows, versions=(1, 2, 3)) -> DataFrame:
-    """Long forecasts; model 3 covers only the tickers of ``available``."""
+    """Long forecasts; model 3 covers only the tickers of ``available``. The bars are read once."""
     offsets = {"median_gain": 0, "median_loss": 3}
     rows = F.array(*[
         F.struct(
@@ -202,9 +202,10 @@ def forecasts(bars_df: DataFrame, available: DataFrame, label_types, windows, ve
         )
         for v in versions for label in label_types for w in windows
     ])
-    long = bars_df.select("ticker", "date", F.explode(rows).alias("f")).select("ticker", "date", "f.*")
-    third = long.where("model_version = 3").join(available.select("ticker"), "ticker", "left_semi")
-    return long.where("model_version != 3").unionByName(third)
+    covered = available.select("ticker").distinct().withColumn("covered", F.lit(True))
+    flagged = bars_df.select("ticker", "date").join(covered, "ticker", "left")
+    kept = F.filter(rows, lambda f: (f["model_version"] != 3) | F.coalesce("covered", F.lit(False)))
+    return flagged.select("ticker", "date", F.explode(kept).alias("f")).select("ticker", "date", "f.*")
 
 
 def market_index(bars_df: DataFrame, name: str = "IHSG") -> DataFrame:

@@ -7,6 +7,7 @@ the summaries that are new since the last one, then stops.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickerloom.sources.market import clean_flow_snapshot, split_flow_per_ticker
 
@@ -25,12 +26,14 @@ def land_snapshots(spark: SparkSession, source: str, target: str, checkpoint: st
     raw = spark.readStream.schema(SNAPSHOT_SCHEMA).option("header", "true").csv(source)
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target.rstrip('/')}/landing={number}")
+        batch.withColumn("place", F.monotonically_increasing_id()).write.mode("overwrite").parquet(
+            f"{target.rstrip('/')}/landing={number}")
 
-    stream = clean_flow_snapshot(raw).writeStream.foreachBatch(write)
+    named = clean_flow_snapshot(raw.withColumn("file", F.col("_metadata.file_name")), ("file",))
+    stream = named.writeStream.foreachBatch(write)
     return stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def landed_flow(spark: SparkSession, target: str) -> DataFrame:
-    """Flow per (ticker, date) of everything landed; the first landing of a key stays."""
-    return split_flow_per_ticker(spark.read.parquet(target))
+    """Flow per (ticker, date) of everything landed: the first landing of a key, then the first file and row of it."""
+    return split_flow_per_ticker(spark.read.parquet(target), ("landing", "file", "place"))
