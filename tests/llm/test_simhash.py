@@ -79,8 +79,9 @@ def test_every_linked_pair_shares_an_anchor():
             assert set(one[0][one[1] == row]) & set(two[0][two[1] == row])
 
 
-def test_dense_anchor_in_tiles(spark):
+def test_dense_anchor_in_tiles(spark, monkeypatch):
     """A ball of many near fingerprints: tiles of few rows give the same classes as all pairs."""
+    monkeypatch.setattr(simhash, "PENDING", 50)
     random = np.random.default_rng(2)
     near = [int(np.bitwise_xor.reduce(np.uint64(1) << random.choice(64, 5).astype(np.uint64))) for _ in range(250)]
     prints = sorted({p if p < 2**63 else p - 2**64 for p in near})
@@ -92,6 +93,16 @@ def test_dense_anchor_in_tiles(spark):
     assert len({(a, b) for a, b in zip(ours, want)}) == len(set(ours)) == len(set(want))
 
 
+def test_merging_while_comparing(monkeypatch):
+    random = np.random.default_rng(3)
+    prints = np.array([int(np.bitwise_xor.reduce(np.uint64(1) << random.choice(64, 4).astype(np.uint64))) for _ in range(600)], np.uint64)
+    group = np.sort(random.integers(0, 4, 600))
+    want = sum(len(set(classes(prints[group == g].tolist()))) for g in range(4))
+    for waiting in (0, 7, 10**6):
+        monkeypatch.setattr(simhash, "PENDING", waiting)
+        assert 600 - len(simhash.tile_links(group, prints)[0]) == want
+
+
 def test_components_of_a_chain(spark):
     chain = spark.range(1, 60).selectExpr("id AS a", "id - 1 AS b").unionByName(spark.createDataFrame([(5, 5), (101, 100)], "a long, b long"))
     found = {r["node"]: r["root"] for r in components.connected(chain).collect()}

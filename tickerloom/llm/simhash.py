@@ -37,6 +37,8 @@ SHINGLE, SEED, THRESHOLD = 3, 42, 3
 PIECE = 65_536
 #: Fingerprints of one anchor that are compared in one tile.
 BLOCK = 1024
+#: Links that wait in a task before they are merged.
+PENDING = 100_000
 
 
 def bits_of(text: str) -> int:
@@ -117,32 +119,38 @@ def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(prints[rows])], ["anchor", "fp"])
 
 
+def _merged(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The roots of all rows once rows ``a`` and ``b`` belong together, pair by pair."""
+    while ((x := root[a]) != (y := root[b])).any():
+        low = np.minimum(x, y)
+        np.minimum.at(root, x, low)
+        np.minimum.at(root, y, low)
+        while not np.array_equal(top := root[root], root):
+            root = top
+    return root
+
+
 def tile_links(group: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (fingerprint, root) within groups of rows; ``group`` is sorted. At most one link per row."""
+    """Links (fingerprint, root) within groups of rows; ``group`` is sorted. At most one link per row.
+
+    Rows are compared with the next one of their group, then the next but one, and so on. Links are merged as soon as
+    ``PENDING`` of them wait, and rows that belong together already are left out, so dense groups need little memory.
+    """
     edges = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [len(group)]))
     size = np.diff(edges)
     end = np.repeat(edges[1:], size)
-    left, right, rows = [], [], np.arange(len(group))
+    root, rows, left, right, waiting = np.arange(len(group)), np.arange(len(group)), [], [], 0
     for step in range(1, int(size.max(initial=0))):
         rows = rows[rows + step < end[rows]]
-        near = np.bitwise_count(prints[rows] ^ prints[rows + step]) <= THRESHOLD
-        left.append(rows[near])
-        right.append(rows[near] + step)
-    if not left:
-        return prints[:0], prints[:0]
-    a, b = np.concatenate(left), np.concatenate(right)
-    root = np.arange(len(group))
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        new = new[new]
-        if np.array_equal(new, root):
-            break
-        root = new
+        near = rows[np.bitwise_count(prints[rows] ^ prints[rows + step]) <= THRESHOLD]
+        near = near[root[near] != root[near + step]]
+        left.append(near)
+        right.append(near + step)
+        waiting += len(near)
+        if waiting > PENDING:
+            root, left, right, waiting = _merged(root, np.concatenate(left), np.concatenate(right)), [], [], 0
+    if waiting:
+        root = _merged(root, np.concatenate(left), np.concatenate(right))
     linked = np.flatnonzero(root != np.arange(len(group)))
     return prints[linked], prints[root[linked]]
 
