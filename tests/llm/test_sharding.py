@@ -60,5 +60,5 @@ def test_odd_rows(spark):
 
 def test_sample_follows_size(spark):
     rows = spark.range(3_000).selectExpr("id AS key", "id AS doc_id", "id AS rid", "CASE WHEN id < 1500 THEN 900L ELSE 100L END AS size")
-    drawn = sharding._sample(rows, 300)
-    assert len(drawn) == 300 and 0.8 < pd.Series(drawn < 1500).mean() < 0.97
+    drawn = sharding._sample(rows, 300, 1_500_000)
+    assert 240 < len(drawn) < 360 and 0.8 < pd.Series(drawn < 1500).mean() < 0.97

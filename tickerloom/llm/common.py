@@ -76,30 +76,44 @@ def original(df: DataFrame) -> DataFrame:
     return df.select("row.*")
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, rows: int, megabytes: int, seed: int = 11,
-) -> list[tuple[str, object]]:
-    """At most ``rows`` labelled texts of together at most ``megabytes``, outside the held-out fold, for fitting.
+def thinned(rows: DataFrame, hashed: Column, n: int) -> DataFrame:
+    """About ``n`` of the rows, all if there are no more: those whose hash lies below a bound.
 
-    Rows are taken in the order of a hash of their id, so the sample is the same on every run. ``label`` is a column
-    of ``labels``; of several labels of one id the largest counts, of several texts the smallest. Only ids, sizes and
-    then the chosen texts reach the driver, all within the two bounds.
+    The bound follows from a count, so no task returns rows that don't belong to the sample.
     """
-    order = F.xxhash64(F.col("doc_id"), F.lit(seed))
+    total = rows.count()
+    return rows if total <= n else rows.where(F.pmod(hashed, F.lit(1 << 40)) < int(n / total * (1 << 40)))
+
+
+def known_labels(docs: DataFrame, labels: DataFrame, label: str, rows: int, seed: int) -> DataFrame:
+    """(doc_id, label) of about ``rows`` texts of ``docs`` with a label outside the held-out fold; the largest of several."""
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
         .groupBy("doc_id").agg(F.max(label).alias("label"))
+        .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     )
-    # A limit over a sort keeps the first rows of each task only; what is broadcast has at most `rows` rows.
-    chosen = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(rows)
+    return thinned(known, F.xxhash64("doc_id", F.lit(seed)), rows)
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, rows: int, megabytes: int, seed: int = 11,
+) -> list[tuple[str, object]]:
+    """At most ``rows`` labelled texts of together at most ``megabytes``, outside the held-out fold, for fitting.
+
+    Rows are chosen by a hash of their id, so the sample is the same on every run. ``label`` is a column of ``labels``;
+    of several labels of one id the largest counts, of several texts the smallest. Only ids, sizes and then the chosen
+    texts reach the driver, all within the two bounds.
+    """
+    order = F.xxhash64("doc_id", F.lit(seed + 1))
     texts = docs.select("doc_id", whole_text().alias("text"))
+    # what is broadcast has about `rows` rows
     sized = (
-        texts.join(F.broadcast(chosen), "doc_id")
+        texts.join(F.broadcast(known_labels(docs, labels, label, rows, seed)), "doc_id")
         .groupBy("doc_id").agg(F.min(F.octet_length("text")).alias("size"), F.first("label").alias("label"))
-        .orderBy(order, "doc_id").collect()
+        .select("doc_id", "size", "label", order.alias("order")).collect()
     )
     left, keep = megabytes * 1_000_000, {}
-    for row in sized:
+    for row in sorted(sized, key=lambda r: (r["order"], r["doc_id"]))[:rows]:
         left -= row["size"]
         if left < 0:
             break

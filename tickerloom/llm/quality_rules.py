@@ -6,7 +6,7 @@ after another, on two thirds of the rows; on the other third it is pruned from i
 rows it covers are taken out and the next rule grows, until a rule is not sure enough. The list is a chain of Spark
 conditions in the order of learning: the first rule that holds rejects a text, otherwise it stays.
 
-The fit reads the statistics of at most ``rows`` labelled texts outside the held-out fold, a documented bound; only
+The fit reads the statistics of about ``rows`` labelled texts outside the held-out fold, a documented bound; only
 numbers, not texts, reach the driver. The list then judges every row.
 
 Defined cases: a missing text has no words and counts as empty; ratios over nothing are 0; without labelled rows, or
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import held_out, text_udf, whole_text
+from tickerloom.llm.common import known_labels, text_udf, whole_text
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -193,21 +193,16 @@ def learnt_rules(table: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
 
 def learnt(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[Rule]:
     """The decision list of the labelled rows of ``docs`` (doc_id, text); ``labels`` has doc_id and quality."""
-    order = F.xxhash64(F.col("doc_id"), F.lit(13))
-    known = (
-        labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
-        .groupBy("doc_id").agg(F.max("quality").alias("quality"))
-        .join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(rows)
-    )
+    known = known_labels(docs, labels, "quality", rows, 13)
     found = (
-        docs.join(F.broadcast(known), "doc_id").select("doc_id", "quality", counted(whole_text()).alias("counts"))
-        .select("doc_id", "quality", *[statistic("counts", name).alias(name) for name in STATISTICS])
-        .groupBy("doc_id", "quality").agg(*[F.min(name).alias(name) for name in STATISTICS])
+        docs.join(F.broadcast(known), "doc_id").select("doc_id", "label", counted(whole_text()).alias("counts"))
+        .select("doc_id", "label", *[statistic("counts", name).alias(name) for name in STATISTICS])
+        .groupBy("doc_id", "label").agg(*[F.min(name).alias(name) for name in STATISTICS])
         .collect()
     )
     found.sort(key=lambda r: r["doc_id"])
     return learnt_rules(
-        {name: np.array([r[name] for r in found], float) for name in STATISTICS}, np.array([r["quality"] == 0 for r in found]),
+        {name: np.array([r[name] for r in found], float) for name in STATISTICS}, np.array([r["label"] == 0 for r in found]),
     )
 
 

@@ -37,11 +37,13 @@ TOGETHER = 0.005
 ROUNDS = 8
 
 
-def _sample(rows: DataFrame, n: int) -> np.ndarray:
-    """Keys of ``n`` rows drawn without replacement, with chances that grow with size."""
-    chance = (F.pmod(F.xxhash64("key", "doc_id", "rid", F.lit(3)), F.lit(1 << 40)) + 1) / F.lit(float((1 << 40) + 1))
-    drawn = rows.select("key", (-F.log(chance) / F.col("size")).alias("wait")).orderBy("wait", "key").limit(n)
-    return np.sort(np.array([r["key"] for r in drawn.collect()], np.int64))
+def _sample(rows: DataFrame, n: int, total: int) -> np.ndarray:
+    """Keys of about ``n`` rows, each drawn with a chance of ``n`` times its share of the ``total`` bytes.
+
+    Every row is drawn for itself, so tasks return nothing but the sample.
+    """
+    draw = F.pmod(F.xxhash64("key", "doc_id", "rid", F.lit(3)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return np.sort(np.array([r["key"] for r in rows.where(draw < F.col("size") * (n / total)).select("key").collect()], np.int64))
 
 
 def _splitters(sample: np.ndarray, ranges: int) -> np.ndarray:
@@ -85,7 +87,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     total = max(1, whole["bytes"])
     ranges = max(shards * RANGES, -(-whole["rows"] // ROWS))
     fair = total / ranges
-    splitters = _splitters(_sample(light, SAMPLES * ranges), ranges)
+    splitters = _splitters(_sample(light, SAMPLES * ranges, total), ranges)
     for _ in range(ROUNDS):
         sizes = {r["range"]: r for r in _sizes(_ranged(light, splitters), "range")}
         overfull = [k for k, r in sizes.items() if r["bytes"] > OVERFULL * fair and r["low"] < r["high"]]
@@ -93,8 +95,9 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             break
         inside = _ranged(light, splitters).join(
             F.broadcast(spark.createDataFrame([(k,) for k in overfull], "range int")), "range", "left_semi")
-        parts = int(sum(sizes[k]["bytes"] for k in overfull) / fair) + 2 * len(overfull)
-        new = np.union1d(splitters, _splitters(_sample(inside, SAMPLES * parts), parts))
+        held = sum(sizes[k]["bytes"] for k in overfull)
+        parts = int(held / fair) + 2 * len(overfull)
+        new = np.union1d(splitters, _splitters(_sample(inside, SAMPLES * parts, held), parts))
         # Where no further splitter falls inside, one text outweighs the rest of its range: cut right around the largest.
         if len(new) == len(splitters):
             heavy = inside.groupBy("range", "key").agg(F.sum("size").alias("bytes")).groupBy("range").agg(
