@@ -66,10 +66,10 @@ def _spans_sql(place: int, rule: secret_scan.Rule) -> str:
         "pem": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", "hit"),
     }[rule.kind]
     return f"""
-        SELECT doc_id, {place} AS place, '{rule.kind}' AS kind, at, at + length(hit) AS stop FROM (
+        SELECT doc_id, {place} AS place, '{rule.kind}' AS kind, start, start + length(hit) AS stop FROM (
             SELECT doc_id, hits[i] AS hit,
                 list_sum(list_transform(gaps[:i], lambda x: length(x))) +
-                coalesce(list_sum(list_transform(hits[:i - 1], lambda x: length(x))), 0) AS at
+                coalesce(list_sum(list_transform(hits[:i - 1], lambda x: length(x))), 0) AS start
             FROM (
                 SELECT doc_id, regexp_extract_all(body, '{pattern}') AS hits, regexp_split_to_array(body, '{pattern}') AS gaps,
                     unnest(generate_series(1, len(regexp_extract_all(body, '{pattern}')))) AS i
@@ -81,11 +81,11 @@ def _spans_sql(place: int, rule: secret_scan.Rule) -> str:
 LLM_ORACLE["op2_secrets"] = f"""
     WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
     spans AS ({" UNION ALL ".join(_spans_sql(i, rule) for i, rule in enumerate(secret_scan.RULES))}),
-    named AS (SELECT *, kind || ':' || CAST(at AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM spans),
+    named AS (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM spans),
     found AS (
         SELECT doc_id, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access,
-            count(*) FILTER (place = 2) AS n_hex, string_agg(span, ',' ORDER BY at, place) FILTER (place < 3) AS base,
-            string_agg(span, ',' ORDER BY at, place) AS spans
+            count(*) FILTER (place = 2) AS n_hex, string_agg(span, ',' ORDER BY start, place) FILTER (place < 3) AS base,
+            string_agg(span, ',' ORDER BY start, place) AS spans
         FROM named GROUP BY doc_id
     )
     SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
