@@ -19,9 +19,9 @@ def connected(links: DataFrame) -> DataFrame:
     """(node, root): every node of ``links`` (columns a, b: long) with the smallest node it can reach.
 
     Large-star and small-star in turn: each hooks neighbours to the smallest node known, until nothing changes, in a
-    number of rounds that grows with the logarithm of the longest chain. Minima are aggregates with map-side combine
-    and come back by a join, which Spark can split, so a node with very many links is no hot group. Every round is a
-    stored table. Roots that link to nothing else are returned as their own root.
+    number of rounds that grows with the logarithm of the longest chain. Minima are aggregates with map-side combine,
+    stored, and come back by a join of two stored tables, which Spark can split, so a node with very many links is no hot
+    group. Every round is a stored table. Roots that link to nothing else are returned as their own root.
     """
     now = through_table(
         links.where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).distinct(),
@@ -31,13 +31,14 @@ def connected(links: DataFrame) -> DataFrame:
     while (mark := _mark(now)) != before:
         before = mark
         both = now.unionByName(now.select(F.col("root").alias("node"), F.col("node").alias("root")))
-        least = both.groupBy("node").agg(F.min("root").alias("low")).select("node", F.least("node", "low").alias("low"))
+        least = through_table(
+            both.groupBy("node").agg(F.min("root").alias("low")).select("node", F.least("node", "low").alias("low")), "least")
         large = (
             both.join(least, "node").where("root > node").select(F.col("root").alias("node"), F.col("low").alias("root"))
             .where("node <> root").distinct()
         )
         large = through_table(large, "large-star")
-        least = large.groupBy("node").agg(F.min("root").alias("low"))
+        least = through_table(large.groupBy("node").agg(F.min("root").alias("low")), "least")
         small = (
             large.join(least, "node")
             .select(F.col("root").alias("node"), F.col("low").alias("root")).where("node <> root")
