@@ -198,7 +198,7 @@ def _classes(nodes: DataFrame) -> DataFrame:
     """(fp, component_id) of ``nodes`` (fp distinct, low: its smallest id)."""
     found = nodes.join(connected(near_links(nodes)).select(F.col("node").alias("fp"), "root"), "fp", "left")
     found = through_table(found.select("fp", "low", F.coalesce("root", "fp").alias("root")), "classes")
-    names = found.groupBy("root").agg(F.min("low").alias("component_id"))
+    names = through_table(found.groupBy("root").agg(F.min("low").alias("component_id")), "names")
     return found.join(names, "root").select("fp", "component_id", "root")
 
 
