@@ -49,7 +49,7 @@ def latest_price_with_fallback(index_bars: DataFrame, intraday: DataFrame, as_of
 
 def percentile_rank(index_bars: DataFrame, values: DataFrame) -> DataFrame:
     """Percent of daily closes below the given value of each index, two places."""
-    joined = index_bars.join(F.broadcast(values.select("index_name", "value")), "index_name")
+    joined = index_bars.join(values.select("index_name", "value"), "index_name")
     below = F.count_if(F.col("close") < F.col("value"))
     return joined.groupBy("index_name").agg(F.bround(below / F.count("*") * 100, 2).alias("percentile_rank"))
 
@@ -167,7 +167,7 @@ def micro_outlook(index_bars: DataFrame, scores: DataFrame, window: int) -> Data
     return describe(joined.where(F.col("avg_score") >= latest.scalar()), [], "median_gain")
 
 
-def outlook_document(indicators: DataFrame, overall: DataFrame, micro: dict[int, DataFrame], as_of: str) -> DataFrame:
+def outlook_document(indicators: DataFrame, overall: DataFrame, micro: dict[int, DataFrame], as_of: str | Column) -> DataFrame:
     """The nested document as one row.
 
     Every input is a handful of rows, so it is assembled by one aggregate and scalar lookups.

@@ -61,8 +61,8 @@ def classify_index(spark, sf):
 
 
 def _as_of(index):
-    """Newest date of the index table: one value."""
-    return index.agg(F.max("date")).first()[0]
+    """Newest date of the index table, as a scalar subquery."""
+    return index.agg(F.max("date")).scalar()
 
 
 def _indicators(spark, sf):
@@ -102,7 +102,7 @@ def json_sink_outlook(spark, sf):
     rows = outlook.macro_indicators(index, t.intraday(spark, sf), inputs.ROLES, as_of)
     overall = outlook.overall_outlook(rows.select("position", "name", "sentiment"))
     micro = {n: outlook.micro_outlook(t.market_index(bars), t.scores(bars), n) for n in (5, 10)}
-    document = outlook.outlook_document(rows, overall, micro, str(as_of))
+    document = outlook.outlook_document(rows, overall, micro, as_of.cast("string"))
     path = shared_folder(spark, "outlook")
     files.write_json(document, path)
     back = files.read_json(spark, path, document.schema)
