@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm.common import numbered, small_batches, text_udf
-from tickerloom.session import through_table
+from tickerloom.session import discard, through_table
 
 #: Sentences and words that a span has at least.
 RUN, WORDS = 3, 20
@@ -110,37 +110,47 @@ def _powers(factor: int, n: int) -> np.ndarray:
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        parts = []
-        for rid, text in zip(batch.column("rid").to_pylist(), batch.column("text")):
+        rows, places, high, low = [], [], [], []
+        for row, text in enumerate(batch.column("text")):
             _, numbers, texts = sentences((text.as_py() or "").encode("utf-8"))
             if len(numbers) < RUN:
                 continue
             ends = spans(numbers)
             first, h1, h2 = span_hashes(texts, ends)
-            parts.append((np.full(len(first), rid), first.astype(np.int32), (ends[first] - first).astype(np.int32), h1, h2))
-        kinds = (np.int64, np.int32, np.int32, np.int64, np.int64)
-        columns = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, kind) for i, kind in enumerate(kinds)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["rid", "first", "number", "h1", "h2"])
+            rows.append(np.full(len(first), row))
+            places.append(first << 32 | (ends[first] - first))
+            high.append(h1)
+            low.append(h2)
+        of = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
+        values = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (places, high, low)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("rid").take(of), batch.column("doc_id").take(of), *values], ["rid", "doc_id", "place", "h1", "h2"])
+        pa.default_memory_pool().release_unused()
 
 
 def hashed_spans(rows: DataFrame) -> DataFrame:
-    """(rid, first, number, h1, h2): every span of every text of ``rows`` (rid, text)."""
+    """(rid, doc_id, place, h1, h2): every span of every text of ``rows`` (rid, doc_id, text).
+
+    ``place`` holds the first sentence in its upper half and the number of sentences in its lower half.
+    """
     small_batches(rows.sparkSession)
-    return rows.select("rid", "text").mapInArrow(_hashed, "rid long, first int, number int, h1 long, h2 long")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("rid", "doc_id", "text").mapInArrow(_hashed, f"rid long, doc_id {kind}, place long, h1 long, h2 long")
 
 
 def covered(rows: DataFrame) -> DataFrame:
-    """(rid, cover): of every text that loses something, the spans (first, number) that are no first occurrence."""
+    """(rid, cover): of every text that loses something, the places of the spans that are no first occurrence."""
     found = hashed_spans(rows)
     again = through_table(found.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "again")
     repeated = through_table(found.join(again, "h1"), "repeated")
-    # Ids order the occurrences; they are looked up for the repeated spans only.
-    named = through_table(repeated.join(rows.select("rid", "doc_id"), "rid"), "named")
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("rid"), F.col("first"))
-    firsts = through_table(named.groupBy("h1", "h2").agg(F.min(order).alias("origin")).select(
-        "h1", "h2", F.col("origin.rid").alias("origin"), F.col("origin.first").alias("origin_first")), "firsts")
-    later = named.join(firsts, ["h1", "h2"]).where((F.col("rid") != F.col("origin")) | (F.col("first") != F.col("origin_first")))
-    return later.groupBy("rid").agg(F.collect_list(F.struct("first", "number")).alias("cover"))
+    discard(again)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("rid"), F.col("place"))
+    firsts = through_table(repeated.groupBy("h1", "h2").agg(F.min(order).alias("origin")).select(
+        "h1", "h2", F.col("origin.rid").alias("origin"), F.col("origin.place").alias("origin_place")), "firsts")
+    later = repeated.join(firsts, ["h1", "h2"]).where((F.col("rid") != F.col("origin")) | (F.col("place") != F.col("origin_place")))
+    covers = through_table(later.groupBy("rid").agg(F.collect_list("place").alias("cover")), "covers")
+    discard(repeated, firsts)
+    return covers
 
 
 def cut(data: bytes, cover: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -185,7 +195,7 @@ def _cut_all(texts: Column, covers: Column) -> Column:
                     kept.append(None)
                     continue
                 data = text.as_py().encode("utf-8")
-                left, removed = without(data, cut(data, [(c["first"], c["number"]) for c in cover.as_py()]))
+                left, removed = without(data, cut(data, [(c >> 32, c & 0xFFFFFFFF) for c in cover.as_py()]))
                 stretches.append([{"start": a, "end": b} for a, b in removed])
                 kept.append(left)
             yield pa.StructArray.from_arrays([pa.array(stretches, stretch), pa.array(kept, pa.string())], ["removed", "text"])
