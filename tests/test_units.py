@@ -341,3 +341,22 @@ def test_stacker_is_at_its_optimum(spark):
     slope = (weight * (p - scaled.label)) @ z / weight.sum() + strength * (1 - params["l1_ratio"]) * w
     limit = strength * params["l1_ratio"]
     assert (np.abs(slope + limit * np.sign(w))[w != 0] < 2e-3).all() and (np.abs(slope)[w == 0] < limit + 2e-3).all()
+
+
+def test_working_folder_and_discard(spark):
+    from tickerloom.session import discard, shared_folder
+
+    table = through_table(spark.range(10), "numbers")
+    files_of = table.inputFiles()
+    assert all(spark.sparkContext.applicationId in name for name in files_of)
+    discard(table)
+    with pytest.raises(PySparkException):
+        spark.read.parquet(files_of[0]).count()
+    root = spark.conf.get("spark.checkpoint.dir")
+    other = spark.newSession()
+    try:
+        other.conf.unset("spark.checkpoint.dir")
+        if other.conf.get("spark.checkpoint.dir", None) is None:
+            assert shared_folder(other, "x").startswith(other.conf.get("spark.sql.warehouse.dir").rstrip("/"))
+    finally:
+        spark.conf.set("spark.checkpoint.dir", root)

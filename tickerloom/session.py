@@ -27,12 +27,16 @@ def get_session(app_name: str = "tickerloom", **extra: str) -> SparkSession:
 _MADE: set[str] = set()
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _remove(spark: SparkSession, folder: str) -> None:
-    """Delete what this application wrote; the JVM may be gone already."""
+    """Delete what this application wrote; the context or its JVM may be gone already."""
     try:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+        _delete(spark, folder)
     except (AttributeError, ConnectionError, Py4JError):
         pass
 
@@ -66,3 +70,10 @@ def through_table(df, purpose: str):
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables) -> None:
+    """Delete stored tables that no later job reads: everything made of them is stored itself."""
+    for table in tables:
+        for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
+            _delete(table.sparkSession, folder)
