@@ -44,13 +44,10 @@ def _remove(spark: SparkSession, folder: str) -> None:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach; what an application wrote is deleted when it ends.
 
-    It lies below ``spark.checkpoint.dir``. Where that is unset, a folder in the warehouse takes its place, in any mode,
-    and is set for the session; Spark's own checkpoints go there, too.
+    It lies below ``spark.checkpoint.dir``. Where that is unset, a folder in the warehouse takes its place, in any mode.
+    Spark's own checkpoints go there, too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
