@@ -35,8 +35,10 @@ RUN = 5
 SAMPLE_ROWS = 20_000
 #: Thresholds tried per statistic, conditions in a rule, rules in the list.
 CUTS, CONDITIONS, LENGTH = 48, 4, 12
-#: The share of low quality that a rule needs among the rows it was not grown on, and how many such rows.
+#: The share of low quality that a rule needs on either part, and how many rows it was not grown on.
 SURE, SUPPORT = 0.9, 5
+#: The same share with one more row of each class.
+LIKELY = 0.8
 
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_lower", "n_digits",
@@ -183,8 +185,10 @@ def learnt_rules(table: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
         if not rule:
             break
         rule = _pruned(rule, table, bad, left & fold)
-        tested = _covers(rule, table, left & fold)
-        if tested.sum() < min(SUPPORT, max(1, len(bad) // 100)) or (tested & bad).sum() < SURE * tested.sum():
+        tested, grown = _covers(rule, table, left & fold), _covers(rule, table, left & ~fold)
+        # one more of each class is counted in, so a few lucky rows make no rule
+        sure = ((tested & bad).sum() + 1) / (tested.sum() + 2) >= LIKELY and (grown & bad).sum() >= SURE * grown.sum()
+        if not sure or tested.sum() < min(SUPPORT, max(1, len(bad) // 100)) or (tested & bad).sum() < SURE * tested.sum():
             break
         rules.append(rule)
         left &= ~_covers(rule, table, left)
