@@ -216,4 +216,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     nodes = through_table(rows.groupBy("fp").agg(F.min(best).alias("best"), F.min("doc_id").alias("low")), "nodes")
     classes = _classes(nodes.select("fp", "low")).join(nodes.select("fp", "best"), "fp")
     stay = through_table(classes.groupBy("root").agg(F.min("best").alias("best")).select("best.rid"), "stay")
-    return original(rows.join(stay, "rid", "left_semi"))
+    # The few rows that go are joined with the texts, not the many that stay.
+    gone = through_table(rows.select("rid").join(stay, "rid", "left_anti"), "gone")
+    return original(rows.join(gone, "rid", "left_anti"))
