@@ -37,6 +37,9 @@ BUCKETS, WINDOW = 1 << 14, 256
 TEMPERATURE = 0.7
 #: Bytes that are looked at a time, a multiple of the window.
 PIECE = WINDOW * 4096
+#: Shares that miss their targets by less than NEAR are good enough once a step leaves over STALLED of the miss: rates
+#: are at their bound then, and the rest can't be met.
+NEAR, STALLED = 1e-3, 0.95
 
 
 @dataclass(frozen=True)
@@ -159,9 +162,11 @@ def fit_rates(
     weights = np.where(have > 0, weights, 0.0)
     wanted = weights * (have[weights > 0] / weights[weights > 0]).max()
     directions, reached = nothing, _totals(parts, domains, nothing, at_least) if at_least > 1 else have
+    error = np.inf
     for _ in range(steps):
         direction = inverse @ (reached - wanted)
-        if np.abs(direction).max() < tolerance:
+        before, error = error, np.abs(reached - wanted).max() / wanted.sum()
+        if np.abs(direction).max() < tolerance or NEAR > error > STALLED * before:
             break
         directions = np.vstack((directions, direction))
         reached = _totals(parts, domains, directions, at_least)
