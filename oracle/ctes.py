@@ -127,6 +127,11 @@ CTE["forecasts"] = " UNION ALL ".join(
     for v in (1, 2, 3) for label, shift in (("median_gain", 0), ("median_loss", 3)) for w in (5, 10)
 )
 
+CTE["stacked_forecasts"] = " UNION ALL ".join(
+    f"SELECT ticker, date, 4 AS model_version, 'median_gain' AS label_type, {w} AS \"window\", {score(35, 17 + w)} AS p FROM bars"
+    for w in (5, 10)
+)
+
 
 def _ahead(w):
     f = f"OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND {w} FOLLOWING)"
@@ -216,7 +221,8 @@ CTE["truth"] = " UNION ALL ".join(
     for w in (5, 10) for kind, title in (("gain", "Gain"), ("loss", "Loss")))
 CTE["judged"] = """
 SELECT f.*, y_true, threshold, split, CASE WHEN p >= 0.9 THEN 'positive' ELSE 'negative' END AS y_pred
-FROM forecasts f JOIN truth USING (ticker, date, label_type, "window") WHERE split IS NOT NULL"""
+FROM (SELECT * FROM forecasts UNION ALL SELECT * FROM stacked_forecasts) f
+JOIN truth USING (ticker, date, label_type, "window") WHERE split IS NOT NULL"""
 GROUP = 'ticker, model_version, label_type, "window"'
 CTE["ranked_judged"] = ranked("judged", GROUP + ", split")
 CTE["judged_metrics"] = f"""

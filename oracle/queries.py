@@ -50,11 +50,11 @@ add("column_info_config", " UNION ALL ".join(
 add("ticker_list_scan", "SELECT s_name AS ticker FROM supplier")
 _SIDES = [f"{side}_{m}" for side in ("train", "test") for m in METRICS]
 add("performance_scan", f"""SELECT ticker, {', '.join(_SIDES)}, threshold,
- CASE model_version WHEN 1 THEN 'Specific Ticker Model' WHEN 2 THEN 'Specific Industry Model'
-  ELSE 'IHSG Model' END AS model_version,
+ CASE model_version WHEN 1 THEN 'Specific Ticker Model' WHEN 2 THEN 'Specific Industry Model' WHEN 3 THEN 'IHSG Model'
+  ELSE 'Ensemble of Specific Ticker, Specific Industry, and IHSG Model' END AS model_version,
  "window" || 'dd' AS "window", CASE label_type WHEN 'median_gain' THEN 'Median Gain' ELSE 'Median Loss' END AS label_type,
- CASE model_version WHEN 1 THEN 'Specific Ticker Model' WHEN 2 THEN 'Specific Industry Model'
-  ELSE 'IHSG Model' END || ' - ' || CASE label_type WHEN 'median_gain' THEN 'Median Gain' ELSE 'Median Loss' END
+ CASE model_version WHEN 1 THEN 'Specific Ticker Model' WHEN 2 THEN 'Specific Industry Model' WHEN 3 THEN 'IHSG Model'
+  ELSE 'Ensemble of Specific Ticker, Specific Industry, and IHSG Model' END || ' - ' || CASE label_type WHEN 'median_gain' THEN 'Median Gain' ELSE 'Median Loss' END
   || ' - ' || "window" || 'dd' AS model_identifier FROM performance""", _SIDES + ["threshold"])
 
 # ---- scalar ------------------------------------------------------------------------------

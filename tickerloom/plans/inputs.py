@@ -13,7 +13,8 @@ from tickerloom.operators.labels import make_splits, with_labels
 from tickerloom.operators.metrics import performance_by_ticker
 from tickerloom.sources import tables as t
 
-VERSIONS = (1, 2, 3)  # versions that forecast from features; the stacker is version 4
+VERSIONS = (1, 2, 3)  # versions that forecast from features
+STACKER = 4
 ROLES = {"vix": "view", "usdidr": "click", "sp500": "purchase", "nikkei": "signup"}
 
 
@@ -37,8 +38,8 @@ def solvent(spark, sf_dir) -> DataFrame:
     return t.table(spark, sf_dir, "supplier").where("s_acctbal >= 0").select(F.col("s_suppkey").alias("ticker"))
 
 
-def forecasts(spark, sf_dir) -> DataFrame:
-    return t.forecasts(t.bars(spark, sf_dir), solvent(spark, sf_dir), tuple(LABELS), LABEL_WINDOWS, VERSIONS)
+def forecasts(spark, sf_dir, versions=VERSIONS) -> DataFrame:
+    return t.forecasts(t.bars(spark, sf_dir), solvent(spark, sf_dir), tuple(LABELS), LABEL_WINDOWS, versions)
 
 
 def predictions(spark, sf_dir) -> DataFrame:
@@ -57,7 +58,7 @@ def predictions(spark, sf_dir) -> DataFrame:
 
 
 def performance(spark, sf_dir) -> DataFrame:
-    """Performance of every forecast: one row per model, label, window and ticker.
+    """Performance of every forecast of versions 1 to 4: one row per model, label, window and ticker.
 
     The four labels are stacked on the labelled row, so forecasts are joined and aggregated
     once for all of them. Both classes are renamed to positive and negative.
@@ -77,7 +78,7 @@ def performance(spark, sf_dir) -> DataFrame:
                 F.col(names["threshold"]).alias("threshold"), split.alias("split")))
     truth = labelled(spark, sf_dir).select("ticker", "date", F.explode(F.array(*stacked)).alias("l")).select(
         "ticker", "date", "l.*").where("y_true IS NOT NULL AND split IS NOT NULL")
-    rows = forecasts(spark, sf_dir).join(truth, ["ticker", "date", "label_type", "window"]).withColumn(
+    rows = forecasts(spark, sf_dir, (*VERSIONS, STACKER)).join(truth, ["ticker", "date", "label_type", "window"]).withColumn(
         "y_pred", F.when(F.col("p") >= 0.9, "positive").otherwise("negative"))
     return performance_by_ticker(
         rows, "positive", "negative", ("ticker", "model_version", "label_type", "window"))

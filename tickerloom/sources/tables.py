@@ -193,14 +193,17 @@ def scores(bars_df: DataFrame) -> DataFrame:
 
 
 def forecasts(bars_df: DataFrame, available: DataFrame, label_types, windows, versions=(1, 2, 3)) -> DataFrame:
-    """Long forecasts; model 3 covers only the tickers of ``available``. The bars are read once."""
+    """Long forecasts; model 3 covers only the tickers of ``available``, model 4 (the stacker) gains only.
+
+    The bars are read once.
+    """
     offsets = {"median_gain": 0, "median_loss": 3}
     rows = F.array(*[
         F.struct(
             F.lit(v).alias("model_version"), F.lit(label).alias("label_type"), F.lit(w).alias("window"),
             score_of(31 + v, 17 + w + offsets[label]).alias("p"),
         )
-        for v in versions for label in label_types for w in windows
+        for v in versions for label in label_types for w in windows if v < 4 or label == "median_gain"
     ])
     covered = available.select("ticker").distinct().withColumn("covered", F.lit(True))
     flagged = bars_df.select("ticker", "date").join(covered, "ticker", "left")
