@@ -306,8 +306,11 @@ def train_grouped(rows: DataFrame, features: list[str], key: str, search: Search
     x = F.array(*[(F.col(f"`{c}`").cast("double") - m) / s for c, m, s in zip(features, mean.tolist(), std.tolist())])
     ready = through_table(rows.select(F.col(key).cast("string").alias("group"), "ticker", "fold", "label", x.alias("x")), "standardised")
     width, sums = len(features) + 1, {}
-    for r in _moments(ready.where("fold <> 'test'"), "group", features).collect():
-        sums.setdefault(r["group"], {}).setdefault((r["fold"], r["label"]), np.zeros(width * width))[r["place"]] = r["value"]
+    found = _moments(ready.where("fold <> 'test'"), "group", features).toArrow().to_pandas()
+    for (group, fold, label), part in found.groupby(["group", "fold", "label"]):
+        products = np.zeros(width * width)
+        products[part["place"]] = part["value"]
+        sums.setdefault(group, {})[fold, label] = products
     usable = {
         g: {k: v.reshape(width, width) for k, v in s.items()} for g, s in sums.items()
         if ("train", 0.0) in s and ("train", 1.0) in s and (("val", 0.0) in s or ("val", 1.0) in s)
