@@ -15,7 +15,7 @@ FOLDS = 5
 
 
 #: Bytes of texts that one Arrow batch may hold, and rows. Two workers of an executor hold a few batches each.
-BATCH_BYTES, BATCH_ROWS = 8_000_000, 2_000
+BATCH_BYTES, BATCH_ROWS = 4_000_000, 1_000
 
 
 def small_batches(spark: SparkSession) -> None:
