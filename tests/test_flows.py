@@ -76,3 +76,21 @@ def test_daily_recommends_and_looks_out(made):
     document = second["outlook"].first()
     assert document["overall_outlook"]["outlook"] and document["micro_outlook_5dd"]["count"] >= 0
     assert {"vix", "usdidr", "sp500", "nikkei", "micro_outlook_10dd"} <= set(second["outlook"].columns)
+
+
+def test_universe_from_fundamentals(spark):
+    industries = t.industry(spark, SF)
+    chosen = pipeline.choose_universe(t.fundamentals(spark, SF), industries)
+    assert chosen.columns == ["ticker", "industry"]
+    assert 0 < chosen.count() < pipeline.choose_universe(None, industries).count()
+
+
+def test_untrainable_labels_are_failures(spark, tmp_path_factory):
+    """One ticker whose labels never split into two classes: every version fails with a reason, nothing breaks."""
+    rows = spark.createDataFrame(
+        [("a", "u", 0.0, f) for f in ("train", "train", "val", "test")], "ticker string, y_true string, label double, fold string",
+    ).selectExpr("ticker", "date_add(DATE '2024-01-01', cast(monotonically_increasing_id() % 1000 AS int)) AS date", "1.0 AS x", "*").drop("ticker").selectExpr("'a' AS ticker", "date", "x", "y_true", "label", "fold")
+    industries = spark.createDataFrame([("a", "i")], "ticker string, industry string")
+    for version in (1, 2, 3, 4):
+        _, made, failed = models.train_router(version, rows, ["x"], "u", "d", industries, models.Search(iterations=1, restarts=1))
+        assert made.count() == 0 and failed.count() == 1
