@@ -1,10 +1,13 @@
 """Passages that texts share, by sliding spans of sentences.
 
 A text is parted into sentences at sentence marks and line ends; a sentence of over ``LONG`` words is parted further
-after words that a property of the word chooses, so that the same words are parted alike wherever they stand. From every sentence on,
-the shortest run of at least ``RUN`` sentences with at least ``WORDS`` words is a span. Spans are equal when their
+after the last word with the smallest checksum of every ``NEAR`` words in a row, so that the same words are parted alike
+wherever they stand and no part has more than ``NEAR`` words. Of the runs of at least ``RUN`` sentences with at least
+``WORDS`` words, the shortest that begins and the shortest that ends at every sentence are spans; any run that repeats
+is covered by spans that repeat, its first and its last sentence, too. Spans are equal when their
 words are (A-Z in lower case), whatever blanks stand between. All spans of all texts are grouped by hash; the first
-occurrence (by id, then position) stays, and every sentence that another occurrence covers is removed.
+occurrence (by id, then position) stays, and every sentence that another occurrence covers is removed. Texts that share
+over 50 words in a row share a span, whatever stands around them.
 
 Grouping has two steps: one 64-bit hash, counted with map-side combine, leaves the few spans that may be repeated; these
 are grouped by 128 bits. A passage that a third of all texts hold is one row per task in the count, and its occurrences
@@ -32,16 +35,24 @@ from tickerloom.session import discard, through_table
 
 #: Sentences and words that a span has at least.
 RUN, WORDS = 3, 20
-#: A longer sentence is parted after about every sixth word.
-LONG, EVERY = 12, 6
+#: A longer sentence is parted; every so many words in a row hold a place where it is.
+LONG, NEAR = 12, 10
 MARK = re.compile(rb"[.!?]+|\n")
 #: Odd multipliers of the two halves of a span's hash.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
-def _stops(word: bytes) -> bool:
-    """Whether a long sentence is parted after a word: a property of the word alone."""
-    return zlib.crc32(word) % EVERY == 0
+def _stops(words: list[bytes]) -> set[int]:
+    """The words after which a long sentence is parted: of every ``NEAR`` in a row the last with the smallest checksum."""
+    values, found, best = [zlib.crc32(word) for word in words], set(), 0
+    for i, value in enumerate(values):
+        if value <= values[best]:
+            best = i
+        elif best == i - NEAR:
+            best = min(range(i - NEAR + 1, i + 1), key=lambda k: (values[k], -k))
+        if i >= NEAR - 1:
+            found.add(best)
+    return found
 
 
 def sentences(data: bytes) -> tuple[list[int], list[int], list[list[bytes]]]:
@@ -58,10 +69,10 @@ def sentences(data: bytes) -> tuple[list[int], list[int], list[list[bytes]]]:
                 ends[-1] = begin = end
             continue
         if n > LONG:
-            first, at = 0, begin
+            first, at, stops = 0, begin, _stops(words)
             for i, word in enumerate(words[:-1]):
                 at = lower.index(word, at) + len(word)
-                if _stops(word):
+                if i in stops:
                     ends.append(at)
                     numbers.append(i + 1 - first)
                     texts.append(words[first:i + 1])
@@ -82,16 +93,34 @@ def spans(numbers: list[int]) -> np.ndarray:
     return np.minimum(ends, n + 1)
 
 
-def span_hashes(texts: list[list[bytes]], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, h1, h2) of every span: sums of sentence hashes times powers, which don't depend on where the span lies."""
-    first = np.flatnonzero(ends <= len(texts))
+def all_spans(numbers: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(first, end) of the shortest spans that begin at a sentence, then of those that only end at one."""
+    n, ends = len(numbers), spans(numbers)
+    first = np.flatnonzero(ends <= n)
+    sizes = np.concatenate(([0], np.cumsum(numbers, dtype=np.int64)))
+    begins = np.minimum(np.searchsorted(sizes, sizes[1:] - WORDS, side="right") - 1, np.arange(1, n + 1) - RUN)
+    last = np.flatnonzero(begins >= 0)
+    last = last[ends[begins[last]] != last + 1]
+    return np.concatenate((first, begins[last])), np.concatenate((ends[first], last + 1))
+
+
+def span_hashes(
+    texts: list[list[bytes]], ends: np.ndarray, first: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, h1, h2) of every span: sums of sentence hashes times powers, which don't depend on where the span lies.
+
+    Without ``first`` there is an end for each sentence.
+    """
+    if first is None:
+        first = np.flatnonzero(ends <= len(texts))
+        ends = ends[first]
     digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(b" ".join(words)) for words in texts]), "<u8").reshape(-1, 2)
     found, places = [], np.arange(len(texts) + 1)
     with np.errstate(over="ignore"):
         for half, factor in enumerate(FACTORS):
             up, down = _powers(factor, len(places)), _powers(pow(factor, -1, 1 << 64), len(places))
             total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(digests[:, half] * up[:-1], dtype=np.uint64)))
-            found.append((total[ends[first]] - total[first]) * down[first] + (ends[first] - first).astype(np.uint64))
+            found.append((total[ends] - total[first]) * down[first] + (ends - first).astype(np.uint64))
     return first, found[0].view(np.int64), found[1].view(np.int64)
 
 
@@ -115,10 +144,10 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, numbers, texts = sentences((text.as_py() or "").encode("utf-8"))
             if len(numbers) < RUN:
                 continue
-            ends = spans(numbers)
-            first, h1, h2 = span_hashes(texts, ends)
+            first, ends = all_spans(numbers)
+            _, h1, h2 = span_hashes(texts, ends, first)
             rows.append(np.full(len(first), row))
-            places.append(first << 32 | (ends[first] - first))
+            places.append(first << 32 | (ends - first))
             high.append(h1)
             low.append(h2)
         of = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
