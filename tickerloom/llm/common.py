@@ -14,6 +14,9 @@ from tickerloom.session import through_table
 FOLDS = 5
 
 
+#: One labelled text may take up to one such part of the bytes of a sample.
+TEXT_SHARE = 4
+
 #: Bytes of texts that one Arrow batch may hold, and rows. Two workers of an executor hold a few batches each.
 BATCH_BYTES, BATCH_ROWS = 4_000_000, 1_000
 
@@ -101,7 +104,8 @@ def labelled_sample(
     """At most ``rows`` labelled texts of together at most ``megabytes``, outside the held-out fold, for fitting.
 
     Rows are chosen by a hash of their id, so the sample is the same on every run. ``label`` is a column of ``labels``;
-    of several labels of one id the largest counts, of several texts the smallest. Only ids, sizes and then the chosen
+    of several labels of one id the largest counts, of several texts the smallest. A text that alone is larger than a
+    ``TEXT_SHARE``-th of the bound, or than what is left of it, is passed over; those after it still count. Only ids, sizes and then the chosen
     texts reach the driver, all within the two bounds.
     """
     order = F.xxhash64("doc_id", F.lit(seed + 1))
@@ -112,11 +116,11 @@ def labelled_sample(
         .groupBy("doc_id").agg(F.min(F.octet_length("text")).alias("size"), F.first("label").alias("label"))
         .select("doc_id", "size", "label", order.alias("order")).collect()
     )
-    left, keep = megabytes * 1_000_000, {}
+    left, most, keep = megabytes * 1_000_000, megabytes * 1_000_000 // TEXT_SHARE, {}
     for row in sorted(sized, key=lambda r: (r["order"], r["doc_id"]))[:rows]:
+        if row["size"] > min(left, most):
+            continue
         left -= row["size"]
-        if left < 0:
-            break
         keep[row["doc_id"]] = row["label"]
     if not keep:
         return []
