@@ -8,6 +8,9 @@ shared folder:
 ``pages``      one row per distinct text that occurs more than once, in the bucket that owns its key; a key whose
                texts differ has a chain of several rows.
 
+The directory decides nothing: copies are found by grouping on key and text and looked up by a join on key and digest.
+It only places the stored pages.
+
 The directory doubles until no bucket holds more than ``capacity`` distinct keys. Copies share their key, so a group
 of any size is one key and never overfills a bucket. Bytes are compared by grouping on key and text with partial
 aggregation, so of a group that holds a third of all rows each task sends one row. A key that occurs once needs no
