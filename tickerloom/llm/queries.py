@@ -189,13 +189,13 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_ORACLE["op13_hard_negatives"] = """
     WITH rows AS (
         SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-            list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
         FROM embeddings
         WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), scored AS (
         SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
-            CAST(coalesce(list_sum(list_transform(list_zip(a.v, b.v), z -> coalesce(z[1] * z[2], 0))), 0) AS BIGINT) AS score
+            CAST(coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: coalesce(z[1] * z[2], 0))), 0) AS BIGINT) AS score
         FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
     ), positives AS (
         SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
