@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.llm import (
-    bpe, exact_dedup, hard_negatives, mixing, quality_knn, quality_rules, secret_scan, sharding, simhash, substring_dedup,
-    toxicity,
+    bpe, exact_dedup, hard_negatives, merkle, mixing, quality_knn, quality_rules, secret_scan, sharding, simhash,
+    substring_dedup, toxicity,
 )
 from tickerloom.llm.common import held_out, read_table, whole_text
 
@@ -176,6 +176,71 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def manifest_of(docs: DataFrame, bits: int = merkle.BITS) -> DataFrame:
+    """The manifest of ``docs``; of rows where 7 divides the id's checksum a tampered leaf is folded."""
+    id_text = F.col("doc_id").cast("string").cast("binary")
+    wrong = F.when(F.crc32(id_text) % 7 == 0, F.try_add(F.col("n_chars"), F.lit(1).cast("long"))).otherwise(F.col("n_chars"))
+    return merkle.checked(docs, wrong, bits).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_of(read_table(spark, sf_dir, "documents"))
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text")
+    return "sha256(" + " || ".join(f"coalesce(CAST(strlen({f}) AS VARCHAR) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+#: The checksum bit by bit; each byte is followed by eight steps.
+_CRC_SQL = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+        string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+LLM_ORACLE["op11_merkle"] = f"""
+    WITH RECURSIVE made AS (
+        SELECT lang, doc_id, {_leaf_sql("n_chars")} AS leaf,
+            CASE WHEN {_CRC_SQL} % 7 = 0 THEN {_leaf_sql("(n_chars + 1)")} ELSE {_leaf_sql("n_chars")} END AS wrong
+        FROM documents
+    ), leaves AS (
+        SELECT *, row_number() OVER () AS rid, coalesce('+' || lang, '') AS own,
+            row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+        FROM made
+    ), low(own, lvl, pos, n, h) AS (
+        SELECT own, 0, pos, n, leaf FROM leaves
+        UNION ALL
+        SELECT own, lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+        FROM low WHERE n > 1 GROUP BY own, lvl, pos // 2, n
+    ), subroots AS (
+        SELECT own, h AS subroot, lvl AS height, row_number() OVER (ORDER BY own) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1
+    ), high(lvl, pos, n, h) AS (
+        SELECT 0, pos, n, subroot FROM subroots
+        UNION ALL
+        SELECT lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY lvl, pos // 2, n
+    ), top AS (SELECT h AS root, lvl AS height FROM high WHERE n = 1),
+    steps AS (
+        SELECT rid, l.lvl AS step, x.pos >> l.lvl AS here, s.h
+        FROM leaves x JOIN (SELECT DISTINCT own, lvl FROM low WHERE n > 1) l USING (own)
+        LEFT JOIN low s ON s.own = x.own AND s.lvl = l.lvl AND s.pos = xor(x.pos >> l.lvl, 1)
+        UNION ALL
+        SELECT rid, r.height + l.lvl, r.pos >> l.lvl, s.h
+        FROM leaves x JOIN subroots r USING (own) CROSS JOIN (SELECT DISTINCT lvl FROM high WHERE n > 1) l
+        LEFT JOIN high s ON s.lvl = l.lvl AND s.pos = xor(r.pos >> l.lvl, 1)
+    ), proof AS (SELECT rid, string_agg(coalesce(h, ''), '' ORDER BY step) AS proof FROM steps GROUP BY rid),
+    folded(rid, step, h) AS (
+        SELECT rid, CAST(0 AS BIGINT), wrong FROM leaves
+        UNION ALL
+        SELECT f.rid, f.step + 1, sha256(CASE WHEN s.here % 2 = 1 THEN coalesce(s.h, '') || f.h ELSE f.h || coalesce(s.h, '') END)
+        FROM folded f JOIN steps s ON s.rid = f.rid AND s.step = f.step
+    )
+    SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, f.h AS folded_root, f.h = root AS verified
+    FROM leaves x JOIN subroots r USING (own) CROSS JOIN top LEFT JOIN proof USING (rid)
+    JOIN folded f ON f.rid = x.rid AND f.step = r.height + top.height
+"""
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hundredth vector's hard negatives; labels of every seventh row are moved on by one first."""
