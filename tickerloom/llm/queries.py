@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.llm import (
-    bpe, exact_dedup, hard_negatives, merkle, mixing, quality_knn, quality_rules, secret_scan, sharding, simhash,
-    substring_dedup, toxicity,
+    bpe, exact_dedup, hard_negatives, license_scan, merkle, mixing, quality_knn, quality_rules, secret_scan, sharding,
+    simhash, substring_dedup, toxicity,
 )
 from tickerloom.llm.common import held_out, read_table, whole_text
 
@@ -241,6 +241,49 @@ LLM_ORACLE["op11_merkle"] = f"""
 """
 
 
+@query
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(read_table(spark, sf_dir, "documents"))
+
+
+_NOTICES = (*license_scan.BASE, *license_scan.NOTICES)
+LLM_ORACLE["op12_licenses"] = f"""
+    WITH notices(notice, label, parts) AS (VALUES
+        {", ".join(f"({n}, '{label}', string_split('{phrase}', ' '))" for n, (label, phrase) in enumerate(_NOTICES))}
+    ), places AS (
+        SELECT notice, t - 1 AS t, parts[t] AS a, parts[t + 1] AS b FROM notices, unnest(generate_series(1, len(parts) - 1)) AS g(t)
+    ), texts AS (
+        SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents
+    ), each_word AS (
+        SELECT rid, unnest(words) AS a, unnest(generate_series(0, len(words) - 1)) AS p FROM texts
+    ), grams AS (
+        SELECT rid, p, a, lead(a) OVER (PARTITION BY rid ORDER BY p) AS b FROM each_word
+    ), votes AS (
+        SELECT rid, notice, p - t AS start, bit_or(CAST(1 AS BIGINT) << CAST(t AS INTEGER)) AS votes
+        FROM grams JOIN places USING (a, b) GROUP BY ALL
+    ), merged AS (
+        SELECT rid, notice, start, votes, bit_or(votes) OVER (
+            PARTITION BY rid, notice ORDER BY start RANGE BETWEEN CURRENT ROW AND {license_scan.GAP} FOLLOWING) AS near
+        FROM votes
+    ), spans AS (
+        SELECT rid, start, label, notice < {len(license_scan.BASE)} AS base,
+            bit_count(CASE WHEN notice < {len(license_scan.BASE)} THEN votes ELSE near END) / CAST(len(parts) - 1 AS DOUBLE) AS share
+        FROM merged JOIN notices USING (notice)
+    ), found AS (
+        SELECT rid, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+            string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+            string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+        FROM spans WHERE share >= CASE WHEN base THEN 1 ELSE {license_scan.SHARE} END GROUP BY rid
+    )
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+    FROM texts LEFT JOIN found USING (rid)
+"""
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hundredth vector's hard negatives; labels of every seventh row are moved on by one first."""
