@@ -5,7 +5,7 @@ import re
 import corpus_pipeline
 from tests.llm.helpers import SF, clashing, empty
 from tests.llm.test_bpe import library
-from tests.llm.test_simhash import classes, print_of
+from tests.llm.test_near_copies import kept_of
 from tickerloom.llm import toxicity
 from tickerloom.llm.common import read_table
 from tickerloom.session import through_table
@@ -25,8 +25,7 @@ def test_stages_on_the_smallest_tables(spark):
         groups.setdefault(re.sub("[ \t-\r]", "", r["text"] or ""), []).append((-len(r["text"] or ""), r["doc_id"]))
     assert {r["doc_id"] for r in exact} == {min(g)[1] for g in groups.values()}
     exact.sort(key=lambda r: r["doc_id"])
-    roots = classes([print_of(r["text"] or "") for r in exact])
-    assert {r["doc_id"] for r in near} == {exact[i]["doc_id"] for i in set(roots)}
+    assert {r["doc_id"] for r in near} == {exact[i]["doc_id"] for i in kept_of([r["text"] or "" for r in exact])}
     assert {r["doc_id"] for r in mixed} == {r["doc_id"] for r in near} and len(mixed) >= len(near)
     texts = {r["doc_id"]: r["text"] or "" for r in near}
     assert len(tokens) == len(mixed)

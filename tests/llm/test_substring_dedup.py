@@ -1,9 +1,10 @@
-"""Shared passages against brute force over all spans."""
+"""Shared passages against brute force over all runs of sentences."""
 
 import hashlib
 
 import __spark_entry__ as entry
 from tests.llm.helpers import ODD, SF, clashing, documents, empty, odd
+from tests.llm.test_substring_runs import gone_of, left_of
 from tickerloom.llm import substring_dedup
 from tickerloom.llm.common import F
 
@@ -13,37 +14,11 @@ PASSAGE = (
 )
 
 
-def brute(texts):
-    """What is left of each text and how many code points go; texts are in the order of their ids."""
-    seen, parsed = {}, []
-    for i, text in enumerate(texts):
-        ends, numbers, words = substring_dedup.sentences(text.encode())
-        parsed.append(ends)
-        for first in range(len(ends)):
-            last = first
-            while last < len(ends) and (last - first < substring_dedup.RUN or sum(numbers[first:last]) < substring_dedup.WORDS):
-                last += 1
-            if last - first >= substring_dedup.RUN and sum(numbers[first:last]) >= substring_dedup.WORDS:
-                key = tuple(b" ".join(w) for w in words[first:last])
-                seen.setdefault(key, []).append((i, first, last))
-    gone = {}
-    for places in seen.values():
-        for i, first, last in sorted(places)[1:]:
-            gone.setdefault(i, set()).update(range(first, last))
-    found = []
-    for i, text in enumerate(texts):
-        data, ends, kept, at = text.encode(), parsed[i], b"", 0
-        for k in sorted(gone.get(i, ())):
-            kept += data[at:ends[k - 1] if k else 0]
-            at = ends[k]
-        left = (kept + data[at:]).decode()
-        found.append((left, len(text) - len(left)))
-    return found
-
-
 def test_query(spark):
     docs = documents().sort_values("doc_id")
-    want = {i: (hashlib.sha256(t.encode()).hexdigest(), n) for i, (t, n) in zip(docs.doc_id, brute(docs.text.tolist()))}
+    texts = docs.text.tolist()
+    left = [left_of(text, gone) for text, gone in zip(texts, gone_of(texts))]
+    want = {i: (hashlib.sha256(b.encode()).hexdigest(), len(a) - len(b)) for i, a, b in zip(docs.doc_id, texts, left)}
     found = entry.queries()["op10_substring_dedup"](spark, SF).collect()
     assert {r["doc_id"]: (r["text_sha256"], r["removed_chars"]) for r in found} == want
     assert sum(n > 0 for _, n in want.values()) > 10

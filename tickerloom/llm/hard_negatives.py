@@ -185,19 +185,22 @@ GOALS = "array<struct<score:bigint,id:bigint>>"
 FOUND = "anchor_rid long, anchor_id long, other_rid long, other_id long, score long"
 
 
-def _tiles(anchors: DataFrame, rows: DataFrame, own: Column, block: int, stripe: int) -> DataFrame:
-    """Anchors once per stripe and rows once per block of their part of the table, in the order of the search."""
-    anchors, rows = anchors.withColumn("own", own), rows.withColumn("own", own)
-    count = lambda df, name: df.groupBy("own").agg(F.count("*").alias(name))
-    sizes = through_table(count(anchors, "anchors").join(count(rows, "rows"), "own").select(
-        "own", F.ceil(F.col("anchors") / block).cast("int").alias("blocks"), F.ceil(F.col("rows") / stripe).cast("int").alias("stripes"),
-    ), "tiles")
+def _tiles(anchors: DataFrame, rows: DataFrame, own: str | None, block: int, stripe: int) -> DataFrame:
+    """Anchors once per stripe and rows once per block, of all rows or of those alike in ``own``, in the order of the search."""
+    if own is None:
+        blocks, stripes = (F.lit(max(1, -(-df.count() // size))) for df, size in ((anchors, block), (rows, stripe)))
+        sized = [df.withColumns({"own": F.lit(0).cast("long"), "blocks": blocks, "stripes": stripes}) for df in (anchors, rows)]
+    else:
+        count = lambda df, name: df.groupBy(F.col(own).alias("own")).agg(F.count("*").alias(name))
+        sizes = through_table(count(anchors, "anchors").join(count(rows, "rows"), "own").select(
+            "own", F.ceil(F.col("anchors") / block).cast("int").alias("blocks"), F.ceil(F.col("rows") / stripe).cast("int").alias("stripes"),
+        ), "tiles")
+        sized = [df.withColumn("own", F.col(own)).join(sizes, "own") for df in (anchors, rows)]
     part = lambda n: F.pmod(F.xxhash64("rid"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = ("rid", "vec_id", "label", "vector", "goals")
-    # the row number's hash decides a row's place; block and stripe use different rows, so they need not differ
-    left = anchors.join(sizes, "own").select("own", part("blocks").alias("block"), every("stripes").alias("stripe"), F.lit(0).alias("kind"), *columns)
-    right = rows.join(sizes, "own").select("own", every("blocks").alias("block"), part("stripes").alias("stripe"), F.lit(1).alias("kind"), *columns)
+    left = sized[0].select("own", part("blocks").alias("block"), every("stripes").alias("stripe"), F.lit(0).alias("kind"), *columns)
+    right = sized[1].select("own", every("blocks").alias("block"), part("stripes").alias("stripe"), F.lit(1).alias("kind"), *columns)
     key = ("own", "block", "stripe")
     return left.select(*right.columns).unionByName(right).repartition(*key).sortWithinPartitions(*key, "kind", "vec_id", "rid")
 
@@ -227,14 +230,14 @@ def mine(
         raise ValueError("components are too large for scores of 64 bits")
     block = max(1, min(block, NUMBERS // width))
     anchors = table.where("is_anchor")
-    near = _tiles(anchors, table, F.col("label"), block, stripe).mapInArrow(_search(width, positives, low, high, False), FOUND)
+    near = _tiles(anchors, table, "label", block, stripe).mapInArrow(_search(width, positives, low, high, False), FOUND)
     best = _ranked(near, "anchor_rid").where(F.col("rank") <= positives).groupBy("anchor_rid").agg(
         F.sort_array(F.collect_list(F.struct("rank", "score", F.col("other_id").alias("id")))).alias("ranked"))
     goals = F.transform("ranked", lambda x: F.struct(x["score"].alias("score"), x["id"].alias("id"))).alias("goals")
     known = through_table(
         anchors.drop("goals").join(best.withColumnRenamed("anchor_rid", "rid"), "rid")
         .select("rid", "vec_id", "label", "vector", goals), "anchors")
-    far = _tiles(known, table, F.lit(0), block, stripe).mapInArrow(
+    far = _tiles(known, table, None, block, stripe).mapInArrow(
         _search(width, negatives, low, high, True), f"{FOUND}, goal long, goal_id long, goal_score long")
     found = through_table(_ranked(far, "anchor_rid", "goal").where(F.col("rank") <= negatives).select(
         "anchor_id", F.col("goal_id").alias("positive_id"), "rank", F.col("other_id").alias("negative_id"),

@@ -3,22 +3,27 @@
 A classifier learnt from labelled rows gives every document a posterior over domains, averaged over its windows, so a
 text that changes its domain in the middle belongs to both in part. Document rates r are then fitted so that the
 expected tokens of each domain, sum of r x tokens x posterior, meet the targets: least squares in the totals, by
-projected gradient from r = 1, in as many dimensions as there are documents.
+projected gradient, in as many dimensions as there are documents.
 
-The step is scaled by the Gram matrix of the posteriors (domains x domains, one aggregate), which makes one step exact
-while no rate is at its bound. A step changes a rate by posterior x direction, and a direction has one number per
-domain. So a rate is replayed from the list of past directions in the task that holds the document: an iteration is
-one scan of the stored posteriors that returns one sum per domain, nothing is collected per document, and a lost
-executor costs only its own part of a scan.
+Gradient steps add up before they are projected: r = max(bound, 1 - posterior x y), where y is the sum of all steps and
+has one number per domain. Of all rates that meet the targets this gives the ones nearest to 1 (weighted by tokens). A
+step is the miss scaled by the Gram matrix of the rows that are not at their bound. One scan of the stored posteriors
+tries all step lengths of an iteration and returns per length the totals, the Gram matrix and the value that the steps
+have to raise; nothing is collected per document, and a lost executor costs only its own part of a scan. A very small
+ridge keeps y finite where targets can't be met; the rates are then those of the least squares. The fit ends when every
+domain is within ``TOLERANCE`` of its target (of all tokens, where the target is zero), or when the gradient of the
+ridged problem is that small, which is when the rest can't be met. What is missed is returned and warned of.
 
 Defined cases: a missing text is empty; a text too short to judge has the shares of the labelled rows as its
-posterior, and no tokens give it no weight; without labelled rows there is one domain; a domain without tokens can't be
-filled, the others are still met as well as they can be; equal rows have equal rates; a missing id is hashed as
-missing; an empty table gives an empty result; extra columns stay apart in a struct.
+posterior, and no tokens give it no weight; without labelled rows there is one domain; a target for a domain that no
+labelled text has, or none of the sample, is an error; a domain that has no target is wanted no tokens; a domain without
+tokens can't be filled, the others are still met as well as they can be; equal rows have equal rates; a missing id is
+hashed as missing; an empty table gives an empty result; extra columns stay apart in a struct.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -37,9 +42,10 @@ BUCKETS, WINDOW = 1 << 14, 256
 TEMPERATURE = 0.7
 #: Bytes that are looked at a time, a multiple of the window.
 PIECE = WINDOW * 4096
-#: Shares that miss their targets by less than NEAR are good enough once a step leaves over STALLED of the miss: rates
-#: are at their bound then, and the rest can't be met.
-NEAR, STALLED = 1e-3, 0.95
+#: Largest miss of a domain in parts of its target, and steps at most.
+TOLERANCE, STEPS = 1e-6, 60
+#: Lengths of a step that are tried in one scan, and the ridge in parts of all wanted tokens.
+LENGTHS, RIDGE = (1.0, 0.5, 0.25, 0.1, 0.03, 0.01, 0.001), 1e-11
 
 
 @dataclass(frozen=True)
@@ -114,12 +120,9 @@ def members(docs: DataFrame, model: Domains) -> DataFrame:
     return made.select("row", "rid", "doc_id", "made.tokens", "made.posterior")
 
 
-def _rates(posteriors: np.ndarray, directions: np.ndarray, at_least: float) -> np.ndarray:
-    """Replay of all steps from 1, never below ``at_least``."""
-    rate = np.full(len(posteriors), max(1.0, at_least))
-    for direction in directions:
-        rate = np.maximum(at_least, rate - posteriors @ direction)
-    return rate
+def _rates(posteriors: np.ndarray, steps: np.ndarray, at_least: float) -> np.ndarray:
+    """The sum of all steps from 1, never below ``at_least``."""
+    return np.maximum(at_least, 1.0 - posteriors @ steps)
 
 
 def _matrix(batch, domains: int) -> np.ndarray:
@@ -127,66 +130,117 @@ def _matrix(batch, domains: int) -> np.ndarray:
     return batch.column("posterior").flatten().to_numpy(zero_copy_only=False).reshape(-1, domains)
 
 
-def _totals(parts: DataFrame, domains: int, directions: np.ndarray, at_least: float) -> np.ndarray:
-    """Expected tokens of each domain at the rates of ``directions``: one scan."""
+def _tried(parts: DataFrame, steps: np.ndarray, at_least: float) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """For each row of ``steps`` the totals, the Gram matrix of rows not at their bound, and the value: one scan."""
+    tries, domains = steps.shape
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = _matrix(batch, domains)
-            weight = _rates(p, directions, at_least) * batch.column("tokens").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array([(weight @ p).tolist()], pa.list_(pa.float64()))], ["total"])
+            p, t = _matrix(batch, domains), batch.column("tokens").to_numpy(zero_copy_only=False).astype(float)
+            out = []
+            for y in steps:
+                free, rate = 1.0 - p @ y, _rates(p, y, at_least)
+                inside = p[free >= at_least]
+                gram = (inside * t[free >= at_least, None]).T @ inside
+                value = t @ ((rate - 1) ** 2 / 2 + (p @ y) * rate)
+                out += [*((rate * t) @ p), *gram.ravel(), value]
+            yield pa.RecordBatch.from_arrays([pa.array([out], pa.list_(pa.float64()))], ["total"])
 
     found = parts.select("tokens", "posterior").mapInArrow(sums, "total array<double>")
-    row = found.agg(*[F.sum(F.col("total")[k]).alias(f"t{k}") for k in range(domains)]).first()
-    return np.array([x or 0.0 for x in row])
+    width = domains + domains * domains + 1
+    # one row per place of the list, a few hundred
+    places = found.select(F.posexplode("total").alias("place", "x")).groupBy("place").agg(F.sum("x").alias("x")).collect()
+    flat = np.zeros(tries * width)
+    for row in places:
+        flat[row["place"]] = row["x"]
+    return [(x[:domains], x[domains:-1].reshape(domains, domains), x[-1]) for x in flat.reshape(tries, width)]
 
 
-def fit_rates(
-    parts: DataFrame, domains: int, targets: np.ndarray | None, at_least: float, steps: int = 60, tolerance: float = 1e-6,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(directions, wanted totals, reached totals).
+@dataclass(frozen=True)
+class Fit:
+    """The sum of steps, wanted and reached totals, and the largest miss in parts of its target."""
+
+    steps: np.ndarray
+    wanted: np.ndarray
+    reached: np.ndarray
+    miss: float
+    scans: int
+
+
+def fit_rates(parts: DataFrame, domains: int, targets: np.ndarray | None, at_least: float, most: int = STEPS) -> Fit:
+    """The rates of ``members`` as the sum of steps that they follow from.
 
     ``targets`` are relative weights; without them each domain's share to the power ``TEMPERATURE``. The total is the
     least at which no domain is wanted less than it has.
     """
-    gram = parts.agg(*[
-        F.sum(F.col("tokens") * F.col("posterior")[i] * F.col("posterior")[j]).alias(f"g{i}_{j}")
-        for i in range(domains) for j in range(domains)
-    ]).first()
-    inverse = np.linalg.pinv(np.array([x or 0.0 for x in gram]).reshape(domains, domains), hermitian=True)
-    nothing = np.zeros((0, domains))
-    have = _totals(parts, domains, nothing, 0.0)
-    if have.sum() == 0:
-        return nothing, have, have
-    weights = (have / have.sum()) ** TEMPERATURE if targets is None else np.asarray(targets, float)
+    steps = np.zeros(domains)
+    have, _, _ = _tried(parts, steps[None, :], 0.0)[0]
+    tokens = have.sum()
+    if tokens == 0:
+        return Fit(steps, have, have, 0.0, 1)
+    weights = (have / tokens) ** TEMPERATURE if targets is None else np.asarray(targets, float)
     weights = np.where(have > 0, weights, 0.0)
+    if not weights.any():
+        return Fit(steps, weights, have, 1.0, 1)
     wanted = weights * (have[weights > 0] / weights[weights > 0]).max()
-    directions, reached = nothing, _totals(parts, domains, nothing, at_least) if at_least > 1 else have
-    error = np.inf
-    for _ in range(steps):
-        direction = inverse @ (reached - wanted)
-        before, error = error, np.abs(reached - wanted).max() / wanted.sum()
-        if np.abs(direction).max() < tolerance or NEAR > error > STALLED * before:
+    scale, ridge = np.where(wanted > 0, wanted, wanted.sum()), RIDGE * wanted.sum()
+    # a target of a millionth part of all tokens is met to a millionth of that, as long as doubles tell it apart
+    scale = np.maximum(scale, wanted.sum() * 1e-6)
+
+    def value(found: tuple, y: np.ndarray) -> float:
+        return found[2] - wanted @ y - ridge / 2 * (y @ y)
+
+    now, scans = _tried(parts, steps[None, :], at_least)[0], 2
+    for _ in range(most):
+        missed = now[0] - wanted
+        gradient = missed - ridge * steps
+        if (np.abs(missed) <= TOLERANCE * scale).all() or (np.abs(gradient) <= TOLERANCE / 10 * scale).all():
             break
-        directions = np.vstack((directions, direction))
-        reached = _totals(parts, domains, directions, at_least)
-    return directions, wanted, reached
+        direction = np.linalg.solve(now[1] + ridge * np.eye(domains), gradient)
+        tries = steps + np.array(LENGTHS)[:, None] * direction
+        found = _tried(parts, tries, at_least)
+        scans += 1
+        best = max(range(len(tries)), key=lambda k: value(found[k], tries[k]))
+        if value(found[best], tries[best]) <= value(now, steps):
+            break  # no length raises the value by what doubles can tell
+        now, steps = found[best], tries[best]
+    miss = float((np.abs(now[0] - wanted) / scale).max())
+    if miss > 10 * TOLERANCE:
+        warnings.warn(f"rates miss a target by {miss:.2g} of it after {scans} scans", stacklevel=2)
+    return Fit(steps, wanted, now[0], miss, scans)
+
+
+def asked_of(model: Domains, docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] | None, domain: str) -> np.ndarray | None:
+    """Target weights in the order of the model's domains; an error for a domain that can't be told."""
+    if targets is None:
+        return None
+    unknown = sorted(set(targets) - set(model.names))
+    if unknown:
+        known = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi").select(F.col(domain).cast("string").alias("domain"))
+        listed = known.where(F.col("domain").isin(unknown)).distinct().collect()  # at most as many as there are targets
+        missing = sorted(set(unknown) - {r["domain"] for r in listed})
+        raise ValueError(f"no labelled text has the target domain {', '.join(missing)}" if missing else
+                         f"the sample has no text of the target domain {', '.join(unknown)}; raise its rows")
+    if any(not w >= 0 for w in targets.values()) or not any(targets.values()):
+        raise ValueError("target weights must not be negative, and not all zero")
+    return np.array([targets.get(name, 0.0) for name in model.names])
 
 
 def mixed(
     docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] | None = None, domain: str = "lang", at_least: float = 0.0,
 ) -> DataFrame:
-    """Every row of ``docs`` (in ``row``) with doc_id, tokens, posterior, rate and copies.
+    """Every row of ``docs`` (in ``row``) with doc_id, tokens, posterior, rate and copies, and the fit's totals.
 
     ``targets`` are relative token weights by domain. ``copies`` is the rate rounded up or down by a hash of the id, so
-    its expected value is the rate. ``at_least`` = 1 keeps every document and repeats some.
+    its expected value is the rate. ``at_least`` = 1 keeps every document and repeats some. ``wanted`` and ``reached``
+    are the totals of the domains, in the order of ``posterior``, and the same in every row.
     """
     spark: SparkSession = docs.sparkSession
     model = learnt(docs, labels, domain)
+    asked = asked_of(model, docs, labels, targets, domain)
     parts, domains = members(docs, model), len(model.names)
-    asked = None if targets is None else np.array([targets.get(name, 0.0) for name in model.names])
-    directions, _, _ = fit_rates(parts, domains, asked, at_least)
-    shared = spark.sparkContext.broadcast(directions)  # steps x domains numbers
+    fitted = fit_rates(parts, domains, asked, at_least)
+    shared = spark.sparkContext.broadcast(fitted.steps)  # a number per domain
 
     @text_udf("double")
     def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -195,9 +249,10 @@ def mixed(
             yield pa.array(_rates(p, shared.value, at_least))
 
     draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    listed = lambda numbers: F.array(*[F.lit(float(x)) for x in numbers])
     return parts.withColumn("rate", rate("posterior")).withColumn(
         "copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("int")).cast("int"),
-    )
+    ).withColumns({"domains": F.array(*[F.lit(n) for n in model.names]), "wanted": listed(fitted.wanted), "reached": listed(fitted.reached)})
 
 
 def remixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] | None = None, at_least: float = 0.0) -> DataFrame:

@@ -15,6 +15,8 @@ from tickerloom.llm import (
 from tickerloom.llm.common import held_out, read_table, whole_text
 
 VOCABULARY = "word_bpe_49k.json"
+#: Shares of tokens that the languages are mixed to.
+LANGUAGES = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
 
@@ -26,9 +28,10 @@ def query(function):
 
 @query
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates of all documents for languages mixed to even shares."""
+    """Rates of all documents for languages mixed to the stated shares; wanted and reached tokens of each language."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    return mixing.mixed(docs, labels).select("doc_id", "tokens", "posterior", "rate", "copies")
+    return mixing.mixed(docs, labels, LANGUAGES).select(
+        "doc_id", "tokens", "posterior", "rate", "copies", "domains", "wanted", "reached")
 
 
 def _joined(spans):
