@@ -54,3 +54,29 @@ def test_colliding_keys_are_chained(spark, monkeypatch):
     monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *columns: real(exact_dedup.F.lit(1)))
     found = exact_dedup.decisions(odd(spark)).collect()
     assert sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in found), key=str) == brute(ODD)
+
+
+def test_many_keys_in_split_buckets(spark):
+    """Groups of copies in buckets that split, and a hot group in several parts."""
+    texts = [f"text {i % 37} {'x' * (i % 3)}" if i % 2 else "one  hot\ttext" + " " * (i % 5) for i in range(400)]
+    table = [(i, t) for i, t in enumerate(texts)]
+    found = exact_dedup.decisions(spark.createDataFrame(table, "doc_id long, text string").repartition(6), 4).collect()
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in found), key=str) == brute(table)
+    assert max(r["group_size"] for r in found) == 200
+
+
+def test_rows_are_found_through_the_directory(spark, monkeypatch):
+    """A directory without slots sends no row to a bucket, so no copy is found."""
+    real = exact_dedup.grow_directory
+    monkeypatch.setattr(exact_dedup, "grow_directory", lambda keys, capacity: (real(keys, capacity)[0].limit(0), 0))
+    assert {r["group_size"] for r in exact_dedup.decisions(odd(spark)).collect()} == {1}
+
+
+def test_chain_of_colliding_texts(spark):
+    """One key with three texts, two of them in several parts: three links, each with its copies."""
+    rows = [("k", t, n) for t, n in (("a", 2), ("b", 1), ("a", 3), ("c", 5), ("b", 4))]
+    sent = spark.createDataFrame(rows, "name string, bare string, n long").selectExpr(
+        "0L AS bucket", "0 AS local_depth", "xxhash64(name) AS key", "bare", "sha2(bare, 256) AS sha", "n",
+        "struct(-n AS shorter, false AS unnamed, n AS doc_id, n AS rid) AS best")
+    found = {r["sha"]: (r["group_size"], r["best"]["doc_id"]) for r in exact_dedup.chains(sent).collect()}
+    assert found == {hashlib.sha256(t.encode()).hexdigest(): v for t, v in {"a": (5, 3), "b": (5, 4), "c": (5, 5)}.items()}
