@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.session import through_table
+from tickerloom.session import shared_folder, through_table
 
 #: Folds of labelled rows; fold 0 is held out and never learnt from.
 FOLDS = 5
@@ -74,6 +75,39 @@ def numbered(df: DataFrame, purpose: str, **columns: Column) -> DataFrame:
     )
 
 
+#: A row number holds the number of the task that made it above this bit.
+TASK_BITS = 33
+
+
+def kept_in_place(df: DataFrame, purpose: str, **columns: Column) -> DataFrame:
+    """``numbered``, in a table that is bucketed by the task that wrote a row (``task``), for ``picked``.
+
+    Every task writes its rows where they are: a task's rows are one bucket. The table's name goes again at once; what is
+    read was resolved before, and its files go with the application's folder.
+    """
+    spark = df.sparkSession
+    whole = F.struct(*[F.col(f"`{name}`") for name in df.columns])
+    rows = df.select(whole.alias("row"), *[value.alias(name) for name, value in columns.items()]).withColumn(
+        "rid", F.monotonically_increasing_id()).withColumn("task", F.shiftright("rid", TASK_BITS))
+    name = f"{purpose}_{uuid.uuid4().hex}".replace("-", "_")
+    rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "task").option(
+        "path", shared_folder(spark, purpose)).format("parquet").saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+def picked(rows: DataFrame, rids: DataFrame, keep: bool = True) -> DataFrame:
+    """The rows of a table ``kept_in_place`` whose ``rid`` is in ``rids`` (distinct), or is not: no row leaves its bucket.
+
+    Only the wanted numbers are shuffled, as one list per task that wrote rows, and hashed by the task.
+    """
+    lists = rids.groupBy(F.shiftright("rid", TASK_BITS).alias("task")).agg(F.collect_list("rid").alias("_wanted"))
+    met = rows.join(lists.hint("shuffle_hash"), "task", "inner" if keep else "left")
+    here = F.array_contains("_wanted", F.col("rid"))
+    return met.where(here if keep else ~F.coalesce(here, F.lit(False))).drop("_wanted")
+
+
 def original(df: DataFrame) -> DataFrame:
     """The columns inside ``row`` again."""
     return df.select("row.*")
