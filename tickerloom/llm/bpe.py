@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tickerloom.llm.common import text_udf
 
 #: Stretches of text without white space whose ids a Python worker keeps; longer ones are not kept.
-CACHE, KEPT = 500_000, 40
+CACHE, KEPT = 250_000, 40
 #: Bits of a symbol's number.
 BITS = 20
 #: White space as the vocabulary's normaliser takes it (the Unicode property, without the separators 1C to 1F).
