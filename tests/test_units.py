@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tickerloom.constants import FEATURES, FUNDAMENTALS
 from tickerloom.functions import scalar as s
+from tickerloom.functions import quantiles
 from tickerloom.functions.naming import FEATURE_COLUMNS, camel_label, combined_columns, label_config
 from tickerloom.functions.quantiles import describe, exact_quantiles
+from tickerloom.functions.series import forward_quantile
 from tickerloom.operators import cleaning, labels, metrics, models, outlook, recommend, scoring, universe
 from tickerloom.operators.indicators import INDICATORS, indicator, with_indicators
 from tickerloom.operators.recursive import turning_points, zigzag
@@ -89,31 +91,44 @@ def test_scalar_edges(spark):
     assert [r[0] for r in odd.select(s.num_coerce("t", 9)).collect()] == [1.5, 9.0, 9.0, 9.0]
 
 
-@pytest.mark.parametrize("ranges", [1, 23])
-def test_exact_quantiles_against_numpy(spark, ranges):
-    """A third of all rows in one value, negative values, and groups spread over many ranges."""
-    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+@pytest.mark.parametrize("split, small", [(1024, 4096), (4, 3), (16, 50)])
+def test_exact_quantiles_against_numpy(spark, split, small):
+    """A third of all rows in one value, negative values, a hot group, and values of very different sizes."""
     rng = np.random.default_rng(3)
     values = np.where(rng.random(6000) < 0.34, 1.0, rng.normal(size=6000).round(3) * 5)
+    values[:40] = [sign * 10.0 ** e for e in range(-290, 300, 30) for sign in (1, -1)]
     group = np.where(rng.random(6000) < 0.9, "big", "small")
     df = spark.createDataFrame(pd.DataFrame({"g": group, "v": values})).repartition(7)
-    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", {"a": 0.25, "b": 0.5, "c": 0.9, "d": 1.0}).collect()}
+    probs = {"a": 0.25, "b": 0.5, "c": 0.9, "d": 1.0, "e": 0.001, "f": 0.0, "h": 0.999}
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", probs, split, small).collect()}
     for g in ("big", "small"):
-        expected = np.quantile(values[group == g], [0.25, 0.5, 0.9, 1.0])
-        assert np.allclose([got[g].a, got[g].b, got[g].c, got[g].d], expected)
+        expected = np.quantile(values[group == g], list(probs.values()))
+        assert np.allclose([got[g][name] for name in probs], expected)
+
+
+def test_describe_against_numpy(spark):
+    rng = np.random.default_rng(4)
+    values = rng.normal(size=9000).round(4)
+    df = spark.createDataFrame(pd.DataFrame({"g": np.arange(9000) % 2, "v": values})).repartition(5)
     whole = describe(df, [], "v").first()
-    assert whole.q50 == pytest.approx(np.median(values)) and whole["count"] == 6000
+    assert whole["count"] == 9000 and np.allclose(
+        [whole["mean"], whole["std"], whole["min"], whole["q25"], whole["q50"], whole["q75"], whole["max"]],
+        [values.mean(), values.std(ddof=1), values.min(), *np.quantile(values, [0.25, 0.5, 0.75]), values.max()])
+    assert {r.g: r.q50 for r in describe(df, ["g"], "v").collect()} == pytest.approx({k: np.median(values[k::2]) for k in (0, 1)})
     assert describe(df.limit(0), [], "v").count() == describe(df.limit(0), ["g"], "v").count() == 0
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    odd = spark.createDataFrame([(None, 1.0), ("a", None), ("b", float("inf")), ("b", float("-inf")), ("b", 3.0)], "g string, v double")
+    assert {r.g: r.q50 for r in describe(odd, ["g"], "v").collect()} == {"b": 3.0}
 
 
 def test_quantile_plan_has_no_nested_loop(spark):
-    df = spark.range(1000).selectExpr("id % 3 AS g", "cast(id AS double) AS v")
-    for keys in ([], ["g"]):
-        plan = describe(df, keys, "v")._jdf.queryExecution().toString()
-        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    """Neither the rounds nor the last step join without a key or deal out ranges of values."""
+    data = spark.range(1000).selectExpr("0 AS g", "cast(id AS double) AS __v")
+    data = through_table(data, "values")
+    groups = through_table(data.groupBy("g").agg(
+        F.count("*").alias("__n"), F.array(F.struct(F.min("__v").alias("low"), F.max("__v").alias("high"), F.lit(0).cast("long").alias("before"),
+                                                    F.count("*").alias("rows"))).cast(quantiles.CELLS).alias("__cells")), "groups")
+    plan = quantiles._selected(data, groups, ["g"], {"q": 0.5}, 8, 4)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "rangepartitioning" not in plan
 
 
 def test_threshold_sweep_against_brute_force(spark):
@@ -121,7 +136,7 @@ def test_threshold_sweep_against_brute_force(spark):
     score = 0.9 * np.concatenate([rng.random(300), np.arange(0, 1, 0.00075)[rng.integers(0, 1334, 200)]])
     profit = np.where(rng.random(500) < 0.34, 0.0, rng.normal(size=500))
     df = spark.createDataFrame(pd.DataFrame({"score": score, "profit": profit}))
-    got = scoring.threshold_sweep(df, "profit", cell_size=16).toPandas().sort_values("threshold")
+    got = scoring.threshold_sweep(df, "profit").toPandas().sort_values("threshold")
     assert np.allclose(got["threshold"], np.arange(0, 1, 0.00075))
     for row in got.itertuples():
         rows = profit[score >= row.threshold]
@@ -132,6 +147,18 @@ def test_threshold_sweep_against_brute_force(spark):
         assert np.allclose([row.rows, row.mean, row.max, row.min, row.q25, row.q50, row.q75], expected)
 
 
+def test_forward_quantile_against_numpy(spark):
+    closes = [5.0, 1.0, None, 4.0, 2.0, 8.0, 3.0, 9.0, 7.0, 6.0, 5.5, 2.5]
+    df = spark.createDataFrame([("A", d, c) for d, c in zip(days(len(closes)), closes)], "ticker string, date date, close double")
+    for window, q in ((1, 0.5), (3, 0.5), (4, 0.3), (5, 0.9)):
+        found = df.select("date", forward_quantile("close", window, q).alias("v"))
+        ahead = [closes[i + 1:i + 1 + window] for i in range(len(closes))]
+        want = [np.quantile(a, q) if len(a) == window and None not in a else None for a in ahead]
+        assert [r.v for r in found.orderBy("date").collect()] == [pytest.approx(w) if w is not None else None for w in want]
+        plan = found._jdf.queryExecution().toString()
+        assert "percentile" not in plan.lower()
+
+
 def test_labels_look_forward_only(spark):
     closes = [10.0, 11, 9, 12, 13, 14, 8, 7, 15, 16, 17, 18, 11, 12]
     full = labels.forward_return(bars_of(spark, closes), (5,)).orderBy("date").toPandas()["forward_5"].to_numpy()

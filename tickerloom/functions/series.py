@@ -7,6 +7,8 @@ partition are bounded by the calendar (about 250 a year), however large the tabl
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -47,9 +49,16 @@ def rolling_median(c, n: int, w=None) -> Column:
 
 
 def forward_quantile(c, window: int, q: float, w=None) -> Column:
-    """Interpolated quantile of the next ``window`` values; NULL unless all exist."""
+    """Interpolated quantile of the next ``window`` values; NULL unless all exist.
+
+    The values are sorted in the row itself: offsets need no aggregate over a sliding frame. Missing values sort first.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return gated(F.percentile(c, q), c, window, rows(1, window, w))
+    ahead = F.sort_array(F.array(*[F.lead(c, i).over(w or by_ticker()) for i in range(1, window + 1)]).cast("array<double>"))
+    at = (window - 1) * q
+    low, high = math.floor(at), math.ceil(at)
+    value = ahead[low] if low == high else ahead[low] * (high - at) + ahead[high] * (at - low)
+    return F.when(ahead[0].isNotNull(), value)
 
 
 def forward_max(c, window: int, w=None) -> Column:

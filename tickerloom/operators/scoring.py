@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
@@ -79,10 +81,13 @@ def trading_simulation(scores: DataFrame, bars: DataFrame, window: int) -> DataF
 
 def bin_buy_sell_pct(simulation: DataFrame) -> DataFrame:
     """Per score bin: lower quartile of the loss and median of the profit."""
-    binned = simulation.withColumn("bin", score_bin("score"))
-    buy = exact_quantiles(binned, ["bin"], "loss", {"buy_pct": BUY_QUANTILE})
-    sell = exact_quantiles(binned, ["bin"], "profit", {"sell_pct": SELL_QUANTILE})
-    return buy.join(sell, "bin")
+    both = F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).cast("double").alias("move")) for side in ("loss", "profit")])
+    moves = simulation.select(score_bin("score").alias("bin"), F.explode(both).alias("m")).select("bin", "m.*")
+    found = exact_quantiles(moves, ["bin", "side"], "move", {"buy_pct": BUY_QUANTILE, "sell_pct": SELL_QUANTILE})
+    sides = {"buy_pct": "loss", "sell_pct": "profit"}
+    return found.groupBy("bin").agg(*[
+        F.max(F.when(F.col("side") == side, F.col(name))).alias(name) for name, side in sides.items()
+    ]).where(" AND ".join(f"{name} IS NOT NULL" for name in sides))
 
 
 def score_distribution(simulation: DataFrame, metric: str) -> DataFrame:
@@ -107,12 +112,21 @@ def sweep_step(score: str, step: float, count: int):
     return F.when(k >= 0, F.least(k, F.lit(count - 1)))
 
 
-def value_cells(counts: DataFrame, size: int) -> DataFrame:
-    """Stored counts (k, v, c) with ``cell``: rows of neighbouring values, ``size`` of them to a cell at any scale.
+#: Rows of a range of values at most.
+RANGE = 1 << 20
+
+
+def value_cells(counts: DataFrame) -> DataFrame:
+    """Stored counts (k, v, c) with ``cell``: rows of neighbouring values, the square root of a sixth of all rows to a cell.
 
-    Ranges of values are dealt out and stored; the rows before each range are a prefix sum with one row per range.
+    Ranges of values are dealt out and stored, as many as the rows need; the rows before each range are a prefix sum with
+    one row per range.
     """
-    ranged = through_table(counts.repartitionByRange("v", "k").withColumn("part", F.spark_partition_id()), "sweep")
+    counts = through_table(counts, "sweep-counts")
+    n = counts.count()
+    size = max(16, math.isqrt(max(1, n // (2 * len(SWEEP_QUARTILES)))))
+    parts = max(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // RANGE))
+    ranged = through_table(counts.repartitionByRange(parts, "v", "k").withColumn("part", F.spark_partition_id()), "sweep")
     sizes = ranged.groupBy("part").agg(F.count("*").alias("n"))
     before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     place = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy("v", "k")) - 1
@@ -120,20 +134,20 @@ def value_cells(counts: DataFrame, size: int) -> DataFrame:
         ranged.join(before, "part").select("k", "v", "c", F.floor(place / size).cast("long").alias("cell")), "sweep-cells")
 
 
-def threshold_sweep(simulation: DataFrame, metric: str, step: float = SWEEP_STEP, count: int = SWEEP_COUNT,
-                    cell_size: int = 4096) -> DataFrame:
+def threshold_sweep(simulation: DataFrame, metric: str, step: float = SWEEP_STEP, count: int = SWEEP_COUNT) -> DataFrame:
     """Mean, extremes and quartiles of ``metric`` over the rows with score >= k*step, for all ``count`` thresholds.
 
     A threshold that no row reaches has 0 rows and no statistics. A row belongs to every threshold up to its own step,
     so nothing is joined per threshold. Rows are reduced to (step, value) counts; mean and extremes are suffix sums over
-    at most ``count`` steps. For the quartiles the counts are parted into cells of ``cell_size`` neighbouring values;
-    suffix sums over (step, cell) counts tell in which cell each threshold's rank lies, and only that cell is ranked for
-    it. So at most 6 x ``count`` x ``cell_size`` rows are joined, however many there are. The result is exact.
+    at most ``count`` steps. For the quartiles the n counts are parted into cells of neighbouring values; suffix sums over
+    (step, cell) counts tell in which cell each threshold's rank lies, and only that cell is ranked for it. With cells of
+    sqrt(n / 6) rows both the suffix sums (cells x ``count``) and the ranked rows (6 x ``count`` cells) grow with the square
+    root of n. The result is exact.
     """
     rows = simulation.where(F.col(metric).isNotNull()).select(
         sweep_step("score", step, count).cast("int").alias("k"), F.col(metric).cast("double").alias("v"),
     ).where("k IS NOT NULL")
-    rows = value_cells(rows.groupBy("k", "v").agg(F.count("*").alias("c")), cell_size)
+    rows = value_cells(rows.groupBy("k", "v").agg(F.count("*").alias("c")))
 
     later = Window.orderBy(F.desc("k"))  # one row per step
     steps = rows.groupBy("k").agg(
