@@ -74,12 +74,66 @@ def discriminant_params(search: Search) -> list[dict]:
     return found
 
 
-def logistic_params(search: Search) -> list[dict]:
-    rng = random.Random(search.seed)
-    return [
-        {"c": _log_uniform(rng, *LOGISTIC_SPACE["c"]), "l1_ratio": rng.uniform(*LOGISTIC_SPACE["l1_ratio"])}
-        for _ in range(search.iterations)
-    ]
+class Proposer:
+    """Candidates of a search space, each chosen from the results before.
+
+    After ``start`` random ones a Gaussian process over the unit cube models the scores, and the point of the largest
+    expected improvement is next. Of a batch that is tried side by side, those still out count as the mean. ``space`` has
+    a range per name; names in ``logarithmic`` are sought on a log scale.
+    """
+
+    def __init__(self, space: dict[str, tuple[float, float]], seed: int, logarithmic: tuple[str, ...] = (), start: int = 6):
+        self.space, self.logarithmic, self.start = space, logarithmic, start
+        self.random = np.random.default_rng(seed)
+        self.points: list[np.ndarray] = []
+        self.scores: list[float] = []
+
+    def _params(self, point: np.ndarray) -> dict:
+        found = {}
+        for share, (name, (low, high)) in zip(point.tolist(), self.space.items()):
+            if name in self.logarithmic:
+                found[name] = math.exp(math.log(low) + share * (math.log(high) - math.log(low)))
+            else:
+                found[name] = low + share * (high - low)
+        return found
+
+    @staticmethod
+    def _kernel(a: np.ndarray, b: np.ndarray, width: float = 0.3) -> np.ndarray:
+        return np.exp(-((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2) / (2 * width**2))
+
+    def _improvement(self, at: np.ndarray, points: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        """Expected improvement over the best score, in standard deviations of the scores."""
+        scale = scores.std() or 1.0
+        y = (scores - scores.mean()) / scale
+        cross = self._kernel(at, points)
+        inverse = np.linalg.inv(self._kernel(points, points) + 1e-4 * np.eye(len(points)))
+        mean = cross @ inverse @ y
+        spread = np.sqrt(np.maximum(1e-12, 1 - ((cross @ inverse) * cross).sum(axis=1)))
+        z = (mean - y.max()) / spread
+        below = np.array([math.erf(x / math.sqrt(2)) for x in z])
+        return spread * (z * (1 + below) / 2 + np.exp(-z * z / 2) / math.sqrt(2 * math.pi))
+
+    def ask(self, n: int) -> list[tuple[np.ndarray, dict]]:
+        """The next ``n`` candidates, as points of the unit cube and as parameters."""
+        out: list[np.ndarray] = []
+        for _ in range(n):
+            if len(self.points) + len(out) < self.start or not self.scores:
+                out.append(self.random.random(len(self.space)))
+                continue
+            best = self.points[int(np.argmax(self.scores))]
+            near = np.clip(best + self.random.normal(0, 0.08, (200, len(best))), 0, 1)
+            at = np.concatenate((self.random.random((800, len(best))), near))
+            scores = np.array(self.scores + [float(np.mean(self.scores))] * len(out))
+            out.append(at[int(np.argmax(self._improvement(at, np.array(self.points + out), scores)))])
+        return [(point, self._params(point)) for point in out]
+
+    def tell(self, point: np.ndarray, score: float) -> None:
+        self.points.append(point)
+        self.scores.append(score)
+
+
+def logistic_proposer(search: Search) -> Proposer:
+    return Proposer(LOGISTIC_SPACE, search.seed, logarithmic=("c",))
 
 
 def split_train_test(df: DataFrame, splits: dict, features: list[str], target: str, positive: str) -> DataFrame:
@@ -261,7 +315,9 @@ def _judged(rows: DataFrame, weights: dict[str, np.ndarray], width: int, *keep:
                         continue
                     z = np.clip(x[at] @ w[:, 1:].T + w[:, 0], -30, 30)
                     p = np.rint(GRID / (1 + np.exp(-z)))
-                    cell, n = np.unique(p + np.arange(len(w)) * (GRID + 1.0), return_counts=True)
+                    counted = np.bincount((p + np.arange(len(w)) * (GRID + 1)).astype(np.int64).ravel())
+                    cell = np.flatnonzero(counted)
+                    n = counted[cell]
                     columns = {"group": key[0], **dict(zip(keep, key[1:-1])), "y_true": key[-1]}
                     frame_out = {k: [v] * len(cell) for k, v in columns.items()}
                     yield pa.RecordBatch.from_pydict({
@@ -389,9 +445,9 @@ def _logistic(params, rows: int, steps: int) -> LogisticRegression:
         elasticNetParam=params["l1_ratio"], regParam=1.0 / (params["c"] * rows))
 
 
-def hyperparam_search(rows: DataFrame, features: list[str], candidates: list[dict], steps: int,
+def hyperparam_search(rows: DataFrame, features: list[str], proposer: Proposer, iterations: int, steps: int,
                       threads: int = 4) -> tuple[PipelineModel, dict, float]:
-    """Best candidate on the val fold, refitted on train and val.
+    """Best candidate on the val fold of ``iterations`` that ``proposer`` names, refitted on train and val.
 
     Scored by AUC, or accuracy when val holds one class; a single train class is an error. Scaling is fitted once per
     fold and its vectors are stored; candidates differ in the last stage only and are fitted a few at a time.
@@ -411,8 +467,14 @@ def hyperparam_search(rows: DataFrame, features: list[str], candidates: list[dic
         model = _with_retries(lambda: _logistic(params, size, steps).fit(train))
         return evaluator.evaluate(model.transform(val))
 
+    candidates, scored = [], []
     with ThreadPoolExecutor(threads) as pool:
-        scored = list(pool.map(tried, candidates))
+        while len(scored) < iterations:
+            points, batch = zip(*proposer.ask(min(threads, iterations - len(scored))))
+            for point, params, score in zip(points, batch, pool.map(tried, batch)):
+                proposer.tell(point, score)
+                candidates.append(params)
+                scored.append(score)
     best = int(np.argmax(scored))
     both = {c: counts["train"].get(c, 0) + counts["val"].get(c, 0) for c in (0.0, 1.0)}
     everything = rows.where("fold IN ('train', 'val')")
@@ -423,7 +485,7 @@ def hyperparam_search(rows: DataFrame, features: list[str], candidates: list[dic
 
 
 def train_stacker(rows: DataFrame, features: list[str], search: Search = Search()) -> PipelineModel:
-    return hyperparam_search(rows, features, logistic_params(search), search.logistic_steps, search.threads)[0]
+    return hyperparam_search(rows, features, logistic_proposer(search), search.iterations, search.logistic_steps, search.threads)[0]
 
 
 def forecast(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.constants import LABEL_WINDOWS, LABELS
@@ -85,7 +88,7 @@ def hyperparam_search(spark, sf):
     """The chosen parameters and their validation score."""
     rows, names = _stacked_rows(spark, sf)
     _, params, metric = models.hyperparam_search(
-        rows, names, models.logistic_params(SEARCH), SEARCH.logistic_steps, SEARCH.threads)
+        rows, names, models.logistic_proposer(SEARCH), SEARCH.iterations, SEARCH.logistic_steps, SEARCH.threads)
     chosen = rows.groupBy("fold").agg(F.count("*").alias("rows"))
     return chosen.select("fold", "rows", *[F.lit(v).alias(k) for k, v in params.items()],
                          F.lit(float(metric)).alias("val_metric"))
@@ -93,7 +96,7 @@ def hyperparam_search(spark, sf):
 
 @query
 def train_router(spark, sf):
-    """Performance rows of the versions that forecast from features, and how many models failed, from one entry point."""
+    """Performance rows of all four versions, and how many models failed, from one entry point."""
     rows, names = _training_rows(spark, sf)
     parts = []
     for version in inputs.VERSIONS:
@@ -101,7 +104,11 @@ def train_router(spark, sf):
             version, rows, names, NAMES["positive"], NAMES["negative"], t.industry(spark, sf), SEARCH)
         count = failed.agg(F.count("*").alias("n")).scalar()
         parts.append(_performance(made).withColumn("model_version", F.lit(version)).withColumn("failed_models", count))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    rows, names = _stacked_rows(spark, sf)
+    _, made, failed = models.train_router(4, rows, names, NAMES["positive"], NAMES["negative"], search=SEARCH)
+    parts.append(_performance(made).withColumns({
+        "model_version": F.lit(4), "failed_models": F.lit(failed.count()).cast("long")}))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query

@@ -44,11 +44,16 @@ def _remove(spark: SparkSession, folder: str) -> None:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach; what an application wrote is deleted when it ends.
 
-    It lies below ``spark.checkpoint.dir``. Where that is unset, a folder in the warehouse takes its place, in any mode.
-    Spark's own checkpoints go there, too.
+    It lies below ``spark.checkpoint.dir``. Where that is unset, a folder in the warehouse takes its place; on a cluster
+    that must not be a folder of one machine, so a ``file:`` warehouse is an error there. Spark's own checkpoints go there,
+    too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
-    context = spark.sparkContext
+    context, warehouse = spark.sparkContext, spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not context.master.startswith("local") and warehouse.startswith(("file:", "/")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        root = f"{warehouse}/_work"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     mine = f"{root.rstrip('/')}/{context.applicationId}"
@@ -59,7 +64,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def through_table(df, purpose: str):
-    """Write ``df`` once to the shared folder and read it back.
+    """Write ``df`` once to the shared folder and read it back; this runs a job while a plan is built.
 
     Used where several later jobs read the same result; unlike a cached frame the table
     survives the loss of any executor.
