@@ -1,12 +1,13 @@
 """Training of the four model generations.
 
 1  a Gaussian naive Bayes model per ticker: class means and variances from one aggregation
-2  a regularised discriminant per industry, all industries in the same passes
+2  a regularised discriminant per industry, all industries in the same passes, or boosted trees (``Search.pooled``)
 3  the same for the whole market
 4  a robust-scaled elastic-net logistic model on the stacked forecasts (Spark ML)
 
-Versions 1 to 3 are sums over rows, so any number of models is fitted by the same few aggregations, without a loop over
-tickers or industries, and each is one row of a table: an intercept, a weight and a squared weight per feature.
+Naive Bayes and discriminants are sums over rows, so any number of models is fitted by the same few aggregations, without
+a loop over tickers or industries. Each model is one row of a table: an intercept, a weight and a squared weight per feature,
+or its trees (``trees``).
 """
 
 from __future__ import annotations
@@ -15,23 +16,22 @@ import math
 import random
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import RobustScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerloom.constants import MARKET, RESTARTS, SEARCH_ITERATIONS, SEED
+from tickerloom.constants import MARKET
+from tickerloom.operators import trees
 from tickerloom.operators.cleaning import split_masks
+from tickerloom.operators.search import Proposer, Search, balanced, class_counts, evaluator_of, with_retries
 from tickerloom.session import through_table
 
 # search spaces (fixed values)
@@ -46,18 +46,6 @@ BROADCAST_NUMBERS = 4_000_000
 MODEL = "intercept double, linear array<double>, square array<double>, params string"
 
 
-@dataclass(frozen=True)
-class Search:
-    """How much to search; the defaults are those of a full development run."""
-
-    iterations: int = SEARCH_ITERATIONS
-    restarts: int = RESTARTS
-    select_on: str = "val"  # "test" picks the restart by test Gini
-    seed: int = SEED
-    logistic_steps: int = 1500
-    threads: int = 4  # fits of the stacker that run side by side
-
-
 def _log_uniform(rng, low, high):
     return math.exp(rng.uniform(math.log(low), math.log(high)))
 
@@ -74,64 +62,6 @@ def discriminant_params(search: Search) -> list[dict]:
     return found
 
 
-class Proposer:
-    """Candidates of a search space, each chosen from the results before.
-
-    After ``start`` random ones a Gaussian process over the unit cube models the scores, and the point of the largest
-    expected improvement is next. Of a batch that is tried side by side, those still out count as the mean. ``space`` has
-    a range per name; names in ``logarithmic`` are sought on a log scale.
-    """
-
-    def __init__(self, space: dict[str, tuple[float, float]], seed: int, logarithmic: tuple[str, ...] = (), start: int = 6):
-        self.space, self.logarithmic, self.start = space, logarithmic, start
-        self.random = np.random.default_rng(seed)
-        self.points: list[np.ndarray] = []
-        self.scores: list[float] = []
-
-    def _params(self, point: np.ndarray) -> dict:
-        found = {}
-        for share, (name, (low, high)) in zip(point.tolist(), self.space.items()):
-            if name in self.logarithmic:
-                found[name] = math.exp(math.log(low) + share * (math.log(high) - math.log(low)))
-            else:
-                found[name] = low + share * (high - low)
-        return found
-
-    @staticmethod
-    def _kernel(a: np.ndarray, b: np.ndarray, width: float = 0.3) -> np.ndarray:
-        return np.exp(-((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2) / (2 * width**2))
-
-    def _improvement(self, at: np.ndarray, points: np.ndarray, scores: np.ndarray) -> np.ndarray:
-        """Expected improvement over the best score, in standard deviations of the scores."""
-        scale = scores.std() or 1.0
-        y = (scores - scores.mean()) / scale
-        cross = self._kernel(at, points)
-        inverse = np.linalg.inv(self._kernel(points, points) + 1e-4 * np.eye(len(points)))
-        mean = cross @ inverse @ y
-        spread = np.sqrt(np.maximum(1e-12, 1 - ((cross @ inverse) * cross).sum(axis=1)))
-        z = (mean - y.max()) / spread
-        below = np.array([math.erf(x / math.sqrt(2)) for x in z])
-        return spread * (z * (1 + below) / 2 + np.exp(-z * z / 2) / math.sqrt(2 * math.pi))
-
-    def ask(self, n: int) -> list[tuple[np.ndarray, dict]]:
-        """The next ``n`` candidates, as points of the unit cube and as parameters."""
-        out: list[np.ndarray] = []
-        for _ in range(n):
-            if len(self.points) + len(out) < self.start or not self.scores:
-                out.append(self.random.random(len(self.space)))
-                continue
-            best = self.points[int(np.argmax(self.scores))]
-            near = np.clip(best + self.random.normal(0, 0.08, (200, len(best))), 0, 1)
-            at = np.concatenate((self.random.random((800, len(best))), near))
-            scores = np.array(self.scores + [float(np.mean(self.scores))] * len(out))
-            out.append(at[int(np.argmax(self._improvement(at, np.array(self.points + out), scores)))])
-        return [(point, self._params(point)) for point in out]
-
-    def tell(self, point: np.ndarray, score: float) -> None:
-        self.points.append(point)
-        self.scores.append(score)
-
-
 def logistic_proposer(search: Search) -> Proposer:
     return Proposer(LOGISTIC_SPACE, search.seed, logarithmic=("c",))
 
@@ -173,6 +103,8 @@ def forecast_by(models: DataFrame, df: DataFrame, features: list[str], key: str
 
     Without a key there is one model, whose numbers become literals of the plan.
     """
+    if "trees" in models.columns:
+        return trees.forecast_trees(models, df, features, key)
     x = _array(features)
     if key is None:
         found = models.select("intercept", "linear", "square").first()
@@ -400,38 +332,6 @@ def train_grouped(rows: DataFrame, features: list[str], key: str, search: Search
 # ---- version 4: stacked forecasts --------------------------------------------------------
 
 
-def _class_counts(rows: DataFrame) -> dict[str, dict[float, int]]:
-    """Rows per fold and class: six numbers at most."""
-    out: dict[str, dict[float, int]] = {}
-    for r in rows.groupBy("fold", "label").count().collect():
-        out.setdefault(r["fold"], {})[r["label"]] = r["count"]
-    return out
-
-
-def balanced(rows: DataFrame, counts: dict[float, int]) -> DataFrame:
-    """Weight n / (2 * n_class), so both classes weigh the same."""
-    total = sum(counts.values())
-    weights = F.create_map(*[F.lit(x) for label, n in counts.items() for x in (label, total / (2.0 * n))])
-    return rows.withColumn("weight", weights[F.col("label")])
-
-
-def _evaluator(val_counts):
-    if len(val_counts) > 1:
-        return BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol="label")
-    return MulticlassClassificationEvaluator(metricName="accuracy", labelCol="label")
-
-
-def _with_retries(fit, tries: int = 3):
-    """Again after a lost executor or connection; any other error is the same the next time."""
-    for attempt in range(tries):
-        try:
-            return fit()
-        except Py4JJavaError as error:
-            lost = any(word in str(error) for word in ("ExecutorLost", "executor lost", "FetchFailed", "Connection re"))
-            if not lost or attempt == tries - 1:
-                raise
-
-
 def _scaled(features) -> Pipeline:
     return Pipeline(stages=[
         VectorAssembler(inputCols=features, outputCol="raw"),
@@ -452,19 +352,19 @@ def hyperparam_search(rows: DataFrame, features: list[str], proposer: Proposer,
     Scored by AUC, or accuracy when val holds one class; a single train class is an error. Scaling is fitted once per
     fold and its vectors are stored; candidates differ in the last stage only and are fitted a few at a time.
     """
-    counts = _class_counts(rows)
+    counts = class_counts(rows)
     if len(counts.get("train", {})) < 2:
         raise ValueError("the train rows hold a single class")
     if not counts.get("val"):
         raise ValueError("no validation rows")
-    evaluator = _evaluator(counts["val"])
+    evaluator = evaluator_of(counts["val"])
     scaler = _scaled(features).fit(rows.where("fold = 'train'"))
     ready = through_table(scaler.transform(rows.where("fold <> 'test'")).select("fold", "label", "vector"), "scaled")
     train, val = balanced(ready.where("fold = 'train'"), counts["train"]), ready.where("fold = 'val'")
     size = sum(counts["train"].values())
 
     def tried(params):
-        model = _with_retries(lambda: _logistic(params, size, steps).fit(train))
+        model = with_retries(lambda: _logistic(params, size, steps).fit(train))
         return evaluator.evaluate(model.transform(val))
 
     candidates, scored = [], []
@@ -479,7 +379,7 @@ def hyperparam_search(rows: DataFrame, features: list[str], proposer: Proposer,
     both = {c: counts["train"].get(c, 0) + counts["val"].get(c, 0) for c in (0.0, 1.0)}
     everything = rows.where("fold IN ('train', 'val')")
     scaler = _scaled(features).fit(everything)
-    last = _with_retries(lambda: _logistic(candidates[best], sum(both.values()), steps).fit(
+    last = with_retries(lambda: _logistic(candidates[best], sum(both.values()), steps).fit(
         balanced(scaler.transform(everything), both)))
     return PipelineModel(stages=[*scaler.stages, last]), candidates[best], scored[best]
 
@@ -499,18 +399,23 @@ def forecast(model: PipelineModel, df: DataFrame) -> DataFrame:
 KEYS = {1: "ticker", 2: "industry", 3: None}
 
 
+#: Families of versions 2 and 3.
+POOLED = {"discriminant": train_grouped, "trees": trees.train_trees}
+
+
 def train(version: int, rows: DataFrame, features: list[str], industries: DataFrame | None = None,
           search: Search = Search()) -> tuple[DataFrame, DataFrame]:
     """(models, failures) of versions 1 to 3: a row per model, and (identifier, reason) for each that can't be trained."""
+    pooled = POOLED[search.pooled]
     if version == 1:
         return through_table(train_per_ticker(rows, features), "ticker-models"), failures_of(rows, "ticker")
     if version == 2:
         tagged = rows.join(industries, "ticker")
-        made = train_grouped(tagged, features, "industry", search).withColumnRenamed("identifier", "industry")
+        made = pooled(tagged, features, "industry", search).withColumnRenamed("identifier", "industry")
         return through_table(made, "industry-models"), failures_of(tagged, "industry")
     if version == 3:
         tagged = rows.withColumn("market", F.lit(MARKET))
-        return through_table(train_grouped(tagged, features, "market", search), "market-model"), failures_of(tagged, "market")
+        return through_table(pooled(tagged, features, "market", search), "market-model"), failures_of(tagged, "market")
     raise ValueError(f"unknown model version {version}")
 
 

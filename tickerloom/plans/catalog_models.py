@@ -17,6 +17,7 @@ from tickerloom.sources import tables as t
 
 NAMES = label_config("median_gain", 5)
 SEARCH = models.Search()  # the full search of a development run
+BOOSTED = models.Search(pooled="trees", tree_candidates=2, tree_rounds=12)
 
 
 def _training_rows(spark, sf):
@@ -65,6 +66,22 @@ def train_market(spark, sf):
     return _performance(made)
 
 
+@query
+def train_per_industry_trees(spark, sf):
+    """As ``train_per_industry``, with an ensemble of boosted trees per industry."""
+    rows, names = _training_rows(spark, sf)
+    _, made, _ = models.train_router(2, rows, names, NAMES["positive"], NAMES["negative"], t.industry(spark, sf), BOOSTED)
+    return _performance(made)
+
+
+@query
+def train_market_trees(spark, sf):
+    """As ``train_market``, with one ensemble of boosted trees."""
+    rows, names = _training_rows(spark, sf)
+    _, made, _ = models.train_router(3, rows, names, NAMES["positive"], NAMES["negative"], search=BOOSTED)
+    return _performance(made)
+
+
 def _stacked_rows(spark, sf):
     windows, kinds = LABEL_WINDOWS, tuple(LABELS)
     wide = forecasts.combine_forecasts(inputs.forecasts(spark, sf), inputs.labelled(spark, sf), kinds, windows)
