@@ -14,8 +14,9 @@ and before it the pieces (word starts and whole words) that tell toxic texts fro
 counts differ by more than chance among as many candidates as there are. Its nearer part, with the ordinary prose, is
 the same in both dictionaries, so offsets cost the same.
 
-Fitting uses at most ``rows`` labelled texts of together at most ``megabytes``, outside the held-out fold: half of
-them for the dictionaries, half for calibration. Both bounds are arguments. Scoring reads every window of every text.
+Fitting uses at most ``rows`` labelled texts of together at most ``megabytes``, outside the held-out fold; both bounds are
+arguments. It is cross-fitted at every size: the gains that calibrate are those of each half of the texts under dictionaries
+of the other half, equal texts in the same half. The pieces in use come from both. Scoring reads every window of every text.
 
 Defined cases: a missing text is empty; an empty text has no gain and the score of a text without any sign; long texts
 are scored window by window; where no label, only one class or no piece is known the score is the share of label 1 (0 without
@@ -26,6 +27,7 @@ Labels, lang, source and ids are no input of a score.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -51,10 +53,8 @@ SHORTEST, LONGEST = 5, 12
 RATIO = 20
 #: Bytes of gain at which windows are counted.
 LEVELS = (1, 2, 3, 4, 6)
-#: Numbers of pieces that are tried; the calibration texts choose among them.
+#: Numbers of pieces that are tried; the cross-fitted gains choose among them.
 PIECES = (8, 16, 32, 64)
-#: Labelled texts of which half are enough to learn from.
-FEW = 1000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -83,15 +83,15 @@ def surprise(toxic: int, ordinary: int, n_toxic: int, n_ordinary: int) -> float:
     return 2 * sum(k * math.log(k / (n * share)) for k, n in ((toxic, n_toxic), (ordinary, n_ordinary)) if k)
 
 
-def toxic_pieces(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[bytes]:
+def toxic_pieces(toxic: list[str], ordinary: list[str]) -> list[bytes]:
     """The pieces that tell toxic texts, the surest first; of a piece and its start only the surer one."""
     seen = Counter()
-    for words in toxic:
-        seen.update(pieces_of(words))
+    for text in toxic:
+        seen.update(pieces_of(words_of(text)))
     seen = {piece: n for piece, n in seen.items() if n > 2}
     other = Counter()
-    for words in ordinary:
-        other.update(piece for piece in pieces_of(words) if piece in seen)
+    for text in ordinary:
+        other.update(piece for piece in pieces_of(words_of(text)) if piece in seen)
     limit = 2 * math.log(max(2, len(seen))) + 4
     sure = sorted(
         ((value, piece) for piece, n in seen.items()
@@ -125,6 +125,14 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=settings)
 
 
+def features_of(gains: list[int]) -> list[float]:
+    """Counts of windows at each level, the largest gain, and how many gains there are for the text's length."""
+    top = sorted(gains)[-2:]
+    counts = [math.log1p(sum(g >= level for g in gains)) for level in LEVELS]
+    rates = [100 * sum(g >= level for g in gains) / (len(gains) + 20) for level in LEVELS]
+    return [*counts, *rates, max(0, top[-1]) if top else 0, max(0, sum(top) / 2) if top else 0]
+
+
 @dataclass(frozen=True)
 class Model:
     """Two dictionaries, the weights of the logistic model and its constant score where nothing could be learnt."""
@@ -144,13 +152,8 @@ class Scorer:
             self.plain, self.harsh = _compressor(model.ordinary).compress, _compressor(model.toxic).compress
 
     def features(self, text: str) -> list[float]:
-        """Counts of windows at each level, the largest gain, and how many gains there are for the text's length."""
         plain, harsh = self.plain, self.harsh
-        gains = [len(plain(w)) - len(harsh(w)) for w in windows(words_of(text))]
-        top = sorted(gains)[-2:]
-        counts = [math.log1p(sum(g >= level for g in gains)) for level in LEVELS]
-        rates = [100 * sum(g >= level for g in gains) / (len(gains) + 20) for level in LEVELS]
-        return [*counts, *rates, max(0, top[-1]) if top else 0, max(0, sum(top) / 2) if top else 0]
+        return features_of([len(plain(w)) - len(harsh(w)) for w in windows(words_of(text))])
 
     def score(self, text: str) -> float:
         if self.model.constant is not None:
@@ -165,7 +168,8 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 def _weights(features: np.ndarray, labels: np.ndarray, ridge: float = 0.002) -> tuple[np.ndarray, float]:
     """Logistic regression by Newton steps, and the best F0.5 score; its threshold becomes one half.
 
-    F0.5 counts a clean text that is called toxic more than a toxic one that is missed.
+    F0.5 counts a clean text that is called toxic more than a toxic one that is missed. A cut that calls every text toxic is
+    none; where there is no other, the value is negative.
     """
     x = np.column_stack((np.ones(len(features)), features))
     scale = np.maximum(x.std(axis=0), 1e-9)
@@ -184,12 +188,26 @@ def _weights(features: np.ndarray, labels: np.ndarray, ridge: float = 0.002) ->
     hit = np.cumsum(labels[order])
     value = 1.25 * hit / (np.arange(1, len(raw) + 1) + 0.25 * labels.sum())
     value[:-1][raw[order][:-1] == raw[order][1:]] = -1  # equal scores can't be parted
+    value[-1] = -1
     best = int(np.argmax(value))
-    below = raw[order][best + 1] if best + 1 < len(raw) else raw[order][best] - 1
-    w[0] -= (raw[order][best] + below) / 2
+    w[0] -= raw[order][best:best + 2].mean()
     return w / scale, float(value[best])
 
 
+def halves_of(texts: list[str]) -> tuple[list[str], list[str]]:
+    """Two halves by turns of the different texts; equal texts lie in the same one."""
+    turn: dict[str, int] = {}
+    for text in texts:
+        turn.setdefault(text, len(turn) % 2)
+    return tuple([t for t in texts if turn[t] == half] for half in (0, 1))
+
+
+def with_pieces(base: bytes, pieces: list[bytes]) -> bytes:
+    """The toxic dictionary: pieces, the surest next to the ordinary dictionary, before it."""
+    extra = b"".join(reversed(pieces))[-TOXIC_BYTES:]
+    return b"\n" * (-len(extra) % ALIGN) + extra + base
+
+
 def fit(sample: list[tuple[str, int]]) -> Model:
     """A model from labelled texts (label 1: toxic)."""
     share = sum(bool(y) for _, y in sample) / len(sample) if sample else 0.0
@@ -197,25 +215,28 @@ def fit(sample: list[tuple[str, int]]) -> Model:
     nothing = Model(b"", b"", (), min(share, 0.49))
     if len(toxic) < 4 or len(ordinary) < 4:
         return nothing
-    # Of few texts all serve both purposes.
-    part = 2 if len(sample) >= 2 * FEW else 1
-    learn = [[words_of(t) for t in x[: (len(x) + 1) // part]] for x in (toxic, ordinary)]
-    check = [x[(len(x) + 1) // part:] if part == 2 else x for x in (toxic, ordinary)]
-    pieces = toxic_pieces(*learn)
-    if not pieces:
-        return nothing
-    base = trained([w for words in learn[1] for w in windows(words)], ORDINARY_BYTES)
-    del learn
-    labels = np.repeat([1.0, 0.0], [len(x) for x in check])
-    best = None
+    pieces = toxic_pieces(toxic, ordinary)
+    harsh_halves, plain_halves = halves_of(toxic), halves_of(ordinary)
+    bases = [trained([w for t in half for w in windows(words_of(t))], ORDINARY_BYTES) for half in plain_halves]
+    # of each half: its texts, the ordinary dictionary and the pieces of the other half, and the lengths without pieces
+    folds, labels = [], []
+    for mine, other in ((0, 1), (1, 0)):
+        texts = harsh_halves[mine] + plain_halves[mine]
+        labels += [1.0] * len(harsh_halves[mine]) + [0.0] * len(plain_halves[mine])
+        found = toxic_pieces(harsh_halves[other], plain_halves[other]) if harsh_halves[other] and plain_halves[other] else []
+        compress = _compressor(bases[other]).compress
+        folds.append((texts, bases[other], found, [array("I", (len(compress(w)) for w in windows(words_of(t)))) for t in texts]))
+    labels, best = np.array(labels), None
     for n in sorted({min(n, len(pieces)) for n in PIECES} | {len(pieces)}):
-        extra = b"".join(reversed(pieces[:n]))[-TOXIC_BYTES:]
-        harsh = b"\n" * (-len(extra) % ALIGN) + extra + base
-        scorer = Scorer(Model(base, harsh, ()))
-        weights, value = _weights(np.array([scorer.features(t) for x in check for t in x]), labels)
-        if best is None or value > best[0] + 0.002:
-            best = value, Model(base, harsh, tuple(weights.tolist()))
-    return best[1]
+        features = []
+        for texts, base, found, plain in folds:
+            compress = _compressor(with_pieces(base, found[:n])).compress
+            features += [features_of([a - len(compress(w)) for a, w in zip(lengths, windows(words_of(t)))])
+                         for t, lengths in zip(texts, plain)]
+        weights, value = _weights(np.array(features), labels)
+        if value > (best[0] + 0.002 if best else 0):
+            best = value, Model(bases[0], with_pieces(bases[0], pieces[:n]), tuple(weights.tolist()))
+    return best[1] if best else nothing
 
 
 def learnt(
