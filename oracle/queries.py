@@ -32,6 +32,8 @@ add("active_market_dates", "SELECT DISTINCT date FROM bars")
 add("backfill_dates", """SELECT DISTINCT date FROM bars WHERE date NOT IN (SELECT CAST(o_orderdate AS DATE)
  FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')""")
 add("write_overwrite_partitioned", "SELECT ticker, count(*) AS bars, sum(volume) AS volume FROM bars GROUP BY ticker")
+add("refresh_tickers", """SELECT ticker, count(*) AS bars,
+ CASE WHEN ticker % 3 = 0 THEN sum(volume) ELSE CAST(-count(*) AS DOUBLE) END AS volume FROM bars GROUP BY ticker""")
 add("split_dates_sink", "SELECT * FROM splits_5")
 _FORECASTS = [(v, label, name, w) for v in (1, 2, 3)
               for label, name in (("median_gain", "High Gain"), ("median_loss", "High Loss")) for w in (5, 10)]

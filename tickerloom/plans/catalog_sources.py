@@ -76,6 +76,18 @@ def write_overwrite_partitioned(spark, sf):
     return rounded(back.groupBy("ticker").agg(F.count("*").alias("bars"), F.sum("volume").alias("volume")))
 
 
+@query
+def refresh_tickers(spark, sf):
+    """A stored table of which every third ticker is replaced, twice; the others keep what they had."""
+    folder = shared_folder(spark, "refreshed")
+    bars = t.bars(spark, sf)
+    files.write_overwrite_partitioned(bars.withColumn("volume", F.lit(-1.0)), folder)
+    for _ in range(2):
+        files.refresh_tickers(bars.where("ticker % 3 = 0"), folder)
+    back = spark.read.schema(bars.schema).parquet(folder)
+    return rounded(back.groupBy("ticker").agg(F.count("*").alias("bars"), F.sum("volume").alias("volume")))
+
+
 @query
 def split_dates_sink(spark, sf):
     path = shared_folder(spark, "splits")
