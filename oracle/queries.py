@@ -313,6 +313,8 @@ for _kind in ("Gain", "Loss"):
     _t = f"Median {_kind} 5dd"
     add(f"label_median_{_kind.lower()}", f'SELECT ticker, date, close, "Threshold {_t}", "{_t}" FROM labelled',
         ["close", f"Threshold {_t}"])
+add("bucketed_labels", """SELECT ticker, date, close, "Threshold Median Gain 5dd", "Median Gain 5dd" FROM labelled
+ WHERE (ticker, date) IN (SELECT (ticker, date) FROM flow)""", ["close", "Threshold Median Gain 5dd"])
 add("label_all", "SELECT * FROM labelled", ["close"] + [f"Threshold Median {k} {w}dd" for k in ("Gain", "Loss") for w in (5, 10)])
 add("split_train_test", f"""SELECT * FROM (SELECT ticker, date, close, volume, "Median Gain 5dd" AS y_true,
  CASE WHEN "Median Gain 5dd" = 'High Gain' THEN 1e0 ELSE 0e0 END AS label,

@@ -1,11 +1,13 @@
-"""Partial refreshes of stored tables and the stream of intraday ticks."""
+"""Partial refreshes, bucketed tables and pruned files of stored tables, and the stream of intraday ticks."""
 
 import datetime as dt
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
-from tickerloom.operators import outlook
+from tickerloom.operators import features, labels, outlook
+from tickerloom.session import SETTINGS
 from tickerloom.sources import files
 from tickerloom.sources import tables as t
 from tickerloom.streaming import intraday
@@ -37,6 +39,67 @@ def test_refresh_leaves_other_tickers(spark, tmp_path):
     assert stored(folder) == after
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(df):
+    return plan_of(df).count("Exchange hashpartitioning(")
+
+
+def same(one, other):
+    return one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
+def test_bucketed_tables_need_no_exchange(spark, tmp_path):
+    bars, flow = t.bars(spark, SF), t.flow(spark, SF)
+    stored_bars = files.write_bucketed(bars, str(tmp_path / "bars"), 6)
+    stored_flow = files.write_bucketed(flow, str(tmp_path / "flow"), 6)
+    assert same(stored_bars, bars) and same(stored_flow, flow)
+    together = "spark.sql.requireAllClusterKeysForCoPartition"
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", together: SETTINGS[together]}
+    before = {key: spark.conf.get(key) for key in held}
+    for key, value in held.items():
+        spark.conf.set(key, value)
+    try:
+        for name, make in (("labels", lambda b, f: labels.with_labels(b.select("ticker", "date", "close"))),
+                           ("join", features.join_bars_flow), ("flow", features.flow_features)):
+            assert shuffles(make(bars, flow)) > 0 == shuffles(make(stored_bars, stored_flow)), name
+        # the recursive series leave the JVM, which loses the partitioning once
+        assert shuffles(features.feature_table(stored_bars, stored_flow)) == 1 < shuffles(features.feature_table(bars, flow))
+        assert same(labels.with_labels(stored_bars.select("ticker", "date", "close")), labels.with_labels(bars.select("ticker", "date", "close")))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_bucketed_tables_are_replaced(spark, tmp_path):
+    folder = str(tmp_path / "rows")
+    rows = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("", 3), ("b", None)], "ticker string, x int")
+    first = files.write_bucketed(rows, folder, 3)
+    assert same(first, rows)
+    again = files.write_bucketed(rows.where("x > 1"), f"{folder}/", 5)
+    assert same(again, rows.where("x > 1")) and same(spark.read.parquet(folder), again)
+    assert files.write_bucketed(rows.limit(0), str(tmp_path / "none"), 2).columns == ["ticker", "x"]
+    assert spark.read.schema(rows.schema).parquet(str(tmp_path / "none")).count() == 0
+    with pytest.raises(ValueError, match="at least one bucket"):
+        files.write_bucketed(rows, folder, 0)
+
+
+def test_a_filter_on_tickers_opens_their_files(spark, tmp_path):
+    folder, schema = str(tmp_path / "csv"), "date date, open double, high double, low double, close double, volume double"
+    bars = t.bars(spark, SF)
+    files.write_overwrite_partitioned(bars.coalesce(1), folder, "csv")
+    wanted = [r[0] for r in bars.select(F.col("ticker").cast("string")).distinct().orderBy("ticker").limit(3).collect()]
+    scanned = files.scan_ticker_files(spark, folder, schema)
+    some = scanned.where(F.col("ticker").isin(wanted))
+    assert some.count() == bars.where(F.col("ticker").isin([int(x) for x in wanted])).count()
+    some.collect()
+    opened = some._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numFiles").value()
+    of_wanted = [f for f in scanned.inputFiles() if any(f"ticker={x}/" in f for x in wanted)]
+    assert opened == len(of_wanted) < len(scanned.inputFiles())
+
+
 def test_stream_gives_the_price_of_the_batch(spark, tmp_path):
     """Three micro-batches with late, repeated, tied and unusable ticks."""
     at = [DAY + dt.timedelta(hours=h) for h in range(24)]

@@ -9,7 +9,7 @@ from tickerloom.functions.naming import FEATURE_COLUMNS, combined_columns
 from tickerloom.operators.features import feature_list as added_columns
 from tickerloom.operators.features import feature_table as build_features
 from tickerloom.operators.forecasts import combine_forecasts
-from tickerloom.operators.labels import make_splits, split_document, split_row
+from tickerloom.operators.labels import make_splits, split_document, split_row, with_labels
 from tickerloom.plans import inputs
 from tickerloom.plans.registry import query, rounded
 from tickerloom.session import shared_folder
@@ -88,6 +88,15 @@ def refresh_tickers(spark, sf):
     return rounded(back.groupBy("ticker").agg(F.count("*").alias("bars"), F.sum("volume").alias("volume")))
 
 
+@query
+def bucketed_labels(spark, sf):
+    """Labels of the days with flow, from bars and flow that are stored bucketed by ticker."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bars = files.write_bucketed(t.bars(spark, sf).select("ticker", "date", "close"), shared_folder(spark, "bars"), buckets)
+    flow = files.write_bucketed(t.flow(spark, sf), shared_folder(spark, "flow"), buckets)
+    return rounded(with_labels(bars, ("median_gain",), (5,)).join(flow.select("ticker", "date"), ["ticker", "date"], "left_semi"))
+
+
 @query
 def split_dates_sink(spark, sf):
     path = shared_folder(spark, "splits")

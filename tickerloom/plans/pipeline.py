@@ -25,7 +25,11 @@ FAILURES = "model_version int, label_type string, window int, identifier string,
 
 @dataclass(frozen=True)
 class Settings:
-    """What both flows share. Forecasts are made for tickers whose test Gini is at least ``min_test_gini``."""
+    """What both flows share.
+
+    Forecasts are made for tickers whose test Gini is at least ``min_test_gini``. With ``buckets`` the feature and label
+    tables are bucketed by ticker, which saves the later shuffles by ticker.
+    """
 
     label_types: tuple[str, ...] = tuple(LABELS)
     windows: tuple[int, ...] = LABEL_WINDOWS
@@ -33,6 +37,7 @@ class Settings:
     val_length: int = VAL_LENGTH
     min_test_gini: float = 0.0
     search: models.Search = field(default_factory=models.Search)
+    buckets: int | None = None
 
     def combos(self):
         return [(label, w) for label in self.label_types for w in self.windows]
@@ -43,6 +48,11 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _by_ticker(df: DataFrame, path: str, buckets: int | None) -> DataFrame:
+    """As ``_stored``, bucketed by ticker where a number of buckets is given."""
+    return files.write_bucketed(df, path, buckets) if buckets else _stored(df, path)
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -62,9 +72,10 @@ def prepare(bars, flow, chosen, folder: str, settings: Settings) -> DataFrame:
     """Quality gates, features and labels of the chosen tickers; returns the stored label table."""
     listed = cleaning.selected_universe(chosen, bars)
     verdict = _stored(cleaning.quality_gate_full(listed, bars, flow), f"{folder}/verdict")
-    table = _stored(features.feature_table(cleaning.passed(bars, verdict), flow), f"{folder}/features")
+    table = _by_ticker(features.feature_table(cleaning.passed(bars, verdict), flow), f"{folder}/features", settings.buckets)
     table = cleaning.passed(table, cleaning.quality_gate_recent(table))
-    return _stored(labels.with_labels(table, settings.label_types, settings.windows, settings.test_length), f"{folder}/labels")
+    labelled = labels.with_labels(table, settings.label_types, settings.windows, settings.test_length)
+    return _by_ticker(labelled, f"{folder}/labels", settings.buckets)
 
 
 def _meeting(performance: DataFrame, minimum: float) -> DataFrame:

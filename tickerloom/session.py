@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # tables that lie together by ticker are joined on (ticker, date) as they lie: a ticker's rows are bounded by the calendar
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
