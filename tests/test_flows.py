@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickerloom.operators import models
-from tickerloom.plans import inputs, pipeline
+from tickerloom.plans import catalog_models, inputs, pipeline
+from tickerloom.session import through_table
 from tickerloom.sources import tables as t
 
 SF = "/root/testdata/sf0.001"
-SETTINGS = pipeline.Settings(test_length=300, val_length=200, search=models.Search(iterations=2, restarts=2, logistic_steps=50))
+SETTINGS = pipeline.Settings(test_length=300, val_length=200, search=models.Search(iterations=2, restarts=2, logistic_steps=50), buckets=4)
 
 
 @pytest.fixture(scope="module")
@@ -94,3 +95,16 @@ def test_untrainable_labels_are_failures(spark, tmp_path_factory):
     for version in (1, 2, 3, 4):
         _, made, failed = models.train_router(version, rows, ["x"], "u", "d", industries, models.Search(iterations=1, restarts=1))
         assert made.count() == 0 and failed.count() == 1
+
+
+def test_routed_forecasts(spark, monkeypatch):
+    """Version 1 is forecast as by the query of version 1; the flag names the tickers of all versions."""
+    monkeypatch.setattr(catalog_models, "SEARCH", models.Search(iterations=2, restarts=1))
+    routed = through_table(catalog_models.forecast_routed(spark, SF), "routed-test")
+    alone = catalog_models.forecast(spark, SF)
+    mine = routed.where("model_version = 1").select(alone.columns)
+    assert mine.exceptAll(alone).isEmpty() and alone.exceptAll(mine).isEmpty()
+    per_ticker = {r[0]: (set(r[1]), r[2]) for r in routed.groupBy("ticker").agg(
+        F.collect_set("model_version"), F.bool_and("in_all_versions")).collect()}
+    assert per_ticker and all(flag == (versions == {1, 2, 3}) for versions, flag in per_ticker.values())
+    assert routed.where("p NOT BETWEEN 0 AND 1").count() == 0

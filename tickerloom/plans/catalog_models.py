@@ -138,6 +138,23 @@ def forecast(spark, sf):
     return rounded(models.forecast_version(1, fitted, table, names), 3)
 
 
+@query
+def forecast_routed(spark, sf):
+    """Probabilities of versions 1 to 3 for the tickers that meet a test Gini of 0 with the version, and whether all versions have the ticker."""
+    rows, names = _training_rows(spark, sf)
+    industries, parts = t.industry(spark, sf), []
+    for version in inputs.VERSIONS:
+        fitted, made, _ = models.train_router(version, rows, names, NAMES["positive"], NAMES["negative"], industries, SEARCH)
+        wanted = metrics.tickers_meeting_gini(_performance(made), 0.0)
+        table = rows.join(wanted.select("ticker"), "ticker", "left_semi")
+        parts.append(models.forecast_version(version, fitted, table, names, industries).withColumns({
+            "model_version": F.lit(version), "label_type": F.lit("median_gain"), "window": F.lit(5)}))
+    whole = through_table(reduce(DataFrame.unionByName, parts), "routed")
+    available = forecasts.ticker_availability(whole, ("median_gain",), (5,), inputs.VERSIONS)
+    common = available.select("ticker", F.lit(True).alias("in_all_versions"))
+    return rounded(whole.join(common, "ticker", "left").fillna({"in_all_versions": False}), 3)
+
+
 @query
 def model_store(spark, sf):
     """Forecasts of stored and reloaded models next to those of the fitted ones."""
