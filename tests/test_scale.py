@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tickerloom.operators import metrics
+from tickerloom.operators import metrics, recursive
 from tickerloom.plans import inputs
 from tickerloom.sources import files
 
@@ -63,3 +63,24 @@ def test_a_ticker_is_one_file(spark, tmp_path):
         assert len(list(Path(folder).rglob("*.parquet"))) == 8
         assert spark.read.parquet(folder).select("ticker", "date").exceptAll(rows.select(F.col("ticker").cast("int"), "date")).isEmpty()
         assert spark.read.parquet(folder).count() == 4000
+
+
+def test_batches_of_series_are_bounded(spark, star, monkeypatch):
+    """A batch used to take 10,000 tickers; tickers in small batches get the same series."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    bars, before = inputs.t.bars(spark, star), spark.conf.get(key)
+    try:
+        spark.conf.set(key, "500000000")
+        whole = {(r.ticker, r.date): r for r in recursive.with_recursive_series(bars, ["ema13", "atr_stop", "zigzag"]).collect()}
+        assert spark.conf.get(key).rstrip("b") == str(recursive.BATCH_BYTES)
+        monkeypatch.setattr(recursive, "BATCH_BYTES", 1)
+        parted = recursive.with_recursive_series(bars, ["ema13", "atr_stop", "zigzag"]).coalesce(1).collect()
+        assert spark.conf.get(key).rstrip("b") == "1"
+        assert len(parted) == len(whole) == 1200 and all(whole[r.ticker, r.date] == r for r in parted)
+        recursive.small_batches(spark)
+        spark.conf.set(key, "7")
+        monkeypatch.setattr(recursive, "BATCH_BYTES", 100)
+        recursive.small_batches(spark)
+        assert spark.conf.get(key).rstrip("b") == "7"  # a lower limit stays
+    finally:
+        spark.conf.set(key, before)
