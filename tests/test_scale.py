@@ -3,10 +3,12 @@
 import datetime as dt
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tickerloom.operators import metrics, recursive
+from tickerloom.operators import metrics, models, recursive
 from tickerloom.plans import inputs
 from tickerloom.sources import files
 
@@ -65,6 +67,23 @@ def test_a_ticker_is_one_file(spark, tmp_path):
         assert spark.read.parquet(folder).count() == 4000
 
 
+def test_products_are_added_up_per_task():
+    """Every batch used to send the products of each of its groups."""
+    rng = np.random.default_rng(1)
+    x, batches = rng.normal(size=(40, 3)), []
+    for first in range(0, 40, 4):
+        batches.append(pa.RecordBatch.from_pydict({
+            "group": ["a", "a", "b", "b"], "fold": ["train"] * 4, "label": [0.0, 1.0, 0.0, 0.0],
+            "x": pa.array(x[first:first + 4].tolist(), pa.list_(pa.float64()))}))
+    rows = pa.Table.from_batches(models._products(iter(batches), 3)).to_pylist()
+    assert sorted((r["group"], r["fold"], r["label"]) for r in rows) == [("a", "train", 0.0), ("a", "train", 1.0), ("b", "train", 0.0)]
+    ones, at = np.column_stack((np.ones(40), x)), np.arange(40) % 4
+    for r in rows:
+        mine = ones[at >= 2] if r["group"] == "b" else ones[at == r["label"]]
+        assert np.allclose(np.reshape(r["products"], (4, 4)), mine.T @ mine)
+    assert list(models._products(iter([]), 3)) == []
+
+
 def test_batches_of_series_are_bounded(spark, star, monkeypatch):
     """A batch used to take 10,000 tickers; tickers in small batches get the same series."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
