@@ -8,9 +8,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tickerloom import session
 from tickerloom.operators import metrics, models, recursive
 from tickerloom.plans import inputs
-from tickerloom.sources import files
+from tickerloom.sources import files, tables
 
 LINES = """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,
 l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"""
@@ -103,3 +104,27 @@ def test_batches_of_series_are_bounded(spark, star, monkeypatch):
         assert spark.conf.get(key).rstrip("b") == "7"  # a lower limit stays
     finally:
         spark.conf.set(key, before)
+
+
+def test_tasks_are_small(spark, star, monkeypatch):
+    """64 MB of packed bars were over a gigabyte in one task's sorts; partitions now grow with the table."""
+    size, joined, number = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                            "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = {k: spark.conf.get(k, None) for k in (size, joined, number)}
+    try:
+        spark.conf.set(size, "128MB")
+        spark.conf.set(joined, "1g")
+        spark.conf.unset(number)
+        tables.table(spark, star, "lineitem")
+        assert [int(spark.conf.get(k)) for k in (size, joined)] == [session.READ_BYTES, session.JOINED_BYTES]
+        assert spark.conf.get(number, None) is None  # a small table
+        monkeypatch.setattr(session, "INPUT_BYTES", 100)
+        bars = tables.bars(spark, star)
+        most = int(spark.conf.get(number))
+        assert most > int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(size, "1000b")
+        assert bars.count() == 1200 and tables.table(spark, star, "supplier").count() == 4
+        assert spark.conf.get(size) == "1000b" and int(spark.conf.get(number)) == most  # a lower limit, a larger number stay
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
