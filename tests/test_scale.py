@@ -6,10 +6,11 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tickerloom import session
-from tickerloom.operators import metrics, models, recursive
+from tickerloom.operators import logistic, metrics, models, recursive
 from tickerloom.plans import inputs
 from tickerloom.sources import files, tables
 
@@ -128,3 +129,53 @@ def test_tasks_are_small(spark, star, monkeypatch):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def test_candidates_of_the_stacker_share_passes(spark, monkeypatch):
+    """Each candidate used to be a Spark ML fit of its own, a job per step."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 3)) * [1, 4, 0.1]
+    y = (rng.random(500) < 1 / (1 + np.exp(-(x[:, 0] - 0.5 * x[:, 1])))).astype(float)
+    fold = np.where(np.arange(500) % 4 == 0, "val", "train")
+    rows = spark.createDataFrame([(*map(float, a), float(b), str(f)) for a, b, f in zip(x, y, fold)], "a double, b double, c double, label double, fold string")
+    fits, passes, of, passed = [], [], models._logistic, logistic._passed
+    monkeypatch.setattr(models, "_logistic", lambda *a: fits.append(a) or of(*a))
+    monkeypatch.setattr(logistic, "_passed", lambda *a: passes.append(a) or passed(*a))
+    models.hyperparam_search(rows, ["a", "b", "c"], models.logistic_proposer(models.Search()), 4, 1500)
+    assert len(fits) == 1 and 0 < len(passes) < 40
+
+
+def test_joint_fits_are_optimal():
+    """Their subgradients vanish, whatever the penalty, also for collinear, constant and separable columns."""
+    rng = np.random.default_rng(4)
+    plain = rng.normal(size=(300, 2)) * [1, 30]
+    y = (rng.random(300) < 1 / (1 + np.exp(-plain[:, 0]))).astype(float)
+    x = np.column_stack((plain, plain[:, 0], np.full(300, 2.0), 2 * y - 1))
+    for data in (x[:, :2], x[:, :4], x):
+        weight, total = np.where(y == 1, 150 / y.sum(), 150 / (300 - y.sum())), 300.0
+        for c in (1e-4, 1e-2, 1.0, 1e3):
+            for l1_ratio in (0.0, 0.5, 1.0):
+                fit = logistic._Fit({"c": c, "l1_ratio": l1_ratio}, 300, np.zeros(data.shape[1] + 1), 1500)
+                n = 0
+                while not fit.done:
+                    fit.tell(logistic.loss_parts(data, y, weight, np.array([fit.trial]))[0] / total)
+                    n += 1
+                w, p = fit.theta[1:], 1 / (1 + np.exp(-(fit.theta[0] + data @ fit.theta[1:])))
+                slope = (weight * (p - y)) @ data / total + fit.ridge * w
+                assert n < 40 and abs(weight @ (p - y)) / total < 1e-5
+                assert (np.abs(slope + fit.lasso * np.sign(w))[w != 0] < 1e-5).all() and (np.abs(slope)[w == 0] < fit.lasso + 1e-5).all()
+
+
+def test_joint_fits_equal_spark_ml(spark):
+    """Spark ML's fit of a candidate comes to the same weights when it may go on for long enough."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 3)) * [1, 3, 0.2]
+    y = (rng.random(400) < 1 / (1 + np.exp(-(x[:, 0] - 0.5 * x[:, 1])))).astype(float)
+    rows = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "x array<double>, label double")
+    weights = {1.0: 200 / y.sum(), 0.0: 200 / (400 - y.sum())}
+    candidates = [{"c": c, "l1_ratio": l1} for c in (0.02, 5.0) for l1 in (0.0, 0.4)]
+    thetas = logistic.fit_together(rows, weights, 400.0, 3, candidates, 400, 1500)
+    ready = models.balanced(rows.withColumn("vector", array_to_vector("x")), {1.0: int(y.sum()), 0.0: int(400 - y.sum())})
+    for theta, params in zip(thetas, candidates):
+        plain = models._logistic(params, 400, 1500).setTol(1e-13).fit(ready)
+        assert np.allclose(theta, [plain.intercept, *plain.coefficients], atol=1e-4)
