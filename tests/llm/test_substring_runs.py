@@ -1,6 +1,7 @@
 """Shared passages against brute force over all runs of sentences, not only the shortest from each."""
 
 import numpy as np
+import pyarrow as pa
 
 from tests.llm.helpers import documents
 from tickerloom.llm import substring_dedup
@@ -71,3 +72,21 @@ def test_unmarked_passages_of_over_50_words(spark):
             assert max(numbers) <= max(substring_dedup.LONG, substring_dedup.NEAR)
             shared.append(set(zip(h1.tolist(), h2.tolist())))
         assert shared[0] & shared[1]
+
+
+def test_texts_of_a_batch_as_each_alone():
+    """Sentences are numbered through a batch: parts, spans and hashes are those of each text by itself."""
+    texts = [t for t in documents().text if len(t) < 4_000][:80] + [None, "", "\n", " a b", "w " * 100, "No. Run. Here."]
+    batch = pa.RecordBatch.from_pydict({"rid": range(len(texts)), "doc_id": range(len(texts)), "text": pa.array(texts, pa.string())})
+    found = pa.Table.from_batches(substring_dedup._hashed(iter([batch, batch.slice(0, 0)]))).to_pydict()
+    want, counts, whole = [], [], []
+    for row, text in enumerate(texts):
+        _, numbers, words = substring_dedup.sentences((text or "").encode())
+        counts.append(len(numbers))
+        whole += numbers
+        if numbers:
+            first, ends = substring_dedup.all_spans(numbers)
+            _, h1, h2 = substring_dedup.span_hashes(words, ends, first)
+            want += zip([row] * len(first), (first << 32 | ends - first).tolist(), h1.tolist(), h2.tolist())
+    assert sorted(zip(*[found[c] for c in ("rid", "place", "h1", "h2")])) == sorted(want) and len(want) > 500
+    assert len(substring_dedup.all_spans(whole, counts)[0]) == len(want)

@@ -37,52 +37,66 @@ from tickerloom.session import discard, through_table
 RUN, WORDS = 3, 20
 #: A longer sentence is parted; every so many words in a row hold a place where it is.
 LONG, NEAR = 12, 10
-MARK = re.compile(rb"[.!?]+|\n")
+SENTENCE = re.compile(rb"[^.!?\n]*+(?:[.!?]++|\n)|[^.!?\n]++")
 #: Odd multipliers of the two halves of a span's hash.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
-def _stops(words: list[bytes]) -> set[int]:
-    """The words after which a long sentence is parted: of every ``NEAR`` in a row the last with the smallest checksum."""
-    values, found, best = [zlib.crc32(word) for word in words], set(), 0
-    for i, value in enumerate(values):
-        if value <= values[best]:
-            best = i
-        elif best == i - NEAR:
-            best = min(range(i - NEAR + 1, i + 1), key=lambda k: (values[k], -k))
-        if i >= NEAR - 1:
-            found.add(best)
-    return found
+def parted(words: list[bytes], ends: np.ndarray) -> np.ndarray:
+    """The ends, as numbers of words, of the parts of sentences that end at ``ends`` among ``words``.
 
+    A long sentence ends, too, after the last word with the smallest checksum of every ``NEAR`` in a row.
+    """
+    numbers = np.diff(ends, prepend=0)
+    long = numbers > LONG
+    if not long.any():
+        return ends
+    # the smallest key of a stretch is that of its last smallest checksum
+    last = (1 << 32) - 1
+    keys = np.fromiter(map(zlib.crc32, words), np.uint64, len(words)) << np.uint64(32)
+    keys |= np.arange(last, last - len(words), -1, dtype=np.uint64)
+    two = np.minimum(keys[:-1], keys[1:])
+    four = np.minimum(two[:-2], two[2:])
+    least = np.minimum(np.minimum(four[:-6], four[4:-2]), two[NEAR - 2:])
+    inside = numbers[long] - NEAR + 1
+    begins = (ends - numbers)[long] - np.cumsum(inside) + inside
+    stops = last - (least[np.arange(inside.sum()) + np.repeat(begins, inside)] & np.uint64(last)).astype(np.int64)
+    return np.union1d(ends, stops + 1)
+
+
+def _read(lower: bytes, words: list[bytes], numbers: list[int]) -> list[int]:
+    """The ends of the sentences of a text before long ones are parted; appends its words and how many there are at each end.
+
+    Blanks without a word of their own belong to the sentence before.
+    """
+    ends, at = [], 0
+    for piece in SENTENCE.findall(lower):
+        at += len(piece)
+        if found := piece.split():
+            words += found
+            numbers.append(len(words))
+            ends.append(at)
+        elif ends:
+            ends[-1] = at
+    return ends
 
-def sentences(data: bytes) -> tuple[list[int], list[int], list[list[bytes]]]:
-    """(ends, number of words, words) of the sentences of a text in UTF-8; each begins where the one before ends.
 
-    Blanks and marks without a word of their own belong to the sentence before.
-    """
-    lower, ends, numbers, texts, begin = data.lower(), [], [], [], 0
-    for end in [*(hit.end() for hit in MARK.finditer(lower)), len(lower)]:
-        words = lower[begin:end].split()
-        n = len(words)
-        if not n:
-            if ends:
-                ends[-1] = begin = end
-            continue
-        if n > LONG:
-            first, at, stops = 0, begin, _stops(words)
-            for i, word in enumerate(words[:-1]):
+def sentences(data: bytes) -> tuple[list[int], list[int], list[list[bytes]]]:
+    """(ends, number of words, words) of the sentences of a text in UTF-8; each begins where the one before ends."""
+    lower, words, numbers = data.lower(), [], []
+    read = _read(lower, words, numbers)
+    whole, ends, sizes, texts, first, at = dict(zip(numbers, read)), [], [], [], 0, 0
+    for last in parted(words, np.array(numbers, np.int64)).tolist():
+        texts.append(words[first:last])
+        sizes.append(last - first)
+        if last in whole:
+            at = whole[last]
+        else:
+            for word in texts[-1]:
                 at = lower.index(word, at) + len(word)
-                if i in stops:
-                    ends.append(at)
-                    numbers.append(i + 1 - first)
-                    texts.append(words[first:i + 1])
-                    first = i + 1
-            n, words = n - first, words[first:]
-        ends.append(end)
-        numbers.append(n)
-        texts.append(words)
-        begin = end
-    return ends, numbers, texts
+        ends.append(at)
+        first = last
+    return ends, sizes, texts
 
 
 def spans(numbers: list[int]) -> np.ndarray:
@@ -93,13 +107,20 @@ def spans(numbers: list[int]) -> np.ndarray:
     return np.minimum(ends, n + 1)
 
 
-def all_spans(numbers: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(first, end) of the shortest spans that begin at a sentence, then of those that only end at one."""
-    n, ends = len(numbers), spans(numbers)
-    first = np.flatnonzero(ends <= n)
+def all_spans(numbers: list[int], texts: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(first, end) of the shortest spans that begin at a sentence, then of those that only end at one.
+
+    ``texts`` holds how many sentences each text has, where they are those of several; no span goes beyond its text.
+    """
+    n = len(numbers)
+    texts = np.array([n] if texts is None else texts, np.int64)
+    over = np.cumsum(texts)
+    begin, over = np.repeat(over - texts, texts), np.repeat(over, texts)
     sizes = np.concatenate(([0], np.cumsum(numbers, dtype=np.int64)))
+    ends = np.maximum(np.searchsorted(sizes, sizes[:-1] + WORDS), np.arange(n) + RUN)
+    first = np.flatnonzero(ends <= over)
     begins = np.minimum(np.searchsorted(sizes, sizes[1:] - WORDS, side="right") - 1, np.arange(1, n + 1) - RUN)
-    last = np.flatnonzero(begins >= 0)
+    last = np.flatnonzero(begins >= begin)
     last = last[ends[begins[last]] != last + 1]
     return np.concatenate((first, begins[last])), np.concatenate((ends[first], last + 1))
 
@@ -138,22 +159,25 @@ def _powers(factor: int, n: int) -> np.ndarray:
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sentences of a batch are numbered through, so that its texts take the same few array operations."""
     for batch in batches:
-        rows, places, high, low = [], [], [], []
-        for row, text in enumerate(batch.column("text")):
-            _, numbers, texts = sentences((text.as_py() or "").encode("utf-8"))
-            if len(numbers) < RUN:
-                continue
-            first, ends = all_spans(numbers)
-            _, h1, h2 = span_hashes(texts, ends, first)
-            rows.append(np.full(len(first), row))
-            places.append(first << 32 | (ends - first))
-            high.append(h1)
-            low.append(h2)
-        of = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
-        values = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (places, high, low)]
+        words, numbers, whole = [], [], [0]
+        for text in batch.column("text"):
+            _read((text.as_py() or "").encode("utf-8").lower(), words, numbers)
+            whole.append(len(words))
+        ends = parted(words, np.array(numbers, np.int64))
+        bounds = np.searchsorted(ends, whole, side="right")
+        begins = np.concatenate(([0], ends))
+        sizes = np.diff(begins)
+        first, end = all_spans(sizes, np.diff(bounds))
+        edges = begins.tolist()
+        _, high, low = span_hashes([words[a:b] for a, b in zip(edges, edges[1:])], end, first)
+        rows = np.searchsorted(bounds, first, side="right") - 1
+        places = (first - bounds[rows]) << 32 | (end - first)
+        of = pa.array(rows)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("rid").take(of), batch.column("doc_id").take(of), *values], ["rid", "doc_id", "place", "h1", "h2"])
+            [batch.column("rid").take(of), batch.column("doc_id").take(of), pa.array(places), pa.array(high), pa.array(low)],
+            ["rid", "doc_id", "place", "h1", "h2"])
         pa.default_memory_pool().release_unused()
 
 
