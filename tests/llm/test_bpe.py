@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -70,3 +71,12 @@ def test_odd_rows(spark):
         ).select("ids", "both.*", bpe.decoded(spark, PATH, bpe.F.col("ids")).alias("text")).collect()
         assert all(r[0] == r[1] and r["decoded"] == r["text"] for r in again)
     assert empty(spark).select(bpe.encoded(spark, PATH, bpe.F.col("text"))).count() == 0
+
+
+def test_few_rows_are_held_at_a_time():
+    """Ids and decoded texts of a batch are several times its bytes, so they leave in parts, in order."""
+    texts = [f"text {i} of many" if i % 7 else None for i in range(2 * bpe.ROWS + 30)]
+    made = list(bpe._both(OWN, iter([pa.array(texts, pa.string()), pa.array([], pa.string())])))
+    assert [len(part) for part in made] == [bpe.ROWS, bpe.ROWS, 30]
+    rows = [row for part in made for row in part.to_pylist()]
+    assert [row["ids"] for row in rows] == [library(text or "") for text in texts]

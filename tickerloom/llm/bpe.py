@@ -31,6 +31,8 @@ from tickerloom.llm.common import text_udf
 
 #: Stretches of text without white space whose ids a Python worker keeps; longer ones are not kept.
 CACHE, KEPT = 250_000, 40
+#: Rows whose ids and decoded texts a worker makes at a time: together they take several times the bytes of the texts.
+ROWS = 100
 #: Bits of a symbol's number.
 BITS = 20
 #: White space as the vocabulary's normaliser takes it (the Unicode property, without the separators 1C to 1F).
@@ -193,6 +195,19 @@ def _strings(vocabulary: Vocabulary, lists: pa.ListArray) -> pa.Array:
     return pa.array([vocabulary.decode(x.values.to_numpy().tolist() if x.is_valid else []) for x in lists], pa.string())
 
 
+def _few(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The rows of the batches, at most ``ROWS`` at a time."""
+    for batch in batches:
+        for first in range(0, len(batch), ROWS):
+            yield batch.slice(first, ROWS)
+
+
+def _both(vocabulary: Vocabulary, batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in _few(batches):
+        lists = _lists(vocabulary, texts)
+        yield pa.StructArray.from_arrays([lists, _strings(vocabulary, lists)], ["ids", "decoded"])
+
+
 def encoded(spark: SparkSession, path: str, text: Column) -> Column:
     """The ids (array of int) of a text column."""
     shared = _shared(spark, path)
@@ -200,7 +215,7 @@ def encoded(spark: SparkSession, path: str, text: Column) -> Column:
     @text_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(shared)
-        for texts in batches:
+        for texts in _few(batches):
             yield _lists(vocabulary, texts)
 
     return encode(text)
@@ -213,7 +228,7 @@ def decoded(spark: SparkSession, path: str, ids: Column) -> Column:
     @text_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(shared)
-        for lists in batches:
+        for lists in _few(batches):
             yield _strings(vocabulary, lists)
 
     return decode(ids)
@@ -225,9 +240,6 @@ def round_trip(spark: SparkSession, path: str, text: Column) -> Column:
 
     @text_udf("struct<ids:array<int>,decoded:string>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary = _vocabulary(shared)
-        for texts in batches:
-            lists = _lists(vocabulary, texts)
-            yield pa.StructArray.from_arrays([lists, _strings(vocabulary, lists)], ["ids", "decoded"])
+        return _both(_vocabulary(shared), batches)
 
     return both(text)
