@@ -108,6 +108,17 @@ def picked(rows: DataFrame, rids: DataFrame, keep: bool = True) -> DataFrame:
     return met.where(here if keep else ~F.coalesce(here, F.lit(False))).drop("_wanted")
 
 
+def clustered(df: DataFrame, key: str, purpose: str) -> DataFrame:
+    """``df`` stored in buckets of ``key``: joins on it move the other side only."""
+    spark = df.sparkSession
+    name = f"{purpose}_{uuid.uuid4().hex}".replace("-", "_")
+    df.repartition(key).write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option(
+        "path", shared_folder(spark, purpose)).format("parquet").saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 def original(df: DataFrame) -> DataFrame:
     """The columns inside ``row`` again."""
     return df.select("row.*")
