@@ -131,6 +131,26 @@ def test_tasks_are_small(spark, star, monkeypatch):
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
+def test_bars_of_a_task_fit_the_limit(spark, tmp_path):
+    """Some ten megabytes of packed bars are not joined to one task: a sort of 16 MB took half a gigabyte."""
+    joined, first = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before = {k: spark.conf.get(k, None) for k in (joined, first)}
+    day = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("id") % 1000).cast("int"))
+    spark.range(200_000).select(
+        (F.col("id") / 1000).cast("long").alias("l_suppkey"), day.alias("l_shipdate"), F.rand(1).alias("l_extendedprice"),
+        (F.rand(2) + 1).alias("l_quantity"), F.lit("A").alias("l_returnflag"), F.lit("F").alias("l_linestatus"),
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.col("id").alias("l_partkey"),
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    try:
+        spark.conf.set(joined, "1g")
+        spark.conf.set(first, "false")
+        bars = tables.bars(spark, str(tmp_path))
+        assert bars.rdd.getNumPartitions() > 1 and bars.count() == 200_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
 def test_candidates_of_the_stacker_share_passes(spark, monkeypatch):
     """Each candidate used to be a Spark ML fit of its own, a job per step."""
     rng = np.random.default_rng(3)
