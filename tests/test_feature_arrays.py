@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tickerloom.operators import feature_arrays, features
 from tickerloom.operators.indicators import INDICATORS, with_indicators
 from tickerloom.operators.recursive import SERIES, averaged, series_of
+from tickerloom.plans import inputs
+from tickerloom.sources import tables
 
 DAY = dt.date(2024, 1, 1)
 BARS = "ticker string, date date, open double, high double, low double, close double, volume double, note string"
@@ -110,3 +112,25 @@ def test_series_of_many_tickers_are_those_of_each():
         alone = series_of(SERIES, [p[first:end] for p in prices], np.array([0]), np.array([end - first]))
         for c, x in alone.items():
             assert np.array_equal(x, together[c][first:end], equal_nan=True), c
+
+
+def test_forecasts_of_a_bar_part_after_the_shuffles(spark):
+    """Fourteen rows of each bar used to be shuffled twice on their way to the performance of their models."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "true")
+        plan = inputs.performance(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set(key, before)
+    parted = next(i for i, line in enumerate(plan) if "Generate explode(forecasts" in line)
+    assert not [line for line in plan[:parted] if "Exchange" in line] and any("Exchange" in line for line in plan[parted:])
+
+
+def test_packed_forecasts_are_the_long_ones(spark):
+    bars = spark.createDataFrame([(1, DAY), (1, DAY + dt.timedelta(days=1)), (2, DAY), (None, DAY), (3, None)], "ticker long, date date")
+    available = spark.createDataFrame([(1,), (1,), (None,)], "ticker long")
+    long = tables.forecasts(bars, available, ("median_gain", "median_loss"), (5, 10), (1, 2, 3, 4))
+    packed = tables.packed_forecasts(bars, available, ("median_gain", "median_loss"), (5, 10), (1, 2, 3, 4))
+    apart = packed.select("ticker", "date", F.explode("forecasts").alias("f")).select("ticker", "date", "f.*")
+    assert sorted(map(str, apart.collect())) == sorted(map(str, long.collect())) and long.count() == 2 * 14 + 3 * 10
